@@ -40,6 +40,29 @@ def weighted_sums(weight: str, columns: Sequence[str] = WEIGHTED) -> list[Column
     return [F.coalesce(F.sum(finite(F.col(c) * F.col(weight))), F.lit(0.0)).alias(c) for c in columns]
 
 
+def aggregate_unnormalized(df: DataFrame, raw: str, columns: Sequence[str] = WEIGHTED) -> DataFrame:
+    """Weighted day means straight from raw weights, for groups of any size.
+
+    Dividing the weighted sums by the weight total equals normalising first, and needs one
+    pre-aggregated pass instead of a join back to the rows. A total that is not positive gives
+    plain means.
+    """
+    total, n = F.col("__total"), F.col("Article_Count")
+    sums = {c: (F.sum(finite(F.col(c) * F.col(raw))), F.sum(finite(F.col(c)))) for c in columns}
+    agg = df.groupBy(*DAY).agg(
+        F.sum(raw).alias("__total"),
+        F.count(F.lit(1)).alias("Article_Count"),
+        *[x.alias(f"__{k}_{c}") for c, pair in sums.items() for k, x in zip("wp", pair)],
+    )
+    means = {
+        c: F.coalesce(
+            F.when(total > 0, F.try_divide(F.col(f"__w_{c}"), total)).otherwise(F.col(f"__p_{c}") / n), F.lit(0.0)
+        )
+        for c in columns
+    }
+    return agg.select(*DAY, *[m.alias(c) for c, m in means.items()], "Article_Count")
+
+
 def joined_headlines(order: str, headline: str = "Headline") -> Column:
     """All headlines of a capped group in feed order."""
     rows = F.array_sort(F.collect_list(F.struct(order, F.coalesce(F.col(headline), F.lit("")).alias("h"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presspulse.plans import q_articles, q_market
+from presspulse.plans import q_articles, q_daily, q_market
 from presspulse.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "q_articles", "q_market"]
+__all__ = ["ORACLES", "QUERIES", "q_articles", "q_daily", "q_market"]
