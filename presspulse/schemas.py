@@ -85,10 +85,10 @@ def finite(c: Column) -> Column:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to exactly ``schema``: order fixed, missing columns NULL, extra columns dropped."""
-    have = set(df.columns)
+    have = {c.lower() for c in df.columns}  # names resolve as in Spark, without regard to case
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
