@@ -8,7 +8,8 @@ article is a narrow projection. No join, no shuffle and no date range to outgrow
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,16 +33,36 @@ def is_trading_day(d: Column, holidays: Sequence[str] = tuple(C.HOLIDAYS)) -> Co
     return ~is_weekend(d) & ~is_holiday(d, holidays)
 
 
-def _nearest(d: Column, step: int, holidays: Sequence[str]) -> Column:
-    """First trading day among d, d+step, d+2*step, ...
+def _around_holidays(holidays: Sequence[str], step: int) -> dict[date, date]:
+    """Closed days whose nearest trading day is not simply across the weekend, with that day.
 
-    Each full week without trading uses up five weekday holidays, so a closed run is shorter
-    than 7 * (holidays // 5 + 1) days and the probe range below always contains the answer.
+    These are the holidays and the closed days leading into one, so there are a few per holiday.
     """
-    span = 7 * (len(holidays) // 5 + 2)
-    probes = F.transform(F.sequence(F.lit(1), F.lit(span)), lambda i: F.date_add(d, i * step))
-    closest = F.get(F.filter(probes, lambda x: is_trading_day(x, holidays)), F.lit(0))
-    return F.when(is_trading_day(d, holidays), d).otherwise(closest)
+    closed = set(_dates(holidays))
+    shut = lambda d: d.weekday() >= 5 or d in closed
+    move = timedelta(days=step)
+    out: dict[date, date] = {}
+    for holiday in closed:
+        target = holiday
+        while shut(target):
+            target += move
+        day = holiday
+        while shut(day):
+            out[day] = target
+            day -= move
+    return out
+
+
+def _nearest(d: Column, step: int, holidays: Sequence[str]) -> Column:
+    """First trading day among d, d+step, d+2*step, ... Weekend arithmetic, except around holidays."""
+    w = F.weekday(d)
+    shift = (F.when(w == 5, 2).when(w == 6, 1) if step > 0 else F.when(w == 5, -1).when(w == 6, -2)).otherwise(0)
+    plain = F.date_add(d, shift)
+    special = _around_holidays(holidays, step)
+    if not special:
+        return plain
+    table = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in sorted(special.items())))
+    return F.when(d.isin(list(special)), F.try_element_at(table, d)).otherwise(plain)
 
 
 def on_or_after(d: Column, holidays: Sequence[str] = tuple(C.HOLIDAYS)) -> Column:
@@ -78,7 +99,10 @@ def news_date(ts_ist: Column, holidays: Sequence[str] = tuple(C.HOLIDAYS),
     """
     shifted = F.to_date(ts_ist - F.make_dt_interval(hours=F.lit(hour), mins=F.lit(minute)))
     ref = on_or_after(F.date_add(shifted, 1), holidays)
-    return F.when(ts_ist <= window_end(ref, hour, minute), ref)
+    # only the last second of the day can lie after the window's end
+    second = F.make_dt_interval(secs=F.lit(1).cast("decimal(18,6)"))
+    past_end = ts_ist + second - F.make_dt_interval(hours=F.lit(hour), mins=F.lit(minute))
+    return F.when((F.to_date(past_end) == shifted) | (ts_ist <= window_end(ref, hour, minute)), ref)
 
 
 def within_window(ts_ist: Column, ref: Column, holidays: Sequence[str] = tuple(C.HOLIDAYS)) -> Column:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presspulse import config as C
-from presspulse.functions.text import SPACE, token_set
+from presspulse.functions.text import SPACE, bind, token_set
 from presspulse.schemas import finite
 
 
@@ -51,10 +51,14 @@ def source_reliability(
     blank: float = C.SOURCE_DEFAULT_BLANK,
 ) -> Column:
     """Weight of the longest key contained in the source name; earlier keys win ties."""
-    name = F.lower(F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", ""))
     by_length = sorted(table, key=lambda kv: -len(kv[0]))  # stable: listing order within a length
-    hits = [F.when(F.contains(name, F.lit(k.lower())), F.lit(float(w))) for k, w in by_length]
-    return F.when(c.isNull() | (name == ""), F.lit(blank)).otherwise(F.coalesce(*hits, F.lit(named)))
+
+    def longest(name: Column) -> Column:
+        hits = [F.when(F.contains(name, F.lit(k.lower())), F.lit(float(w))) for k, w in by_length]
+        return F.coalesce(*hits, F.lit(named))
+
+    empty = c.isNull() | ~c.rlike(f"[^{SPACE}]")
+    return F.when(empty, F.lit(blank)).otherwise(bind(F.lower(c), longest))
 
 
 def recency_weight(hours: Column) -> Column:
@@ -112,11 +116,6 @@ def uniform_topics() -> list[Column]:
     return [F.lit(1.0 / len(C.TOPIC_COLUMNS)) for _ in C.TOPIC_COLUMNS]
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``use`` (which may mention it many times)."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def softmax(values: Column) -> Column:
     """Stable softmax of an array column; a zero total gives the uniform distribution."""
 

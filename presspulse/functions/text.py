@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,12 +12,18 @@ from presspulse import config as C
 # Character classes spelled out, so that the meaning of "word" and "space" does not
 # depend on regex flags: letters, numbers and underscore; all Unicode separators.
 WORD = r"\p{L}\p{N}_"
+NON_WORDS = r"[^a-z0-9_\p{L}\p{N}]+"  # the same class; common characters first, since it is tested in order
 SPACE = r"\t-\r\x{1c}-\x{1f}\x{85}\p{Z}"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``use`` (which may mention it many times)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def normalize_headline(c: Column) -> Column:
     """Lower case, every run of non-word characters becomes one space, NULL becomes ''."""
-    return F.coalesce(F.trim(F.regexp_replace(F.lower(c), f"[^{WORD}]+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(F.lower(c), NON_WORDS, " ")), F.lit(""))
 
 
 def clean_text(c: Column) -> Column:
@@ -24,8 +32,9 @@ def clean_text(c: Column) -> Column:
 
 
 def token_set(c: Column) -> Column:
-    """Distinct word tokens of the normalised text (an empty text has none)."""
-    return F.filter(F.array_distinct(F.split(normalize_headline(c), " ")), lambda t: t != "")
+    """Distinct words of the normalised text (an empty text has none)."""
+    words = F.split(F.lower(F.coalesce(c, F.lit(""))), NON_WORDS)
+    return F.array_remove(F.array_distinct(words), "")
 
 
 def scoring_text(headline: Column, summary: Column) -> Column:
@@ -58,7 +67,7 @@ def canonical_url(c: Column) -> Column:
         return (pair != "") & ~tracked
 
     pairs = F.filter(F.split(F.regexp_extract(url, _URL_PARTS, 3), "&"), keep)
-    query = F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise("")
+    query = bind(pairs, lambda p: F.when(F.size(p) > 0, F.concat(F.lit("?"), F.array_join(p, "&"))).otherwise(""))
     return F.coalesce(F.regexp_replace(F.concat(host, path, query), "^/+", ""), F.lit(""))
 
 
@@ -71,12 +80,15 @@ def is_valid_url(c: Column) -> Column:
 
 def publisher_from_url(c: Column) -> Column:
     """Known publisher of the host (exact or sub-domain, first listed wins), else the bare host, else ''."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(c, _WEB_URL, 1)), r"^www\.", "")
-    known = [
-        F.when((host == domain) | F.endswith(host, F.lit("." + domain)), F.lit(name))
-        for domain, name in C.PUBLISHER_DOMAINS
-    ]
-    return F.coalesce(*known, host, F.lit(""))
+
+    def known(host: Column) -> Column:
+        names = [
+            F.when((host == domain) | F.endswith(host, F.lit("." + domain)), F.lit(name))
+            for domain, name in C.PUBLISHER_DOMAINS
+        ]
+        return F.coalesce(*names, host, F.lit(""))
+
+    return bind(F.regexp_replace(F.lower(F.regexp_extract(c, _WEB_URL, 1)), r"^www\.", ""), known)
 
 
 # --- page bodies -----------------------------------------------------------------

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presspulse import config as C
-from presspulse.functions.scoring import bind
-from presspulse.functions.text import WORD, canonical_url, normalize_headline, parse_published_at, publisher_from_url
+from presspulse.functions.text import NON_WORDS, WORD, bind, canonical_url, normalize_headline, parse_published_at, publisher_from_url
 from presspulse.sources.storage import cut_lineage
 
 
@@ -61,9 +60,8 @@ def mentions(text: Column, names: Column) -> Column:
 
 def text_words(text: Column) -> Column:
     """Distinct case-folded words of a text, always with '' among them."""
-    return F.array_distinct(
-        F.concat(F.array(F.lit("")), F.split(fold_case(F.regexp_replace(text, f"[^{WORD}]+", " ")), " "))
-    )
+    words = F.split(fold_case(text), NON_WORDS)
+    return F.array_distinct(F.concat(F.array(F.lit("")), words))
 
 
 def name_table(companies: DataFrame) -> DataFrame:
@@ -79,7 +77,7 @@ def name_table(companies: DataFrame) -> DataFrame:
         "ticker",
         mention_pattern(F.col("alias")).alias("pattern"),
         F.array_distinct(
-            F.split(F.trim(fold_case(F.regexp_replace("alias", f"[^{WORD}]+", " "))), " ")
+            F.split(F.trim(F.regexp_replace(fold_case(F.col("alias")), NON_WORDS, " ")), " ")
         ).alias("words"),
     )
     exploded = names.withColumn("word", F.explode("words"))
@@ -198,37 +196,40 @@ def surviving_orders(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
     No group is ever gathered. Copies with both keys equal collapse first, in a pre-aggregated
     group-by. Then each round keeps the rows that come first among their URL key and among their
-    headline key, and drops the rows that share a key with a kept one; what is left goes to the
-    next round. Per-key minima are pre-aggregated, and joining them back gives one small row per
-    key, so a hot key splits under adaptive skew handling. Every round settles at least the
-    earliest open row of each group, and rounds go on until none is open.
+    headline key, drops the rows that share a key with a kept one, and passes the others on. The
+    first row of each key is pre-aggregated, and joining it back gives one small row per key, so a
+    hot key splits under adaptive skew handling. Every round settles at least the earliest open
+    row of each group, and rounds go on until none is open.
     """
     keys = list(keys)
+    has_url, has_head = F.col("url_key") != "", F.col("headline_key") != ""
     pairs = (
-        df.groupBy(*keys, "url_key", "headline_key")
-        .agg(F.min(order).alias(order))
-        .where((F.col("url_key") != "") | (F.col("headline_key") != ""))
-        .select(*keys, "url_key", "headline_key", order)
+        df.where(has_url | has_head).groupBy(*keys, "url_key", "headline_key").agg(F.min(order).alias(order))
     )
-    kept = df.where((F.col("url_key") == "") & (F.col("headline_key") == "")).select(*keys, order)
+    kept = df.where(~has_url & ~has_head).select(*keys, order)
     open_rows = cut_lineage(pairs)
-    while True:
+    while not open_rows.isEmpty():
+        first = {
+            k: open_rows.where(F.col(k) != "").groupBy(*keys, k).agg(F.min(order).alias(f"first_{k}"))
+            for k in ("url_key", "headline_key")
+        }
         marked = open_rows
-        first = F.lit(True)
-        for k in ("url_key", "headline_key"):
-            low = open_rows.where(F.col(k) != "").groupBy(*keys, k).agg(F.min(order).alias(f"__{k}"))
+        for k, low in first.items():
             marked = marked.join(low, [*keys, k], "left")
-            first = first & (F.col(f"__{k}").isNull() | (F.col(f"__{k}") == F.col(order)))
-        marked = cut_lineage(marked.select(*keys, "url_key", "headline_key", order, first.alias("__wins")))
-        winners = marked.where("__wins")
+        leads_url = ~has_url | (F.col("first_url_key") == F.col(order))
+        leads_head = ~has_head | (F.col("first_headline_key") == F.col(order))
+        marked = cut_lineage(
+            marked.select(*keys, "url_key", "headline_key", order, (leads_url & leads_head).alias("wins"))
+        )
+        winners = marked.where("wins")
         kept = kept.unionByName(winners.select(*keys, order))
-        rest = marked.where(~F.col("__wins")).drop("__wins")
-        for k in ("url_key", "headline_key"):
-            taken = winners.where(F.col(k) != "").select(*keys, k).distinct()
-            rest = rest.join(taken, [*keys, k], "left_anti")
+        rest = marked.where("NOT wins")
+        if rest.isEmpty():
+            break
+        for k in first:
+            rest = rest.join(winners.where(F.col(k) != "").select(*keys, k), [*keys, k], "left_anti")
         open_rows = cut_lineage(rest.select(*keys, "url_key", "headline_key", order))
-        if open_rows.isEmpty():
-            return kept
+    return kept
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -41,7 +41,7 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     Ordered aggregates instead of ranked rows: trades are pre-aggregated where they are read, and
     only one row per brand, day and input partition is shuffled.
     """
-    trades = read_table(spark, folder, "lineitem").select(
+    trades = spread_if_narrow(read_table(spark, folder, "lineitem")).select(
         "l_partkey",
         F.to_date("l_shipdate").alias("Date"),
         F.try_divide("l_extendedprice", "l_quantity").alias("px"),

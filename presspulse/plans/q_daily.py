@@ -51,7 +51,7 @@ def _weighted_days(spark: SparkSession, folder: str) -> DataFrame:
     "daily_weighted_sentiment",
     with_views(
         "dated_times probs",
-        f"""select ticker as "Ticker", news_date as "News_Date", {r('sum(score * weight)')} as "Sentiment_Score",
+        f"""select ticker as "Ticker", news_date as "News_Date", {r('coalesce(sum(score * weight), 0.0::double)')} as "Sentiment_Score",
         {r('sum(pos * weight)')} as "Sentiment_Positive", {r('sum(neu * weight)')} as "Sentiment_Neutral",
         {r('sum(neg * weight)')} as "Sentiment_Negative", count(*) as "Article_Count" from wts group by ticker, news_date""",
         _WEIGHTED,
