@@ -59,8 +59,14 @@ def add_short_volatility(df: DataFrame, date: str = "News_Date") -> DataFrame:
     )
 
 
-def engineered(daily: DataFrame, codes: DataFrame, date: str = "News_Date") -> DataFrame:
-    """The 20 rolling-history features of every ticker and day, missing values filled with 0."""
+def engineered(
+    daily: DataFrame, codes: DataFrame, date: str = "News_Date", keep: Sequence[str] = ()
+) -> DataFrame:
+    """The 20 rolling-history features of every ticker and day, missing values filled with 0.
+
+    ``keep`` names input columns to carry along, so that other feature families can be added to
+    the same rows without a join.
+    """
     df = add_short_volatility(add_momentum_means(add_sentiment_means(daily, date), date), date)
     month_sin, month_cos = M.cyclical(F.month(date), 12)
     dow_sin, dow_cos = M.cyclical(F.weekday(date), 7)
@@ -77,26 +83,27 @@ def engineered(daily: DataFrame, codes: DataFrame, date: str = "News_Date") -> D
     )
     df = df.join(codes.withColumnRenamed("ticker", "Ticker"), "Ticker", "left")
     df = df.withColumn("Ticker_Code", F.coalesce("Ticker_Code", F.lit(-1)))
-    return df.select(
-        "Ticker", date, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in C.ENGINEERED_COLUMNS]
-    )
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in C.ENGINEERED_COLUMNS]
+    return df.select("Ticker", date, *keep, *filled)
 
 
-def same_day(daily: DataFrame, date: str = "News_Date") -> DataFrame:
-    """The 14 same-day features."""
+def same_day_columns() -> dict[str, Column]:
+    """The 14 same-day features as expressions over a daily row."""
     o, h, l, c = (safe_float(F.col(x)) for x in ("Open", "High", "Low", "Close"))
-    return daily.select(
-        "Ticker",
-        date,
-        o.alias("News_Day_Open"),
-        h.alias("News_Day_High"),
-        l.alias("News_Day_Low"),
-        c.alias("News_Day_Close"),
-        safe_float(F.col("Volume")).alias("News_Day_Volume"),
-        range_pct(h, l, c).alias("Day_High_Low_Spread_Pct"),
-        intraday_pct(o, c).alias("Day_Close_Open_Spread_Pct"),
-        *[safe_float(F.col(x)).alias(x) for x in ("Sentiment_Score", *C.TOPIC_COLUMNS)],
-    )
+    return {
+        "News_Day_Open": o,
+        "News_Day_High": h,
+        "News_Day_Low": l,
+        "News_Day_Close": c,
+        "News_Day_Volume": safe_float(F.col("Volume")),
+        "Day_High_Low_Spread_Pct": range_pct(h, l, c),
+        "Day_Close_Open_Spread_Pct": intraday_pct(o, c),
+        **{x: safe_float(F.col(x)) for x in ("Sentiment_Score", *C.TOPIC_COLUMNS)},
+    }
+
+
+def same_day(daily: DataFrame, date: str = "News_Date") -> DataFrame:
+    return daily.select("Ticker", date, *[c.alias(n) for n, c in same_day_columns().items()])
 
 
 def feature_vector(df: DataFrame, name: str, out: str = "features") -> DataFrame:

@@ -35,13 +35,17 @@ HEADLINE_TEMPLATES = (
 )
 
 
-def bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars per brand: first and last trade by a total trade order.
+def bars(spark: SparkSession, folder: str, after: Column | None = None) -> DataFrame:
+    """Daily bars per brand: first and last trade by a total trade order; optionally only days after one.
 
     Ordered aggregates instead of ranked rows: trades are pre-aggregated where they are read, and
     only one row per brand, day and input partition is shuffled.
     """
-    trades = spread_if_narrow(read_table(spark, folder, "lineitem")).select(
+    rows = spread_if_narrow(read_table(spark, folder, "lineitem"))
+    if after is not None:
+        # on the stored column, so that the scan can skip what lies before
+        rows = rows.where(F.col("l_shipdate") >= F.date_add(after, 1).cast("timestamp_ntz"))
+    trades = rows.select(
         "l_partkey",
         F.to_date("l_shipdate").alias("Date"),
         F.try_divide("l_extendedprice", "l_quantity").alias("px"),

@@ -198,9 +198,9 @@ def _checksum_sql(columns: list[str], values: dict[str, str]) -> str:
 )
 def feature_sets(spark: SparkSession, folder: str) -> DataFrame:
     """Every named feature vector of every row, stated by its width and position-weighted sum."""
-    eng = _engineered(spark, folder)
-    extra = FE.same_day(I.history(spark, folder)).drop("Sentiment_Score", *C.TOPIC_COLUMNS)
-    df = eng.join(extra, ["Ticker", "News_Date"])
+    prices = ["Open", "High", "Low", "Close", "Volume"]
+    df = FE.engineered(I.history(spark, folder), _codes(spark, folder), keep=prices)
+    df = df.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in df.columns})
     sets = F.array(
         *[
             F.struct(F.lit(name).alias("Feature_Set"), F.array(*[F.col(c) for c in cols]).alias("v"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presspulse.config import LOOKBACK_DAYS
 from presspulse.functions import market_time as M
 from presspulse.operators import market as MK
 from presspulse.plans import inputs as I
@@ -43,7 +44,8 @@ def ohlcv_bars(spark: SparkSession, folder: str) -> DataFrame:
 )
 def ohlcv_lookback(spark: SparkSession, folder: str) -> DataFrame:
     as_of = read_table(spark, folder, "lineitem").select(F.max(F.to_date("l_shipdate"))).scalar()
-    return MK.lookback(_bars(spark, folder), as_of).select("Ticker", "Date", "Open", "High", "Low", "Close", "Adj_Close", "Volume")
+    recent = I.bars(spark, folder, after=F.date_sub(as_of, LOOKBACK_DAYS))
+    return MK.lookback(MK.normalize_bars(recent), as_of).select("Ticker", "Date", "Open", "High", "Low", "Close", "Adj_Close", "Volume")
 
 
 @query("csv_roundtrip", with_views("bars", f"select {_OHLCV_SQL} from bars"))

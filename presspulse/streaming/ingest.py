@@ -12,7 +12,7 @@ from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
-from presspulse.sources.storage import read_or_empty, replace_days
+from presspulse.sources.storage import broadcast_if_small, read_or_empty, replace_days
 
 ARRIVED = T.StructType(
     [
@@ -41,7 +41,7 @@ def ingest_batch(articles: DataFrame, batch_id: int, root: str, holidays: Sequen
     spark = articles.sparkSession
     touched = spark.read.schema(ARRIVED).parquet(f"{arrived}/batch={batch_id}").select("News_Date").distinct()
     rows = spark.read.schema(T.StructType([*ARRIVED.fields, T.StructField("batch", T.LongType())])).parquet(arrived)
-    affected = rows.join(F.broadcast(touched), "News_Date", "left_semi").withColumnsRenamed(
+    affected = rows.join(broadcast_if_small(touched), "News_Date", "left_semi").withColumnsRenamed(
         {"URL_Key": "url_key", "Headline_Key": "headline_key"}
     )
     replace_days(N.dedupe(affected, DAY, "ord"), f"{root}/articles", ARRIVED)
