@@ -8,10 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presspulse import config as C
-from presspulse.functions.text import NON_WORDS, WORD, bind, canonical_url, normalize_headline, parse_published_at, publisher_from_url
+from presspulse.functions.text import (
+    FOLDED_NON_WORDS,
+    WORD,
+    bind,
+    canonical_url,
+    normalize_headline,
+    parse_published_at,
+    publisher_from_url,
+)
 from presspulse.sources.storage import cut_lineage
 
-
 # --- feed ----------------------------------------------------------------------------
 
 
@@ -35,8 +42,12 @@ def source_name(publisher: Column, url: Column) -> Column:
 
 
 def fold_case(c: Column) -> Column:
-    """Case folding for token equality, at least as coarse as a case-insensitive regex."""
-    return F.lower(F.upper(F.lower(c)))
+    """Case folding for word equality, at least as coarse as a case-insensitive regex.
+
+    Lower then upper case joins letters that share either form; the dotted capital I is the one
+    letter whose lower case would otherwise bring in a combining mark and split the word.
+    """
+    return F.upper(F.lower(F.replace(c, F.lit("\u0130"), F.lit("i"))))
 
 
 def mention_pattern(name: Column) -> Column:
@@ -59,9 +70,8 @@ def mentions(text: Column, names: Column) -> Column:
 
 
 def text_words(text: Column) -> Column:
-    """Distinct case-folded words of a text, always with '' among them."""
-    words = F.split(fold_case(text), NON_WORDS)
-    return F.array_distinct(F.concat(F.array(F.lit("")), words))
+    """Case-folded words of a text, always with '' among them."""
+    return F.concat(F.array(F.lit("")), F.split(fold_case(text), FOLDED_NON_WORDS))
 
 
 def name_table(companies: DataFrame) -> DataFrame:
@@ -77,7 +87,7 @@ def name_table(companies: DataFrame) -> DataFrame:
         "ticker",
         mention_pattern(F.col("alias")).alias("pattern"),
         F.array_distinct(
-            F.split(F.trim(F.regexp_replace(fold_case(F.col("alias")), NON_WORDS, " ")), " ")
+            F.split(F.trim(F.regexp_replace(fold_case(F.col("alias")), FOLDED_NON_WORDS, " ")), " ")
         ).alias("words"),
     )
     exploded = names.withColumn("word", F.explode("words"))
@@ -105,7 +115,7 @@ def match_companies(
     if not local:
         return base.select(key, F.lit(None).cast("string").alias("ticker")).limit(0)
     if len(local) > small_names:
-        candidates = base.select(key, F.explode(text_words(F.col(text))).alias("word")).join(names, "word")
+        candidates = base.select(key, F.explode(F.array_distinct(text_words(F.col(text)))).alias("word")).join(names, "word")
         return (
             candidates.select(key, "ticker", "pattern")
             .join(base, key)

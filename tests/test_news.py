@@ -171,6 +171,8 @@ def test_mentions_match_whole_words_in_both_ways(spark):
         7: "",
         8: "x & y, p&q",
         9: "A&B (India)x",
+        10: "\u0130ndian O\u0131l and r\u0130l, Co\u00e4l \u212aG coa\u2113",
+        11: "NHP\u0421 ntpc Ntpc\u00b2 NTPC\u0301",
     }
     df = spark.createDataFrame(list(texts.items()), "id int, t string")
     every = companies.unionByName(odd)
