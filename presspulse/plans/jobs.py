@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.functions import scoring as S
-from presspulse.functions.text import clean_text, scoring_text
+from presspulse.functions.text import clean_text, page_text, scoring_text
 from presspulse.operators import daily as D
 from presspulse.operators import forecast as FC
 from presspulse.operators import market as MK
@@ -58,6 +58,15 @@ def select_articles(
     return N.dedupe_capped(N.duplicate_keys(mentioned).drop("names"), D.DAY, order)
 
 
+def summary_text(df: DataFrame) -> Column:
+    described = clean_text(F.col("Description"))
+    if "Html" not in df.columns:
+        return described
+    body = page_text(F.col("Html"))
+    useful = F.when(F.length(body) >= C.MIN_USEFUL_BODY_LENGTH, body)
+    return F.coalesce(F.nullif(described, F.lit("")), useful, F.lit(""))
+
+
 def score_articles(
     selected: DataFrame,
     weighting: Weighting = Weighting(),
@@ -66,12 +75,13 @@ def score_articles(
     """Add relevance, strength, reliability, recency and the share of the day's impact weight.
 
     Expects the sentiment and topic probabilities of the plugged-in scorers as columns. Relevance
-    uses the lexical overlap of text and company profile.
+    uses the lexical overlap of text and company profile. The summary is the feed's description or,
+    where that is blank, the text of a stored page given in ``Html``.
     """
     topics = [F.col(c) for c in C.TOPIC_COLUMNS]
     profile = S.company_profile(F.col("Company"), F.col("aliases"), F.col("keywords"), F.col("sector"))
     source = N.source_name(F.col("Publisher"), F.col("URL"))
-    df = selected.withColumns({"Summary": clean_text(F.col("Description")), "Source": source, "__profile": profile})
+    df = selected.withColumns({"Summary": summary_text(selected), "Source": source, "__profile": profile})
     df = df.withColumns(
         {
             "Predicted_Topic": S.arg_max_name(C.TOPIC_COLUMNS, topics),
