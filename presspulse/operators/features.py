@@ -116,11 +116,17 @@ def latest_rows(df: DataFrame, date: str = "News_Date") -> DataFrame:
     return df.groupBy("Ticker").agg(F.max_by(F.struct(*rest), date).alias("r")).select("Ticker", "r.*")
 
 
-def sequences(
-    features: DataFrame, columns: Sequence[str], length: int = C.SEQUENCE_LENGTH, date: str = "News_Date"
+def add_sequence(
+    features: DataFrame, columns: Sequence[str], out: str, length: int = C.SEQUENCE_LENGTH, date: str = "News_Date"
 ) -> DataFrame:
     """The last ``length`` feature rows up to each day, the earliest one repeated in front."""
     w = Window.partitionBy("Ticker").orderBy(date).rowsBetween(1 - length, 0)
     seq = F.collect_list(F.array(*[F.col(c) for c in columns])).over(w)
-    padded = F.concat(F.array_repeat(F.get("seq", F.lit(0)), F.lit(length) - F.size("seq")), F.col("seq"))
-    return features.select("Ticker", date, seq.alias("seq")).withColumn("seq", padded)
+    padded = F.concat(F.array_repeat(F.get(out, F.lit(0)), F.lit(length) - F.size(out)), F.col(out))
+    return features.withColumn(out, seq).withColumn(out, padded)
+
+
+def sequences(
+    features: DataFrame, columns: Sequence[str], length: int = C.SEQUENCE_LENGTH, date: str = "News_Date"
+) -> DataFrame:
+    return add_sequence(features, columns, "seq", length, date).select("Ticker", date, "seq")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,39 @@ def clamped_only(predictions: DataFrame) -> DataFrame:
     return predictions.where(F.col("Raw_Predicted_Value") != F.col("Predicted_Value"))
 
 
+def batch_price_model(
+    predict: Callable[[np.ndarray], np.ndarray],
+    target_scale: Sequence[tuple[float, float]] | None = None,
+    output_index: int | None = None,
+    steps: int | None = None,
+) -> Callable[[Column], Column]:
+    """Wrap an external model as a vectorised UDF over a feature array column.
+
+    ``predict`` takes one batch, rows by features, and returns one value or one vector per row. With
+    ``steps`` the column is an array of that many feature rows and a batch has three dimensions; it
+    travels flat, which transfers much faster than nested arrays. The target scaling is
+    undone on the whole vector before one output is picked. A batch that fails, or a result of the
+    wrong length, gives NULL for its rows, which then yield no prediction.
+    """
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rows in batches:
+            try:
+                x = np.stack(rows.to_list()).astype("float64")
+                if steps is not None:
+                    x = x.reshape(len(rows), steps, -1)
+                out = np.asarray(predict(x), dtype="float64").reshape(len(rows), -1)
+                if target_scale is not None:
+                    mean, scale = np.array(target_scale, dtype="float64").T
+                    out = out * scale + mean
+                yield pd.Series(out[:, output_index or 0])
+            except Exception:  # noqa: BLE001 - a failing model must not end the job
+                yield pd.Series(np.full(len(rows), np.nan))
+
+    return score if steps is None else lambda column: score(F.flatten(column))
+
+
 # --- scaling ---------------------------------------------------------------------------------
 
 

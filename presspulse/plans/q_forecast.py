@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presspulse import config as C
+from presspulse.operators import features as FE
 from presspulse.operators import forecast as FC
 from presspulse.operators import regression as R
 from presspulse.plans import inputs as I
@@ -212,3 +214,97 @@ def ml_predictions(spark: SparkSession, folder: str) -> DataFrame:
         *_KEYS, "Backend", rounded("Raw_Predicted_Value", 4).alias("Raw_Predicted_Value"),
         rounded("Predicted_Value", 4).alias("Predicted_Value"),
     )
+
+
+_OLS = "regr_intercept({y}, close) over () + regr_slope({y}, close) over () * close"
+
+
+@query(
+    "single_factor_model",
+    with_views(
+        "bars",
+        f"""select ticker as "Ticker", bar_date as "News_Date", {r(_OLS.format(y='no'), 3)} as "Predicted_Open",
+        {r(_OLS.format(y='nc'), 3)} as "Predicted_Close" from (
+          select ticker, bar_date, close, lead(open) over w as no, lead(close) over w as nc from bars
+          window w as (partition by ticker order by bar_date))""",
+    ),
+)
+def single_factor_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The trained chain with the close as its only input, which is an ordinary regression line."""
+    daily = _daily(spark, folder)
+    fit, model = R.train(daily, ["Close"], components=1)
+    out = R.predict(daily, fit, model)
+    return out.select("Ticker", "News_Date", *[rounded(f"Predicted_{t}", 3).alias(f"Predicted_{t}") for t in R.TARGETS])
+
+
+# --- the configured models ------------------------------------------------------------------------
+
+
+def stretched(x: np.ndarray) -> np.ndarray:
+    """Stand-in for the two-output model: its scaled open and close, moved away from the mean."""
+    return x[:, [0, 3]] * 1.1
+
+
+def mean_mood(x: np.ndarray) -> np.ndarray:
+    """Stand-in for the sequence models: mean sentiment over the steps."""
+    return x[:, :, 0].mean(axis=1)
+
+
+_STRETCH = "1.1::double * ({c} - (select avg({c}) from history)) + (select avg({c}) from history)"
+_MOOD = "mood * (select stddev_pop({c}) from history) + (select avg({c}) from history)"
+_CONFIGURED = [
+    ("ranked", "select *, row_number() over (partition by ticker order by news_date) as rn from history"),
+    (
+        "moods",
+        """select e.ticker, e.news_date, avg(f.score) as mood from ranked e cross join range(1, 16) s(i)
+        join ranked f on f.ticker = e.ticker and f.rn = greatest(1, e.rn - 15 + s.i) group by e.ticker, e.news_date""",
+    ),
+    (
+        "raw",
+        " union all ".join(
+            f"""select h.ticker, h.news_date, '{name}' as model_name, '{target}' as target, h.close as last_close,
+            {sql.format(c=target.lower())} as raw from history h join moods using (ticker, news_date)"""
+            for name, sql in (("stock_news_rf", _STRETCH), ("lstm_keras", _MOOD))
+            for target in ("Open", "Close")
+        ),
+    ),
+]
+
+
+@query(
+    "configured_models",
+    with_views(
+        "history",
+        f"""select {_KEY}, case model_name when 'lstm_keras' then 'keras' else 'sklearn' end as "Backend", true as "Unverified",
+        {r('raw', 3)} as "Raw_Predicted_Value",
+        {r('greatest(last_close * 0.8::double, least(last_close * 1.2::double, raw)) / last_close')} as "Share_Of_Close" from raw""",
+        _CONFIGURED,
+    ),
+)
+def configured_models(spark: SparkSession, folder: str) -> DataFrame:
+    """The configured model list over the whole history: same-day and sequence inputs, input and
+    target scaling, two outputs of one model, and all results in one long table. The trained
+    artifacts are not public, so stand-in functions take their places."""
+    daily = I.history(spark, folder)
+    stats = FC.scaler_values(FC.fit_scaler(FE.same_day(daily), C.SAME_DAY_COLUMNS))
+    # the target scaling is that of the same day's open and close
+    targets = [stats["News_Day_Open"], stats["News_Day_Close"]]
+    codes = FE.ticker_codes(I.companies(spark, folder))
+    df = FE.engineered(daily, codes, keep=["Open", "High", "Low", "Close", "Volume"])
+    df = df.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in df.columns})
+    models = []
+    for s in C.MODEL_SPECS:
+        columns = C.FEATURE_SETS[s.feature_set]
+        if s.sequence_length:
+            name = f"seq_{s.target}"
+            df = FE.add_sequence(df, columns, name, s.sequence_length)
+            scale = [targets[0 if s.target == "Open" else 1]]
+            models.append((s, FC.batch_price_model(mean_mood, scale, steps=s.sequence_length)(F.col(name))))
+        else:
+            vector = F.array(*[FC.standardize(F.col(c), *stats[c]) for c in columns])
+            models.append((s, FC.batch_price_model(stretched, targets, s.output_index)(vector)))
+    out = FC.predict_long(df, models, ["Ticker", "News_Date"])
+    return out.select(
+        *_KEYS, "Backend", "Unverified", rounded("Raw_Predicted_Value", 3).alias("Raw_Predicted_Value"),
+        rounded(F.col("Predicted_Value") / F.col("Last_Close")).alias("Share_Of_Close"),
+    )

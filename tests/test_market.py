@@ -172,6 +172,20 @@ def test_a_failing_model_yields_no_row_and_the_rest_goes_on(spark):
     assert FC.clamped_only(FC.predict_long(df, models, ["Ticker"])).count() == 1
 
 
+def test_external_models_scale_pick_and_fail_alone(spark):
+    df = spark.createDataFrame([("T", 100.0, [1.0, 2.0]), ("U", 100.0, [3.0, 4.0])], "Ticker string, Close double, v array<double>")
+
+    def broken(x):
+        raise RuntimeError("no artifact")
+
+    two = FC.batch_price_model(lambda x: x, [(100.0, 1.0), (90.0, 10.0)], 1)
+    models = [(spec("two"), two(F.col("v"))), (spec("broken"), FC.batch_price_model(broken)(F.col("v")))]
+    got = FC.predict_long(df, models, ["Ticker"]).collect()
+    assert {(r["Ticker"], r["Model_Name"], r["Raw_Predicted_Value"], r["Predicted_Value"]) for r in got} == {
+        ("T", "two", 110.0, 110.0), ("U", "two", 130.0, 120.0),
+    }
+
+
 def metrics(spark, rows):
     df = spark.createDataFrame([("T", "m", "Close", *r) for r in rows], "Ticker string, Model_Name string, Target string, Actual_Value double, Predicted_Value double, Last_Close double")
     return FC.accuracy(df)
