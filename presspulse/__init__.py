@@ -1 +1,9 @@
 """Spark-native analytics over news feeds and daily market bars."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run in Python workers travel with their code, so that executors need no
+# copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
