@@ -17,7 +17,7 @@ from presspulse.functions.text import (
     parse_published_at,
     publisher_from_url,
 )
-from presspulse.sources.storage import cut_lineage
+from presspulse.sources.storage import broadcast_if_small, cut_lineage
 
 # --- feed ----------------------------------------------------------------------------
 
@@ -101,13 +101,14 @@ def name_table(companies: DataFrame) -> DataFrame:
 
 
 def match_companies(
-    articles: DataFrame, companies: DataFrame, key: str, text: str, small_names: int = 2_000
+    articles: DataFrame, companies: DataFrame, key: str, text: str, small_names: int = 200
 ) -> DataFrame:
     """All (article, ticker) pairs where the article mentions the company's name or an alias.
 
     Words select the candidates and the regex decides. Up to ``small_names`` names travel with the
     plan as a literal and the match is a narrow projection without a shuffle; beyond that, words of
-    texts and selective words of names meet in a shuffled equality join. Both give the same pairs.
+    texts and selective words of names meet in an equality join, shuffled unless the names pass the
+    broadcast check. Both give the same pairs.
     """
     names = name_table(companies)
     base = articles.select(key, text).where(F.col(text) != "")
@@ -115,7 +116,8 @@ def match_companies(
     if not local:
         return base.select(key, F.lit(None).cast("string").alias("ticker")).limit(0)
     if len(local) > small_names:
-        candidates = base.select(key, F.explode(F.array_distinct(text_words(F.col(text)))).alias("word")).join(names, "word")
+        words = base.select(key, F.explode(F.array_distinct(text_words(F.col(text)))).alias("word"))
+        candidates = words.join(broadcast_if_small(names), "word")
         return (
             candidates.select(key, "ticker", "pattern")
             .join(base, key)

@@ -58,7 +58,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Spread a scan with fewer splits than cores over all cores, ahead of heavy per-row work.
 
-    A large table has more splits than cores and is returned as it is, without a shuffle.
+    Expects a plain scan. A large table has more splits than cores and is returned as it is, without
+    a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
