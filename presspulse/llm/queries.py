@@ -3,14 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from presspulse.llm.decontaminate import contaminations
 from presspulse.llm.near_dedup import near_duplicate_classes
+from presspulse.llm.packing import packed_pieces
+from presspulse.llm.pii import listed, personal_data
+from presspulse.llm.toxicity import score_toxicity
 from presspulse.sources.storage import read_table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read_table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[number(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(read_table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_toxicity, op5_pii, op6_packing, op10_near_dedup)}
 ORACLES: dict[str, str] = {}
