@@ -78,10 +78,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(held)
 
 
-def words(texts: pa.Array) -> Words:
+def words(texts: pa.Array, word_byte: np.ndarray = WORD_BYTE, lower: bool = True) -> Words:
     """Hashes of the words of every text, in order."""
-    data, offsets = utf8(pc.utf8_lower(texts))
-    inside = WORD_BYTE[data]
+    data, offsets = utf8(pc.utf8_lower(texts) if lower else texts)
+    inside = word_byte[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
