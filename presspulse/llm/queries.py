@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presspulse.llm.decontaminate import contaminations
+from presspulse.llm.html_text import extracted_text
 from presspulse.llm.near_dedup import near_duplicate_classes
 from presspulse.llm.packing import packed_pieces
 from presspulse.llm.pii import listed, personal_data
+from presspulse.llm.quality_rules import line_quality
+from presspulse.llm.statements import LINE_QUALITY
 from presspulse.llm.toxicity import score_toxicity
+from presspulse.llm.url_filter import judged_urls
+from presspulse.llm.warc import round_trip
 from presspulse.sources.storage import read_table
 
 
@@ -17,6 +22,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -36,9 +45,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(read_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_text(read_table(spark, sf_dir, "pages"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_toxicity, op5_pii, op6_packing, op10_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_quality_rules, op3_toxicity, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
+    )
+}
+ORACLES = {"op2_quality_rules": LINE_QUALITY}
