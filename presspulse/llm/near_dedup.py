@@ -12,8 +12,12 @@ whatever ``k`` is, and two documents agree in a coordinate with the probability
 
 Candidates share all coordinates of one of ``BANDS`` bands (a pair at 0.8 is missed with probability
 5e-6). Documents with equal bags are one node. Each band bucket first links its members to its
-smallest member only; after verification, buckets that still hold several components are joined with
-themselves across components, so each candidate pair is either verified or connected already.
+smallest member only. After verification, buckets that still hold several components are looked at
+again, so that each candidate pair is either compared or connected already. Small ones give the pairs
+across components, at most ``SMALL_BUCKET / 2`` a member. Large ones are joined to families that are dealt
+into blocks of bounded size; a task compares two blocks with matrix products and returns only links that
+join components, fewer than it has documents. This work is quadratic in a family whose members stayed
+apart, in arithmetic and not in rows.
 
 Defined results: documents without a word, or with a null id, link to nothing; repeated rows of an id
 are copies; ties take the smallest id; other columns are ignored.
@@ -33,6 +37,8 @@ from presspulse.llm.tokens import BASE, SIMILARITY, U, mix, shingles, text_slice
 from presspulse.sources.storage import cut_lineage
 
 BANDS, ROWS = 40, 6
+SMALL_BUCKET = 32
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
 COORDINATES = BANDS * ROWS
 # Ranks are fixed-point numbers with this many bits after the point, in RANK_BITS altogether.
 RANK_POINT, RANK_BITS = 33, 47
@@ -150,12 +156,68 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
-def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, class_id, n_links)`` for each row of ``docs(doc_id, text)``.
+def _similar(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Index pairs of the bags, as arrays of cells, that are similar enough."""
+    flat = lambda bags: (np.concatenate([*bags, np.zeros(0, U)]), np.repeat(np.arange(len(bags)), [len(x) for x in bags]))
+    (xa, da), (xb, db) = flat(a), flat(b)
+    both = np.intersect1d(xa, xb)
+    common = np.zeros((len(a), len(b)), np.float32)
+    held_a, held_b = np.isin(xa, both), np.isin(xb, both)
+    ia, da, ib, db = np.searchsorted(both, xa[held_a]), da[held_a], np.searchsorted(both, xb[held_b]), db[held_b]
+    for at in range(0, len(both), 2048):
+        left, right = np.zeros((len(a), 2048), np.float32), np.zeros((len(b), 2048), np.float32)
+        some = (ia >= at) & (ia < at + 2048)
+        left[da[some], ia[some] - at] = 1
+        some = (ib >= at) & (ib < at + 2048)
+        right[db[some], ib[some] - at] = 1
+        common += left @ right.T
+    total = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+    return np.argwhere(common >= SIMILARITY * (total - common) * (1 - 1e-9))
 
-    ``class_id`` is the smallest id of the class. ``n_links`` counts the verified links of the
-    document's text to different texts; links inside a class that were not needed are not looked at.
-    """
+
+def _compare_blocks(group: pa.Table) -> pa.Table:
+    """Links that join components within the two blocks of a group."""
+    group = group.combine_chunks()
+    bag = shingles(words(group["text"].combine_chunks()))
+    cells, ends = bag_cells(bag.doc, bag.hash), np.cumsum(bag.count)
+    bags = [cells[e - n : e] for e, n in zip(ends, bag.count, strict=True)]
+    block, node, part = (group[c].to_numpy() for c in ("block", "node", "part"))
+    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    rows, columns = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    found = _similar([bags[i] for i in rows], [bags[i] for i in columns])
+    i, j = rows[found[:, 0]], columns[found[:, 1]]
+    up = {p: p for p in part.tolist()}
+
+    def top(p: int) -> int:
+        while up[p] != p:
+            up[p] = up[up[p]]
+            p = up[p]
+        return p
+
+    links = []
+    for x in np.flatnonzero(part[i] != part[j]):
+        p, q = top(int(part[i[x]])), top(int(part[j[x]]))
+        if p != q:
+            up[p] = q
+            links.append(x)
+    return pa.table({"a": np.minimum(node[i[links]], node[j[links]]), "b": np.maximum(node[i[links]], node[j[links]])})
+
+
+def linked_in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` across the components of ``members(bucket, node, n, part)`` within families."""
+    hubs = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    family = components(members.join(hubs, "bucket").select("a", F.col("node").alias("b")).distinct())
+    once = members.select("node", "n", "part").distinct().join(family, "node")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
+    dealt = once.join(once.groupBy("component").agg(blocks), "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    met = met.select("component", "node", "part", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    whole = met.join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    return whole.groupBy("component", "low", "high").applyInArrow(_compare_blocks, "a long, b long")
+
+
+def near_duplicate_classes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, class_id)`` for each row of ``docs(doc_id, text)``; ``class_id`` is the class's smallest id."""
     docs = docs.select("doc_id", "text")
     signed = cut_lineage(docs.mapInArrow(_sign, "doc_id long, bag1 long, bag2 long, n long, bands array<long>"))
     known = signed.where("n > 0 and doc_id is not null")
@@ -172,11 +234,12 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     links = cut_lineage(verified(stars, texts))
     classes = components(links)
 
-    # what the smallest member did not connect: pairs across components of a bucket
+    # what the smallest members did not connect: members of a bucket in different components
     placed = bucketed.join(classes, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("part"))
-    split = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("bucket")
-    open_rows = placed.join(split, "bucket", "left_semi")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+    split = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("size")).where("p < q")
+    open_rows = cut_lineage(placed.join(split.select("bucket", "size"), "bucket"))
+    small, large = open_rows.where(F.col("size") <= SMALL_BUCKET), open_rows.where(F.col("size") > SMALL_BUCKET)
+    x, y = small.alias("x"), small.alias("y")
     across = (
         x.join(y, F.expr("x.bucket = y.bucket and x.node < y.node and x.part <> y.part"))
         .where(fits("x.n", "y.n"))
@@ -184,16 +247,15 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    links = links.unionAll(cut_lineage(verified(across, texts)))
+    links = links.unionAll(cut_lineage(verified(across, texts))).unionAll(cut_lineage(linked_in_blocks(large, texts)))
     classes = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    of_head = heads.join(classes, heads.rep == classes.node, "left").join(degree, heads.rep == degree.node, "left")
-    of_head = of_head.select("bag1", "bag2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_rep = heads.join(classes, heads.rep == classes.node, "left")
+    of_rep = of_rep.select("bag1", "bag2", F.coalesce("component", "rep").alias("class_id"), F.lit(True).alias("worded"))
     worded = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.lit(True))
     return (
         signed.select("doc_id", "bag1", "bag2", worded.alias("worded"))
-        .join(of_head.withColumn("worded", F.lit(True)), ["bag1", "bag2", "worded"], "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        .join(of_rep, ["bag1", "bag2", "worded"], "left")
+        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     )
 
 
