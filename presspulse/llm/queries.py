@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from presspulse.llm.decontaminate import contaminations
 from presspulse.llm.html_text import extracted_text
 from presspulse.llm.near_dedup import near_duplicate_classes
+from presspulse.llm.ngram_quality import perplexity_quality
 from presspulse.llm.packing import packed_pieces
 from presspulse.llm.pii import listed, personal_data
 from presspulse.llm.quality_rules import line_quality
@@ -30,6 +31,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(read_table(spark, sf_dir, "documents"))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -64,7 +69,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontaminate, op2_quality_rules, op3_toxicity, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
+        op1_decontaminate, op2_quality_rules, op3_toxicity, op4_ngram_quality, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
     )
 }
 ORACLES = {"op2_quality_rules": LINE_QUALITY}
