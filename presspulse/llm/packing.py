@@ -27,7 +27,6 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from tiktoken.registry import ENCODINGS
 
 SEQUENCE = 2048
 END = 1
@@ -41,11 +40,12 @@ ROWS_AT_ONCE = 4096
 
 def encoding(path: str) -> tiktoken.Encoding:
     """The tokenizer of a rank file; tasks of one worker process share it."""
-    if path not in ENCODINGS:
+    known = tiktoken.registry.ENCODINGS  # by way of the module, which is not shipped with the task
+    if path not in known:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        ENCODINGS[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return ENCODINGS[path]
+        known[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    return known[path]
 
 
 class Packer:
