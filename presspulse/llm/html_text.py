@@ -30,7 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,23 +147,26 @@ def page_tokens(page: str) -> Counter:
     return Counter([*(_hash(t) & ~1 for t in tags), *(_hash(b.path, x) | 1 for b in blocks if (x := b.text()))])
 
 
-def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors of the tokens of the pages at hand, added up by host."""
-    for frame in frames:
+    for batch in batches:
         rows: dict[tuple, list[int]] = {}
-        for host, page in zip(frame.host, frame.html, strict=True):
-            key = _hash(page or "")
-            for token, n in page_tokens(page or "").items():
+        for host, page in zip(batch["host"].to_pylist(), batch["html"], strict=True):
+            page = page.as_py() or ""
+            key = _hash(page)
+            for token, n in page_tokens(page).items():
                 held = rows.setdefault((host, token), [0, 0, 0])
                 held[0] += 1
                 held[1] += n
                 held[2] = (held[2] + key * n) & 0xFFFFFFFF  # the sum of any number of these fits a long
-        yield pd.DataFrame([(h, t, *v) for (h, t), v in rows.items()], columns=["host", "token", "pages", "total", "vector"])
+        columns = zip(*((h, t, *v) for (h, t), v in rows.items()), strict=True) if rows else [()] * 5
+        kinds = [pa.string(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "token", "pages", "total", "vector"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """``(host, token)``: the text tokens of the valid classes of each host of ``pages(host, html)``."""
-    seen = pages.mapInPandas(_tokens, "host string, token long, pages long, total long, vector long")
+    seen = pages.mapInArrow(_tokens, "host string, token long, pages long, total long, vector long")
     vectors = seen.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.pmod(F.sum("vector"), F.lit(1 << 32)).alias("vector"))
     sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     often = vectors.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
@@ -188,23 +191,23 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     return " ".join(out)
 
 
-def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         held: dict[str, frozenset[int]] = {}
         texts = []
-        for host, page, template in zip(frame.host, frame.html, frame.template, strict=True):
+        for host, page, template in zip(batch["host"].to_pylist(), batch["html"], batch["template"], strict=True):
             if host not in held:
-                held[host] = frozenset(template if template is not None else ())
-            texts.append(main_text(page, held[host]))
-        yield pd.DataFrame({"page_id": frame.page_id, "url": frame.url, "text": texts})
+                held[host] = frozenset(template.as_py() or ())
+            texts.append(main_text(page.as_py(), held[host]))
+        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def extracted_text(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for each row of ``pages(page_id, url, html)``."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_and_path(F.col("url"))["host"].alias("host"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", host_and_path(F.col("url"))["host"].alias("host"))
     found = cut_lineage(templates(rows.select("host", "html")))
     by_host = found.groupBy("host").agg(F.collect_list("token").alias("template"))  # at most the tokens of a page / LEAST_SHARE
     if found.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         by_host = F.broadcast(by_host)
-    whole = rows.join(by_host, "host", "left").mapInPandas(_extract, "page_id long, url string, text string")
+    whole = rows.join(by_host, "host", "left").mapInArrow(_extract, "page_id long, url string, text string")
     return whole.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +61,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return docs.select("doc_id", "text").join(few, "doc_id").select("doc_id", "text", "toxic")
 
 
-def _feature_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = {0: Counter(), 1: Counter()}
-    for frame in frames:
-        for text, toxic in zip(frame.text, frame.toxic, strict=True):
+    for batch in batches:
+        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
             counts[toxic].update(features(text))
     names = [*dict.fromkeys([*counts[0], *counts[1]])]
-    yield pd.DataFrame({"feature": names, "clean": [counts[0][x] for x in names], "bad": [counts[1][x] for x in names]})
+    numbers = [pa.array([counts[v][x] for x in names], pa.int64()) for v in (0, 1)]
+    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *numbers], names=["feature", "clean", "bad"])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -146,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     share = lambda c: F.col(c) / float(sizes[int(c == "bad")])
     pooled = (F.col("bad") + F.col("clean")) / float(sum(sizes.values()))
-    counts = sample.select("text", "toxic").mapInPandas(_feature_counts, "feature string, clean long, bad long")
+    counts = sample.select("text", "toxic").mapInArrow(_feature_counts, "feature string, clean long, bad long")
     best = (
         counts.groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))

@@ -55,9 +55,10 @@ def cuts(payload: memoryview, size: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         end = min(begin + size, n)
         while begin < end < n and payload[end] & 0xC0 == 0x80:
             end -= 1
-        found = bytes(payload[begin : min(end + len(BOUNDARY), n)]).find(BOUNDARY)
-        if found >= 0 and begin + found + INSIDE < end:
-            end = begin + found + INSIDE
+        # a head ends like a record, so it counts as part of a boundary
+        found = (RECORD_END.encode() + bytes(payload[begin:end])).find(BOUNDARY)
+        if found >= 0:
+            end = begin + found + INSIDE - len(RECORD_END)
         yield begin, end
         begin = end
         if begin >= n:
