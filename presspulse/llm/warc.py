@@ -55,10 +55,10 @@ def cuts(payload: memoryview, size: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         end = min(begin + size, n)
         while begin < end < n and payload[end] & 0xC0 == 0x80:
             end -= 1
-        # a head ends like a record, so it counts as part of a boundary
-        found = (RECORD_END.encode() + bytes(payload[begin:end])).find(BOUNDARY)
-        if found >= 0:
-            end = begin + found + INSIDE - len(RECORD_END)
+        # the end of the head and what follows the chunk could complete a boundary
+        found = (RECORD_END.encode() + bytes(payload[begin:end]) + BOUNDARY).find(BOUNDARY) - len(RECORD_END)
+        if found < end - begin:
+            end = begin + found + INSIDE
         yield begin, end
         begin = end
         if begin >= n:

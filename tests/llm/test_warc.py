@@ -82,7 +82,7 @@ def test_cuts(text, size):
     parts = [bytes(payload[b:e]) for b, e in cuts(payload, size)]
     assert b"".join(parts) == bytes(payload)
     for p in parts:
-        assert len(p) <= size and BOUNDARY not in b"\r\n\r\n" + p
+        assert len(p) <= size and (b"\r\n\r\n" + p + BOUNDARY).index(BOUNDARY) == 4 + len(p)
         p.decode()
 
 
