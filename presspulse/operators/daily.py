@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presspulse import config as C
@@ -20,13 +20,6 @@ def normalized(raw: Column, total: Column, n: Column) -> Column:
     return F.when(total > 0, F.try_divide(raw, total)).otherwise(F.lit(1.0) / n)
 
 
-def normalize_weights_capped(df: DataFrame, raw: str, out: str, keys: Sequence[str] = DAY) -> DataFrame:
-    """Shares within groups of bounded size, on the partitioning the per-company cap has made."""
-    w = Window.partitionBy(*keys)
-    share = normalized(F.col(raw), F.sum(raw).over(w), F.count(F.lit(1)).over(w))
-    return df.withColumn(out, share)
-
-
 def normalize_weights(df: DataFrame, raw: str, out: str, keys: Sequence[str] = DAY) -> DataFrame:
     """Shares within groups of any size: totals are pre-aggregated and joined back, so a hot group
     is never brought into one task."""
@@ -64,13 +57,13 @@ def aggregate_unnormalized(df: DataFrame, raw: str, columns: Sequence[str] = WEI
 
 
 def joined_headlines(order: str, headline: str = "Headline") -> Column:
-    """All headlines of a capped group in feed order."""
+    """All headlines of a group in feed order; the result is one string, so only they and their order are gathered."""
     rows = F.array_sort(F.collect_list(F.struct(order, F.coalesce(F.col(headline), F.lit("")).alias("h"))))
     return F.array_join(F.transform(rows, lambda r: r["h"]), C.HEADLINE_SEPARATOR)
 
 
 def aggregate_day(articles: DataFrame, order: str, weight: str = "News_Impact_Weight") -> DataFrame:
-    """One row per company and day from weighted article rows of capped groups."""
+    """One row per company and day from weighted article rows."""
     return articles.groupBy(*DAY).agg(
         *weighted_sums(weight), joined_headlines(order).alias("Headlines"), F.count(F.lit(1)).alias("Article_Count")
     )

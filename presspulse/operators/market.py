@@ -102,12 +102,10 @@ def as_of_last(
 def add_reference_volatility(df: DataFrame, day: str, vol: str = "Volatility") -> DataFrame:
     """Exact median over the universe on each day; none or not positive gives the default.
 
-    The input holds one row per ticker and day, so a day's group is the universe.
+    The medians are a group-by of two narrow columns that is joined back, so wide rows are not
+    gathered by day.
     """
-    med = F.median(F.col(vol)).over(Window.partitionBy(day))
-    return df.withColumn("__med", med).withColumn(
-        "Reference_Volatility", F.coalesce(F.when(F.col("__med") > 0, F.col("__med")), F.lit(C.DEFAULT_V_REF))
-    ).drop("__med")
+    return df.join(reference_volatility(df, day, vol), day, "left")
 
 
 def reference_volatility(df: DataFrame, day: str, vol: str = "Volatility") -> DataFrame:

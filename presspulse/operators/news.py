@@ -164,45 +164,6 @@ def duplicate_keys(df: DataFrame, url: str = "URL", headline: str = "Headline")
     )
 
 
-def dedupe_capped(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """First-wins duplicate removal for groups of bounded size (after ``first_per_group``).
-
-    Rows are taken in order; a row is dropped when its URL key or headline key was seen on a kept
-    row. Dropped rows register nothing, and empty keys never match. Expects ``url_key`` and
-    ``headline_key``. The group list is folded inside the JVM; its partitioning is the one the
-    cap has already established.
-    """
-    payload = [c for c in df.columns if c not in keys and c != order]
-    rows = F.array_sort(F.collect_list(F.struct(order, *payload)))
-    strings = F.array().cast("array<string>")
-    state = F.struct(
-        F.array().cast(f"array<{df.schema[order].dataType.simpleString()}>").alias("kept"),
-        strings.alias("urls"),
-        strings.alias("heads"),
-    )
-
-    def seen(values: Column, k: Column) -> Column:
-        return (k != "") & F.array_contains(values, k)
-
-    def step(s: Column, r: Column) -> Column:
-        grown = F.struct(
-            F.concat(s["kept"], F.array(r[order])).alias("kept"),
-            F.concat(s["urls"], F.array(r["url_key"])).alias("urls"),
-            F.concat(s["heads"], F.array(r["headline_key"])).alias("heads"),
-        )
-        return F.when(seen(s["urls"], r["url_key"]) | seen(s["heads"], r["headline_key"]), s).otherwise(grown)
-
-    folded = (
-        df.groupBy(*keys)
-        .agg(rows.alias("__rows"))
-        .withColumn("__kept", F.aggregate("__rows", state, step, lambda s: s["kept"]))
-        .withColumn("__rows", F.filter("__rows", lambda r: F.array_contains(F.col("__kept"), r[order])))
-    )
-    # every group keeps at least its first row, so the outer form adds none; unlike the plain form it
-    # does not make the optimizer repeat the fold in a filter
-    return folded.select(*keys, F.inline_outer("__rows")).select(*df.columns)
-
-
 def surviving_orders(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Keys and order values of the rows that first-wins duplicate removal keeps, any group size.
 

@@ -18,7 +18,7 @@ from presspulse.operators import forecast as FC
 from presspulse.operators import market as MK
 from presspulse.operators import news as N
 from presspulse.schemas import ARTICLES, DAILY, PREDICTIONS, conform
-from presspulse.sources.storage import broadcast_if_small
+from presspulse.sources.storage import broadcast_if_small, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -39,23 +39,28 @@ def company_weight(ticker: Column, importance: dict[str, float] | None) -> Colum
 def select_articles(
     feed: DataFrame, companies: DataFrame, holidays: Sequence[str] = tuple(C.HOLIDAYS), order: str = "ord"
 ) -> DataFrame:
-    """Feed rows to the articles of each company day: cap, window, mention check, duplicates.
+    """Feed rows to the articles of each company day: window, mention check, duplicates. Days have any size.
 
-    The cap shuffles by company and day and bounds every group; all later steps that need a whole
-    company day (duplicates, weight shares, daily sums) reuse that partitioning.
+    The mention check reads the whole texts once and leaves narrow rows of keys. Duplicates are settled
+    among those, and the surviving keys select the article rows.
     """
     dated = feed.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL")
-    capped = N.first_per_group(dated, D.DAY, order)
-    names = companies.select(
-        F.col("ticker").alias("Ticker"),
-        F.col("sector"),
-        F.col("keywords"),
-        F.col("aliases"),
-        N.candidate_names(F.col("name"), F.col("aliases")).alias("names"),
+    names = broadcast_if_small(
+        cut_lineage(
+            companies.select(
+                F.col("ticker").alias("Ticker"),
+                F.col("sector"),
+                F.col("keywords"),
+                F.col("aliases"),
+                N.candidate_names(F.col("name"), F.col("aliases")).alias("names"),
+            )
+        )
     )
     text = F.concat(F.coalesce("Headline", F.lit("")), F.lit(" "), F.coalesce("Description", F.lit("")))
-    mentioned = capped.join(broadcast_if_small(names), "Ticker").where(N.mentions(text, F.col("names")))
-    return N.dedupe_capped(N.duplicate_keys(mentioned).drop("names"), D.DAY, order)
+    mentioned = dated.join(names.select("Ticker", "names"), "Ticker").where(N.mentions(text, F.col("names")))
+    keyed = cut_lineage(N.duplicate_keys(mentioned).select(*D.DAY, order, "url_key", "headline_key"))
+    kept = N.surviving_orders(keyed, D.DAY, order)
+    return dated.join(kept, [*D.DAY, order], "left_semi").join(names.drop("names"), "Ticker")
 
 
 def summary_text(df: DataFrame) -> Column:
@@ -98,7 +103,7 @@ def score_articles(
             "Source_Reliability", "Recency_Weight", "Article_Relevance", "Headline_Strength", "Company_Weight", "Topic_Weight",
         )]
     )
-    return D.normalize_weights_capped(df.withColumn("__raw", raw), "__raw", "News_Impact_Weight").drop("__raw", "__profile")
+    return D.normalize_weights(df.withColumn("__raw", raw), "__raw", "News_Impact_Weight").drop("__raw", "__profile")
 
 
 def article_table(scored: DataFrame) -> DataFrame:
@@ -131,7 +136,7 @@ def build_daily(
     hist = hist.select("Ticker", "Date", F.struct(*ohlcv).alias("Bar"), "Volatility")
     grid = MK.as_of_last(days, hist, ["Ticker"], "News_Date", "Date", ["Bar", "Volatility"])
     grid = grid.select("Ticker", "Company", "News_Date", "Bar.*", "Volatility")
-    grid = MK.add_reference_volatility(grid, "News_Date")
+    grid = MK.add_reference_volatility(cut_lineage(grid), "News_Date")
     merged = grid.join(D.aggregate_day(scored, order), list(D.DAY), "left")
     return conform(D.label_days(D.fill_empty_days(merged), params=params), DAILY)
 

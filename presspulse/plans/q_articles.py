@@ -570,7 +570,7 @@ _TOPICS_SQL = ", ".join(r(f"t{i}") + f' as "{c}"' for i, c in enumerate(C.TOPIC_
 @query(
     "dataset_articles",
     with_views(
-        "capped probs",
+        "dated probs",
         f"""select ticker as "Ticker", company as "Company", news_date as "News_Date", published_ist as "Published_At",
         title as "Headline", summ as "Summary", url as "URL", source as "Source",
         {r('pos')} as "Sentiment_Positive", {r('neu')} as "Sentiment_Neutral", {r('neg')} as "Sentiment_Negative",

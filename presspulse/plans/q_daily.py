@@ -11,7 +11,6 @@ from presspulse.functions import market_time as M
 from presspulse.functions import scoring as S
 from presspulse.operators import daily as D
 from presspulse.operators import market as MK
-from presspulse.operators import news as N
 from presspulse.plans import inputs as I
 from presspulse.plans import jobs as J
 from presspulse.plans import sql as Q
@@ -87,18 +86,16 @@ def daily_topic_argmax(spark: SparkSession, folder: str) -> DataFrame:
         """select ticker as "Ticker", news_date as "News_Date", string_agg(h, ' || ' order by ord) as "Headlines",
         count(*) as "Article_Count"
         from (select a.ord, a.ticker, w.news_date, case when a.ord % 8 = 0 then '' else a.title end as h
-              from articles_raw a join news_windows w on a.published_ist between w.wstart and w.wend
-              qualify row_number() over (partition by a.ticker, w.news_date order by a.ord) <= 40)
+              from articles_raw a join news_windows w on a.published_ist between w.wstart and w.wend)
         group by ticker, news_date""",
     ),
 )
 def daily_headlines(spark: SparkSession, folder: str) -> DataFrame:
-    """Headlines of the capped company days in feed order; a missing headline keeps its place."""
+    """Headlines of the company days in feed order; a missing headline keeps its place."""
     arts = I.articles(spark, folder, text=False, url=False)
     arts = arts.withColumn("News_Date", M.news_date(F.col("Published_At"), I.HOLIDAYS)).where("News_Date IS NOT NULL")
     arts = arts.withColumn("Headline", F.when(F.col("ord") % 8 != 0, F.col("Headline")))
-    capped = N.first_per_group(arts, D.DAY, "ord")
-    return capped.groupBy(*D.DAY).agg(
+    return arts.groupBy(*D.DAY).agg(
         D.joined_headlines("ord").alias("Headlines"), F.count(F.lit(1)).alias("Article_Count")
     )
 
@@ -275,7 +272,7 @@ _DAILY_SQL = f"""select ticker as "Ticker", company as "Company", news_date as "
 
 @query(
     "dataset_daily",
-    with_views("capped probs bars_2024 dated_times", _DAILY_SQL, Q.article_views() + Q.daily_views(), recursive=True),
+    with_views("dated probs bars_2024 dated_times", _DAILY_SQL, Q.article_views() + Q.daily_views(), recursive=True),
 )
 def dataset_daily(spark: SparkSession, folder: str) -> DataFrame:
     computed = {*D.WEIGHTED, "Volatility"}
@@ -286,7 +283,7 @@ def dataset_daily(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "run_stats",
     with_views(
-        "capped probs bars_2024 dated_times",
+        "dated probs bars_2024 dated_times",
         """select news_date as "News_Date", count(*) as "Companies", sum(n)::bigint as "Articles",
         count(*) filter (where open is not null) as "Daily_Rows", count(*) filter (where open is null) as "Quarantined",
         4 * count(*) filter (where open is not null) as "Predictions" from daily group by news_date""",

@@ -68,7 +68,6 @@ VIEWS = {
     "dated": """
   select a.*, w.news_date, w.wend from articles_raw a
   join news_windows w on a.published_ist between w.wstart and w.wend""",
-    "capped": "select * from dated qualify row_number() over (partition by ticker, news_date order by ord) <= 40",
     "history": """
   select ticker, bar_date as news_date, open, high, low, close, volume,
          ((dn * 7 + b * 3) % 21 - 10) / 10.0::double as score,
@@ -98,7 +97,6 @@ _NEEDS = {
     "news_windows": ["trading"],
     "dated_times": ["feed_times", "news_windows"],
     "dated": ["articles_raw", "news_windows"],
-    "capped": ["dated"],
     "history": ["bars"],
     "predictions": ["bars"],
     "clamped": ["predictions"],
@@ -244,11 +242,11 @@ def dedup_walk(source: str) -> list[tuple[str, str]]:
 
 
 def article_views(importance: bool = False) -> list[tuple[str, str]]:
-    """From capped feed rows to weighted article rows."""
+    """From dated feed rows to weighted article rows."""
     text = "title || ' ' || coalesce(description, '')"
     stext = r"regexp_replace(regexp_replace(title || '. ' || summary, '^[. ]+|[. ]+$', '', 'g'), '^\s+|\s+$', '', 'g')"
     return [
-        ("mentioned", f"select * from capped where {mention(text, 'company')} or {mention(text, 'alias1')}"),
+        ("mentioned", f"select * from dated where {mention(text, 'company')} or {mention(text, 'alias1')}"),
         ("keyed", f"select *, {url_key('url')} as url_key, {norm('title')} as headline_key from mentioned"),
         *dedup_walk("keyed"),
         (

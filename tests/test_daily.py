@@ -55,11 +55,10 @@ def test_unnormalized_aggregate_equals_normalizing_first(spark):
     assert zero["Sentiment_Negative"] == pytest.approx(0.5)
 
 
-@pytest.mark.parametrize("normalize", [D.normalize_weights, D.normalize_weights_capped])
-def test_weight_shares_sum_to_one_and_fall_back_to_uniform(spark, normalize):
+def test_weight_shares_sum_to_one_and_fall_back_to_uniform(spark):
     rows = [("A", DAY, w) for w in (0.2, 0.3, 0.5)] + [("B", DAY, 0.0)] * 4
     df = spark.createDataFrame(rows, "Ticker string, News_Date date, w double")
-    got = normalize(df, "w", "share").groupBy("Ticker").agg(F.sum("share"), F.min("share"), F.count("share")).collect()
+    got = D.normalize_weights(df, "w", "share").groupBy("Ticker").agg(F.sum("share"), F.min("share"), F.count("share")).collect()
     assert sorted((t, pytest.approx(s), pytest.approx(m), n) for t, s, m, n in got) == [("A", 1.0, 0.2, 3), ("B", 1.0, 0.25, 4)]
 
 

@@ -121,10 +121,10 @@ def test_duplicates_equal_the_sequential_rule(spark, spread):
             data.append((f"T{g}", dt.date(2024, 1, 1), o, u and f"u{u}", h and f"h{h}", f"x{o}"))
     df = spark.createDataFrame(data, "Ticker string, News_Date date, ord int, url_key string, headline_key string, extra string")
     want = sorted((t, o) for t in {r[0] for r in data} for o in sequential([r[2:5] for r in data if r[0] == t]))
-    for result in (N.dedupe_capped(df, D.DAY, "ord"), N.dedupe(df, D.DAY, "ord")):
-        assert result.columns == df.columns
-        assert sorted((r["Ticker"], r["ord"]) for r in result.collect()) == want
-        assert all(r["extra"] == f"x{r['ord']}" for r in result.collect())
+    result = N.dedupe(df, D.DAY, "ord")
+    assert result.columns == df.columns
+    assert sorted((r["Ticker"], r["ord"]) for r in result.collect()) == want
+    assert all(r["extra"] == f"x{r['ord']}" for r in result.collect())
 
 
 def test_a_long_chain_of_shared_keys_is_followed_to_its_end(spark):
@@ -154,7 +154,7 @@ def test_duplicate_keys_follow_links_and_spelling(spark):
         ],
         "ord int, URL string, Headline string",
     ).withColumns({"Ticker": F.lit("T"), "News_Date": F.lit("2024-01-01").cast("date")})
-    kept = N.dedupe_capped(N.duplicate_keys(df), D.DAY, "ord")
+    kept = N.dedupe(N.duplicate_keys(df), D.DAY, "ord")
     assert sorted(r["ord"] for r in kept.collect()) == [1, 4]
 
 

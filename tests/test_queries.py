@@ -11,8 +11,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import __spark_entry__ as entry
 from check import TABLES, rows
 
+from presspulse.plans import catalog
+
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
 
@@ -30,6 +32,10 @@ def test_flagship(spark):
     assert df.count() == 550 and df.columns[:3] == ["Ticker", "Company", "News_Date"]
 
 
+def test_every_query_is_offered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_every_statement_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"text_embeddings", "train_price_models", "ml_predictions"}

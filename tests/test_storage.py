@@ -108,5 +108,5 @@ def test_incremental_ingest_equals_one_load(spark, tmp_path):
     from presspulse.functions.market_time import news_date
 
     whole = N.duplicate_keys(spark.createDataFrame(rows, schema).withColumn("News_Date", news_date(F.col("Published_At"), ())))
-    want = sorted(r["ord"] for r in N.dedupe_capped(whole.where("News_Date IS NOT NULL"), DAY, "ord").collect())
+    want = sorted(r["ord"] for r in N.dedupe(whole.where("News_Date IS NOT NULL"), DAY, "ord").collect())
     assert sorted(r["ord"] for r in table.collect()) == sorted(r["ord"] for r in again.collect()) == want
