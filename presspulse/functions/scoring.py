@@ -168,11 +168,17 @@ def text_jaccard(a: Column, b: Column) -> Column:
 
 
 def scores_to_columns(scores: Column, labels: Sequence[str], lower: bool = False) -> list[Column]:
-    """Spread ``array<struct<label,score>>`` over fixed columns; labels that are missing score 0."""
-    if lower:
-        scores = F.transform(scores, lambda s: F.struct(F.lower(s["label"]).alias("label"), s["score"].alias("score")))
-    by_label = F.map_from_entries(scores)
-    return [F.coalesce(F.try_element_at(by_label, F.lit(label)), F.lit(0.0)).alias(label) for label in labels]
+    """Spread ``array<struct<label,score>>`` over fixed columns; labels that are missing score 0.
+
+    Of a repeated label the last score holds; entries without a label are ignored.
+    """
+    name = (lambda s: F.lower(s["label"])) if lower else (lambda s: s["label"])
+
+    def of(label: str) -> Column:
+        held = F.filter(scores, lambda s: F.coalesce(name(s) == label, F.lit(False)))
+        return F.coalesce(F.get(F.transform(F.reverse(held), lambda s: s["score"]), F.lit(0)), F.lit(0.0)).alias(label)
+
+    return [of(label) for label in labels]
 
 
 def topic_overlap_scores(text: Column, sharpness: float = 10.0) -> Column:

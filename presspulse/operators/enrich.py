@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -11,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presspulse.functions.isolation import score_rows
 from presspulse.functions.text import stable_hash, token_set
 from presspulse.sources.storage import read_or_empty
 
 SENTIMENT_LABELS = ("positive", "neutral", "negative")
-SENTIMENT = T.StructType([T.StructField(x, T.DoubleType()) for x in SENTIMENT_LABELS])
+SENTIMENT = T.StructType([T.StructField(x, T.DoubleType()) for x in SENTIMENT_LABELS]).add("failed", "boolean")
 
 # A batch scorer takes the texts of one batch and returns one row of three columns per text.
 BatchScorer = Callable[[pd.Series], pd.DataFrame]
@@ -52,25 +54,29 @@ def enrich(df: DataFrame, text: str, cache_path: str, schema: T.StructType, scor
 
 
 def batch_sentiment(scorer: BatchScorer) -> Callable[[Column], Column]:
-    """Wrap a batch scorer as a vectorised UDF. A batch whose scoring fails is neutral, and the
-    rest of the job goes on."""
+    """Wrap a batch scorer as a vectorised UDF. Texts whose scoring fails alone are neutral and marked
+    as failed; the other texts of their batch are scored without them."""
 
     @F.pandas_udf(SENTIMENT)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            try:
-                out = scorer(texts.fillna(""))[list(SENTIMENT_LABELS)].astype("float64")
-                if len(out) != len(texts):
+            known = texts.fillna("").reset_index(drop=True)
+
+            def run(part: slice) -> np.ndarray:
+                out = scorer(known.iloc[part].reset_index(drop=True))[list(SENTIMENT_LABELS)]
+                if len(out) != part.stop - part.start:
                     raise ValueError("a scorer must return one row per text")
-            except Exception:  # noqa: BLE001 - a failing model must not end the job
-                out = pd.DataFrame({"positive": 0.0, "neutral": 1.0, "negative": 0.0}, index=texts.index)
-            yield out
+                return out.to_numpy("float64")
+
+            values, failed = score_rows(run, len(known), len(SENTIMENT_LABELS))
+            values[failed] = (0.0, 1.0, 0.0)
+            yield pd.DataFrame(dict(zip(SENTIMENT_LABELS, values.T)), index=texts.index).assign(failed=failed)
 
     return score
 
 
 def score_sentiment(df: DataFrame, text: str, scorer: BatchScorer) -> DataFrame:
-    """Add the three sentiment probabilities and the signed score."""
+    """Add the three sentiment probabilities, the signed score, and whether the scorer failed on the row."""
     scored = df.withColumn("__s", batch_sentiment(scorer)(F.col(text)))
     return scored.withColumns(
         {
@@ -78,6 +84,7 @@ def score_sentiment(df: DataFrame, text: str, scorer: BatchScorer) -> DataFrame:
             "Sentiment_Neutral": F.col("__s.neutral"),
             "Sentiment_Negative": F.col("__s.negative"),
             "Sentiment_Score": F.col("__s.positive") - F.col("__s.negative"),
+            "Sentiment_Failed": F.col("__s.failed"),
         }
     ).drop("__s")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presspulse import config as C
+from presspulse.functions.isolation import score_rows
 from presspulse.functions.scoring import sanitize_price
 from presspulse.schemas import finite
 
@@ -57,24 +58,26 @@ def batch_price_model(
     ``predict`` takes one batch, rows by features, and returns one value or one vector per row. With
     ``steps`` the column is an array of that many feature rows and a batch has three dimensions; it
     travels flat, which transfers much faster than nested arrays. The target scaling is
-    undone on the whole vector before one output is picked. A batch that fails, or a result of the
-    wrong length, gives NULL for its rows, which then yield no prediction.
+    undone on the whole vector before one output is picked. Rows for which the model fails alone
+    give NULL and then yield no prediction; the other rows of their batch are scored without them.
     """
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for rows in batches:
-            try:
-                x = np.stack(rows.to_list()).astype("float64")
+            values = rows.to_list()
+
+            def run(part: slice) -> np.ndarray:
+                x = np.stack(values[part]).astype("float64")
                 if steps is not None:
-                    x = x.reshape(len(rows), steps, -1)
-                out = np.asarray(predict(x), dtype="float64").reshape(len(rows), -1)
+                    x = x.reshape(len(x), steps, -1)
+                out = np.asarray(predict(x), dtype="float64").reshape(len(x), -1)
                 if target_scale is not None:
                     mean, scale = np.array(target_scale, dtype="float64").T
                     out = out * scale + mean
-                yield pd.Series(out[:, output_index or 0])
-            except Exception:  # noqa: BLE001 - a failing model must not end the job
-                yield pd.Series(np.full(len(rows), np.nan))
+                return out[:, output_index or 0]
+
+            yield pd.Series(score_rows(run, len(values), 1)[0][:, 0])
 
     return score if steps is None else lambda column: score(F.flatten(column))
 

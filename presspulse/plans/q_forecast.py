@@ -308,3 +308,30 @@ def configured_models(spark: SparkSession, folder: str) -> DataFrame:
         *_KEYS, "Backend", "Unverified", rounded("Raw_Predicted_Value", 3).alias("Raw_Predicted_Value"),
         rounded(F.col("Predicted_Value") / F.col("Last_Close")).alias("Share_Of_Close"),
     )
+
+
+# --- models that fail -------------------------------------------------------------------------------
+
+
+def _picky(x: np.ndarray) -> np.ndarray:
+    """Refuses a whole batch for one row with a volume that 97 divides."""
+    if (x[:, 1] % 97 == 0).any():
+        raise ValueError("volume")
+    return x[:, 0] * 1.01
+
+
+@query(
+    "model_failures",
+    with_views(
+        "bars",
+        f"""select ticker as "Ticker", bar_date as "News_Date", volume::bigint % 97 = 0 as "Failed",
+        case when volume::bigint % 97 <> 0 then {r('close * 1.01::double')} end as "Predicted_Close" from bars""",
+    ),
+)
+def model_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """An external model that raises on some rows: exactly those have no prediction and are counted as
+    failed, however the rows were put into batches."""
+    predicted = FC.batch_price_model(_picky)(F.array("Close", "Volume"))
+    scored = I.bars(spark, folder).select("Ticker", F.col("Date").alias("News_Date"), predicted.alias("p"))
+    value = F.when(F.col("p").isNotNull() & ~F.isnan("p"), F.col("p"))
+    return scored.select("Ticker", "News_Date", value.isNull().alias("Failed"), rounded(value).alias("Predicted_Close"))

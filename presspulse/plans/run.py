@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ from presspulse.plans import jobs as J
 from presspulse.schemas import ARTICLES, COMPANIES, DAILY, OHLCV, PERFORMANCE, PREDICTIONS, RAW_ARTICLE, conform
 from presspulse.sources import storage as ST
 
+HISTORY_DAYS = 90
+
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -71,8 +73,8 @@ def run(
     feed's own columns, with ``Ticker`` and the feed order ``ord``.
 
     Each stage is written and read back before the next one uses it, so no stage is computed twice
-    and a lost executor costs no more than its own tasks. Days are replaced whole: repeating a run
-    does not duplicate rows.
+    and a lost executor costs no more than its own tasks. The whole range is replaced: repeating a run
+    neither duplicates rows nor leaves days of an earlier run that have no rows now.
     """
     spark = feed.sparkSession
     articles = N.scan_feed(feed).withColumnsRenamed({"Summary": "Description"})
@@ -91,22 +93,26 @@ def run(
     path = {t: f"{root}/{t}" for t in ("articles", "daily", "quarantine", "predictions", "performance")}
 
     keep_order = T.StructType([*ARTICLES.fields]).add("ord", "long")
-    ST.replace_days(scored, path["articles"], keep_order)
-    stored = ST.read_or_empty(spark, path["articles"], keep_order).where(F.col("News_Date").between(start, end))
+    ST.replace_range(scored, path["articles"], keep_order, start, end)
+    stored = ST.read_range_table(spark, path["articles"], keep_order).where(F.col("News_Date").between(start, end))
 
     rows = J.build_daily(stored, J.company_days(companies, start, end, holidays), MK.normalize_bars(bars), measure=measure)
+    rows = ST.cut_lineage(rows)
     valid, held = D.split_valid(rows)
-    ST.replace_days(valid, path["daily"], DAILY)
+    ST.replace_range(valid, path["daily"], DAILY, start, end)
     held_schema = T.StructType([*DAILY.fields]).add("problems", "string")
-    ST.replace_days(held.withColumn("problems", F.array_join("problems", "; ")), path["quarantine"], held_schema)
+    ST.replace_range(held.withColumn("problems", F.array_join("problems", "; ")), path["quarantine"], held_schema, start, end)
 
-    history = ST.read_or_empty(spark, path["daily"], DAILY).where(F.col("News_Date") <= end)
+    # windows look back over fewer rows a ticker than this many days hold
+    since = start - timedelta(days=HISTORY_DAYS)
+    history = ST.read_range_table(spark, path["daily"], DAILY).where(F.col("News_Date").between(since, end))
     if plugins.prices:
         carried = [c for c in DAILY.fieldNames() if c not in ("Ticker", "News_Date", *C.ENGINEERED_COLUMNS)]
         features = FE.engineered(history, FE.ticker_codes(companies), keep=carried)
         features = features.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in features.columns})
         today = features.where(F.col("News_Date").between(start, end))
-        ST.replace_days(J.build_predictions(today, [(s, fn(today)) for s, fn in plugins.prices]), path["predictions"], PREDICTIONS)
+        made = J.build_predictions(today, [(s, fn(today)) for s, fn in plugins.prices])
+        ST.replace_range(made, path["predictions"], PREDICTIONS, start, end)
     return statistics(spark, root, start, end)
 
 
@@ -114,7 +120,7 @@ def statistics(spark: SparkSession, root: str, start: date, end: date) -> DataFr
     """Counts of the stored rows per day."""
     counted = None
     for table, schema in (("articles", ARTICLES), ("daily", DAILY), ("quarantine", DAILY), ("predictions", PREDICTIONS)):
-        rows = ST.read_or_empty(spark, f"{root}/{table}", schema).where(F.col("News_Date").between(start, end))
+        rows = ST.read_range_table(spark, f"{root}/{table}", schema).where(F.col("News_Date").between(start, end))
         part = rows.select("News_Date", F.lit(table).alias("table"))
         counted = part if counted is None else counted.unionByName(part)
     names = {"articles": "Articles", "daily": "Daily_Rows", "quarantine": "Quarantined", "predictions": "Predictions"}
@@ -122,13 +128,15 @@ def statistics(spark: SparkSession, root: str, start: date, end: date) -> DataFr
 
 
 def monitor(spark: SparkSession, root: str, horizon: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Accuracy of the stored predictions, appended to the performance table, and its alerts."""
-    predictions = ST.read_or_empty(spark, f"{root}/predictions", PREDICTIONS)
-    daily = ST.read_or_empty(spark, f"{root}/daily", DAILY)
+    """Accuracy of the stored predictions and its alerts, appended to the performance and alert tables."""
+    predictions = ST.read_range_table(spark, f"{root}/predictions", PREDICTIONS)
+    daily = ST.read_range_table(spark, f"{root}/daily", DAILY)
     measured = J.monitor(predictions, daily, horizon).withColumn("Evaluated_At", F.current_timestamp())
     found = ST.cut_lineage(conform(measured, PERFORMANCE))
     ST.append_rows(found, f"{root}/performance", PERFORMANCE, partition=None)
-    return found, FC.alerts(found)
+    alerts = FC.alerts(found)
+    alerts.write.mode("append").parquet(f"{root}/alerts")
+    return found, alerts
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -140,17 +148,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--start", type=date.fromisoformat)
     ap.add_argument("--end", type=date.fromisoformat)
     ap.add_argument("--horizon", type=int, default=0)
+    ap.add_argument("--companies", help="JSON lines of companies instead of the built-in ones")
+    ap.add_argument("--holidays", help="text file of ISO dates instead of the built-in ones")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"presspulse-{args.job}").getOrCreate()
     if args.job == "monitor":
         measured, alerts = monitor(spark, args.root, args.horizon)
-        measured.show(100, truncate=False)
-        alerts.show(100, truncate=False)
+        print(f"{measured.count()} rows added to {args.root}/performance, {alerts.count()} to {args.root}/alerts")
         return
     schema = T.StructType([*RAW_ARTICLE.fields]).add("Ticker", "string").add("ord", "long")
     feed = spark.read.schema(schema).json(args.feed)
     bars = ST.read_or_empty(spark, args.bars, OHLCV)
-    run(feed, bars, company_table(spark), args.root, args.start, args.end).orderBy("News_Date").show(1000, truncate=False)
+    companies = spark.read.schema(COMPANIES).json(args.companies) if args.companies else company_table(spark)
+    holidays = tuple(r[0] for r in spark.read.text(args.holidays).collect()) if args.holidays else tuple(C.HOLIDAYS)
+    days = run(feed, bars, companies, args.root, args.start, args.end, holidays=holidays)
+    days.write.mode("append").parquet(f"{args.root}/runs")
+    print(f"counts of {days.count()} days added to {args.root}/runs")
 
 
 if __name__ == "__main__":

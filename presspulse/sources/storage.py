@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -99,5 +100,48 @@ def replace_days(df: DataFrame, path: str, schema: T.StructType, partition: str
     )
 
 
+# --- tables that runs replace by range of days ---------------------------------------------------
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each finished write of a range table: its number, folder, and range of days."""
+    schema = T.StructType(
+        [T.StructField("version", T.LongType()), T.StructField("folder", T.StringType()), T.StructField("first", T.DateType()), T.StructField("last", T.DateType())]
+    )
+    return read_or_empty(spark, f"{path}/_log", schema)
+
+
+def replace_range(df: DataFrame, path: str, schema: T.StructType, start: date, end: date, partition: str = "News_Date") -> None:
+    """Replace all days from ``start`` to ``end`` by ``df``, days without new rows included.
+
+    Every write is a folder of its own, listed in a log of one row a write once it is complete. Readers take
+    each day from the newest write that covers it, so a failed run changes nothing, nothing stale is
+    left, and the state before is kept.
+    """
+    spark = df.sparkSession
+    version = (_versions(spark, path).agg(F.max("version")).first()[0] or 0) + 1
+    folder = f"data-{version}-{uuid.uuid4().hex}"
+    within = conform(df, schema).where(F.col(partition).between(start, end))
+    within.write.partitionBy(partition).parquet(f"{path}/{folder}")
+    spark.createDataFrame([(version, folder, start, end)], "version long, folder string, first date, last date").coalesce(1).write.mode("append").parquet(f"{path}/_log")
+
+
+def read_range_table(spark: SparkSession, path: str, schema: T.StructType, partition: str = "News_Date", back: int = 0) -> DataFrame:
+    """Rows of a table written by ``replace_range``; ``back`` leaves out that many of the last writes."""
+    log = sorted(_versions(spark, path).collect(), key=lambda r: r["version"])  # one row a run
+    log = log[: len(log) - back]
+    out = spark.createDataFrame([], schema)
+    day = F.col(partition)
+    newer: list = []
+    for r in reversed(log):
+        visible = day.between(r["first"], r["last"])
+        for n in newer:
+            visible = visible & ~day.between(n["first"], n["last"])
+        if not any(n["first"] <= r["first"] and r["last"] <= n["last"] for n in newer):
+            out = out.unionByName(read_or_empty(spark, f"{path}/{r['folder']}", schema).select(schema.fieldNames()).where(visible))
+        newer.append(r)
+    return out
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)

@@ -186,6 +186,25 @@ def test_external_models_scale_pick_and_fail_alone(spark):
     }
 
 
+@pytest.mark.parametrize("rows_at_once", ["13", "10000"])
+def test_only_the_failing_rows_are_lost(spark, rows_at_once):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def picky(x):
+        if (x[:, 0] == 17).any():
+            raise ValueError("seventeen")
+        return x[:, 0]
+
+    try:
+        spark.conf.set(key, rows_at_once)
+        df = spark.range(200).select(F.col("id").cast("double").alias("v"))
+        p = df.select(FC.batch_price_model(picky)(F.array("v")).alias("p")).where("p is not null and not isnan(p)")
+        assert sorted(r["p"] for r in p.collect()) == [float(i) for i in range(200) if i != 17]
+    finally:
+        spark.conf.set(key, before)
+
+
 def metrics(spark, rows):
     df = spark.createDataFrame([("T", "m", "Close", *r) for r in rows], "Ticker string, Model_Name string, Target string, Actual_Value double, Predicted_Value double, Last_Close double")
     return FC.accuracy(df)

@@ -5,10 +5,12 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presspulse import config as C
 from presspulse.plans import run as RUN
-from presspulse.schemas import PERFORMANCE
+from presspulse.schemas import ARTICLES, DAILY, PERFORMANCE, PREDICTIONS
+from presspulse.sources import storage as ST
 
 START = dt.date(2025, 8, 11)  # a Monday
 
@@ -71,16 +73,16 @@ def test_run_then_repeat_then_monitor(spark, tables):
     assert go() == dict.fromkeys(days, want)
     assert go() == dict.fromkeys(days, want)
 
-    articles = spark.read.parquet(f"{root}/articles").where(F.col("News_Date") == days[0].isoformat()).collect()
+    articles = ST.read_range_table(spark, f"{root}/articles", T.StructType([*ARTICLES.fields]).add("ord", "long")).where(F.col("News_Date") == days[0].isoformat()).collect()
     assert {r["Headline"] for r in articles} == {"NTPC wins major order 0", "GAIL results 0"}
     assert {r["Source"] for r in articles} == {"Reuters", "h.com"}
     assert all(r["News_Impact_Weight"] == pytest.approx(1.0) for r in articles)
-    daily = spark.read.parquet(f"{root}/daily").where("Ticker = 'NTPC.NS'").orderBy("News_Date").collect()
+    daily = ST.read_range_table(spark, f"{root}/daily", DAILY).where("Ticker = 'NTPC.NS'").orderBy("News_Date").collect()
     assert [r["Close"] for r in daily] == [301.0, 302.0, 303.0] and all(r["Volatility"] > 0 for r in daily)
-    held = spark.read.parquet(f"{root}/quarantine").select("problems").distinct().collect()
+    held = ST.read_range_table(spark, f"{root}/quarantine", T.StructType([*DAILY.fields]).add("problems", "string")).select("problems").distinct().collect()
     assert [r[0] for r in held] == ["Open is missing; High is missing; Low is missing; Close is missing"]
 
-    predictions = spark.read.parquet(f"{root}/predictions").where("Model_Name = 'absurd'").collect()
+    predictions = ST.read_range_table(spark, f"{root}/predictions", PREDICTIONS).where("Model_Name = 'absurd'").collect()
     assert all(r["Predicted_Value"] == pytest.approx(0.8 * r["Last_Close"]) and r["Unverified"] for r in predictions)
     measured, alerts = RUN.monitor(spark, root, horizon=1)
     assert measured.columns == PERFORMANCE.fieldNames()
@@ -88,6 +90,7 @@ def test_run_then_repeat_then_monitor(spark, tables):
         (t, m, 2) for t in ("NTPC.NS", "GAIL.NS") for m in ("naive", "absurd")
     }
     assert {r["Model_Name"] for r in alerts.collect()} == {"absurd"}
+    assert spark.read.parquet(f"{root}/alerts").count() == alerts.count() > 0
     RUN.monitor(spark, root)
     assert spark.read.parquet(f"{root}/performance").count() == 8
 
@@ -101,4 +104,27 @@ def test_an_empty_feed_still_gives_every_company_a_row(spark, tables):
         RUN.run(empty, bars, RUN.company_table(spark), root)
     stats = RUN.run(empty, bars, RUN.company_table(spark), root, START, START, holidays=()).first()
     assert (stats["Articles"], stats["Daily_Rows"], stats["Quarantined"]) == (0, 2, 18)
-    assert spark.read.parquet(f"{root}/daily").select("Sentiment_Neutral").first()[0] == 1.0
+    assert ST.read_range_table(spark, f"{root}/daily", DAILY).select("Sentiment_Neutral").first()[0] == 1.0
+
+
+def test_bars_that_come_late_leave_no_quarantined_row(spark, tables):
+    feed_path, bars_path, root = tables
+    feed = spark.read.schema("Ticker string, ord long, title string, description string, url string, `published date` string, publisher struct<title: string>").json(feed_path)
+    bars = spark.read.parquet(bars_path)
+    go = lambda f, b: RUN.run(f, b, RUN.company_table(spark), root, START, START, holidays=()).first()
+    assert (go(feed, bars.limit(0))["Daily_Rows"], go(feed, bars)["Daily_Rows"]) == (0, 2)
+    last = go(feed.where("Ticker = 'GAIL.NS'"), bars)
+    assert (last["Articles"], last["Daily_Rows"], last["Quarantined"]) == (1, 2, 18)
+
+
+def test_a_day_of_many_articles_is_kept_whole(spark):
+    from presspulse.plans import jobs as J
+    from presspulse.plans.inputs import with_scores
+
+    at = dt.datetime.combine(START + dt.timedelta(days=1), dt.time(6, 0))
+    rows = [(i, "NTPC.NS", "NTPC", at, f"NTPC story number {i}", "d", "Reuters", f"https://e.com/{i % 450}") for i in range(500)]
+    feed = spark.createDataFrame(rows, "ord long, Ticker string, Company string, Published_At timestamp_ntz, Headline string, Description string, Publisher string, URL string")
+    chosen = J.select_articles(feed, RUN.company_table(spark), ())
+    assert sorted(r["ord"] for r in chosen.select("ord").collect()) == list(range(450))
+    scored = J.score_articles(with_scores(chosen))
+    assert scored.agg(F.sum("News_Impact_Weight")).first()[0] == pytest.approx(1.0)

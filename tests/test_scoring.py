@@ -131,6 +131,13 @@ def test_missing_classifier_labels_score_zero(spark):
     assert tuple(got) == (0.7, 0.0, 0.3)
 
 
+def test_repeated_and_null_labels(spark):
+    entries = [("Positive", 0.1), (None, 0.9), ("POSITIVE", 0.4), ("negative", None)]
+    row = spark.createDataFrame([(entries,)], "s array<struct<label: string, score: double>>")
+    got = row.select(*S.scores_to_columns(F.col("s"), ("positive", "neutral", "negative"), lower=True)).first()
+    assert tuple(got) == (0.4, 0.0, 0.0)
+
+
 def test_optional_weights(value):
     probs = [F.lit(1 / 6)] * 6
     assert value(S.topic_importance(probs, (), enabled=False)) == 1.0

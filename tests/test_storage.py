@@ -78,15 +78,51 @@ def test_hashed_embedding_is_a_unit_count_vector(spark):
     assert not vec[2].any()
 
 
-def test_a_failing_batch_is_neutral(spark):
+def test_failing_texts_are_neutral_and_marked(spark):
     df = spark.createDataFrame([("the profit",), ("fined and fined",), (None,)], "text string")
-    good = [tuple(r)[1:] for r in E.score_sentiment(df, "text", E.word_list_scorer).collect()]
-    assert good[0] == (2 / 3, 1 / 3, 0.0, 2 / 3) and good[1][3] == pytest.approx(-0.75) and good[2] == (0.0, 1.0, 0.0, 0.0)
+    pick = lambda rows: [tuple(r)[1:] for r in rows]
+    good = pick(E.score_sentiment(df, "text", E.word_list_scorer).collect())
+    assert good[0] == (2 / 3, 1 / 3, 0.0, 2 / 3, False) and good[1][3] == pytest.approx(-0.75) and good[2] == (0.0, 1.0, 0.0, 0.0, False)
 
     def broken(texts: pd.Series) -> pd.DataFrame:
-        raise RuntimeError("no model")
+        if texts.str.contains("fined").any():
+            raise RuntimeError("no model")
+        return E.word_list_scorer(texts)
 
-    assert {tuple(r)[1:] for r in E.score_sentiment(df, "text", broken).collect()} == {(0.0, 1.0, 0.0, 0.0)}
+    got = pick(E.score_sentiment(df.coalesce(1), "text", broken).collect())
+    assert got == [good[0], (0.0, 1.0, 0.0, 0.0, True), good[2]]
+
+
+@pytest.mark.parametrize("rows_at_once", ["7", "1000"])
+def test_failures_do_not_depend_on_batches(spark, rows_at_once):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def picky(texts: pd.Series) -> pd.DataFrame:
+        if texts.str.endswith("3").any():
+            raise RuntimeError("a three")
+        return E.word_list_scorer(texts)
+
+    try:
+        spark.conf.set(key, rows_at_once)
+        df = spark.range(100).select(F.concat(F.lit("profit "), "id").alias("text"))
+        got = {r["text"]: r["Sentiment_Failed"] for r in E.score_sentiment(df, "text", picky).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {f"profit {i}": i % 10 == 3 for i in range(100)}
+
+
+def test_a_repeated_run_leaves_no_stale_day(spark, tmp_path):
+    schema = T.StructType([T.StructField("News_Date", T.DateType()), T.StructField("x", T.LongType())])
+    path = str(tmp_path / "t")
+    day = lambda i: dt.date(2024, 1, i)
+    put = lambda rows, span: ST.replace_range(spark.createDataFrame(rows, schema), path, schema, *span)
+    put([(day(1), 1), (day(2), 2), (day(3), 3)], (day(1), day(3)))
+    put([(day(2), 20)], (day(2), day(3)))  # the third day has no rows now
+    assert sorted(map(tuple, ST.read_range_table(spark, path, schema).collect())) == [(day(1), 1), (day(2), 20)]
+    assert sorted(map(tuple, ST.read_range_table(spark, path, schema, back=1).collect())) == [(day(1), 1), (day(2), 2), (day(3), 3)]
+    put([], (day(1), day(3)))
+    assert ST.read_range_table(spark, path, schema).count() == 0
 
 
 def test_incremental_ingest_equals_one_load(spark, tmp_path):
