@@ -181,39 +181,44 @@ def source_reliability(spark: SparkSession, folder: str) -> DataFrame:
     return arts.withColumn("s", name).select("ord", S.source_reliability(F.col("s")).alias("Source_Reliability"))
 
 
-# hosts of the pages with known domains mixed in by page number
+# the url of every page, and further rows with known domains, other schemes and ports
 _URL_SQL = """
-  select page_id, case page_id % 6 when 0 then 'https://www.NDTV.com/' || page_id when 1 then
-    'http://energy.economictimes.indiatimes.com/x?id=' || page_id when 2 then 'ftp://livemint.com/a' when 3 then
-    replace(url, '//', '//notreuters.com:8080/') else url end as u from pages"""
+  select page_id, 0 as variant, url as u from pages union all
+  select page_id, 1 + (page_id % 6)::int, case page_id % 6 when 0 then 'https://www.NDTV.com/' || page_id when 1 then
+    'http://energy.economictimes.indiatimes.com/x?id=' || page_id when 2 then 'ftp://livemint.com/a' else
+    replace(url, '//', '//notreuters.com:8080/') end from pages where page_id % 6 < 4"""
 
 
 def _page_urls(spark: SparkSession, folder: str) -> DataFrame:
     pick = F.col("page_id") % 6
     page = F.col("page_id").cast("string")
-    url = (
+    odd = (
         F.when(pick == 0, F.concat(F.lit("https://www.NDTV.com/"), page))
         .when(pick == 1, F.concat(F.lit("http://energy.economictimes.indiatimes.com/x?id="), page))
         .when(pick == 2, "ftp://livemint.com/a")
-        .when(pick == 3, F.replace("url", F.lit("//"), F.lit("//notreuters.com:8080/")))
-        .otherwise(F.col("url"))
+        .otherwise(F.replace("url", F.lit("//"), F.lit("//notreuters.com:8080/")))
+    )
+    pages = read_table(spark, folder, "pages")
+    return pages.select("page_id", F.lit(0).alias("Variant"), F.col("url").alias("u")).unionAll(
+        pages.where(pick < 4).select("page_id", (pick + 1).cast("int").alias("Variant"), odd.alias("u"))
     )
-    return read_table(spark, folder, "pages").select("page_id", url.alias("u"))
 
 
-@query("publisher_from_url", f"""select page_id, {Q.publisher('u')} as "Publisher" from ({_URL_SQL})""")
+@query("publisher_from_url", f"""select page_id, variant as "Variant", {Q.publisher('u')} as "Publisher" from ({_URL_SQL})""")
 def publisher_from_url(spark: SparkSession, folder: str) -> DataFrame:
-    return _page_urls(spark, folder).select("page_id", X.publisher_from_url(F.col("u")).alias("Publisher"))
+    return _page_urls(spark, folder).select("page_id", "Variant", X.publisher_from_url(F.col("u")).alias("Publisher"))
 
 
 @query(
     "url_validity",
-    f"""select page_id, regexp_matches(u, '^[hH][tT][tT][pP][sS]?://[^/?#]+') as "Valid"
-    from (select page_id, case when page_id % 11 = 0 then substr(u, 7) else u end as u from ({_URL_SQL}))""",
+    f"""select page_id, variant as "Variant", regexp_matches(u, '^[hH][tT][tT][pP][sS]?://[^/?#]+') as "Valid"
+    from ({_URL_SQL} union all select page_id, 9, substr(url, 7) from pages where page_id % 11 = 0)""",
 )
 def url_validity(spark: SparkSession, folder: str) -> DataFrame:
-    cut = F.when(F.col("page_id") % 11 == 0, F.expr("substr(u, 7)")).otherwise(F.col("u"))
-    return _page_urls(spark, folder).select("page_id", X.is_valid_url(cut).alias("Valid"))
+    """Every page's url, the odd ones, and urls cut at the start."""
+    cut = read_table(spark, folder, "pages").where(F.col("page_id") % 11 == 0)
+    cut = cut.select("page_id", F.lit(9).alias("Variant"), F.expr("substr(url, 7)").alias("u"))
+    return _page_urls(spark, folder).unionAll(cut).select("page_id", "Variant", X.is_valid_url(F.col("u")).alias("Valid"))
 
 
 @query("canonical_url", with_views("articles_raw", f"""select ord, {Q.url_key('url')} as "URL_Key" from articles_raw"""))
@@ -238,15 +243,22 @@ _STEXT = (
 
 @query(
     "scoring_text",
-    f"""select doc_id, {_STEXT} as "Scoring_Text" from (
-      select doc_id, case when doc_id % 3 = 0 then null else lang || ' item.. ' end as h,
-             case when doc_id % 5 = 0 then null else text end as s from documents)""",
+    f"""select doc_id, variant as "Variant", {_STEXT} as "Scoring_Text" from (
+      select doc_id, 0 as variant, lang || ' item.. ' as h, text as s from documents
+      union all select doc_id, 1, null, text from documents where doc_id % 3 = 0
+      union all select doc_id, 2, lang || ' item.. ', null from documents where doc_id % 5 = 0)""",
 )
 def scoring_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text with a headline, and further rows without one of the two."""
     docs = spread_if_narrow(read_table(spark, folder, "documents"))
-    h = F.when(F.col("doc_id") % 3 != 0, F.concat("lang", F.lit(" item.. ")))
-    s = F.when(F.col("doc_id") % 5 != 0, F.col("text"))
-    return docs.select("doc_id", X.scoring_text(h, s).alias("Scoring_Text"))
+    head, none = F.concat("lang", F.lit(" item.. ")), F.lit(None).cast("string")
+    variants = F.array(
+        F.struct(F.lit(0).alias("v"), head.alias("h"), F.col("text").alias("s")),
+        F.when(F.col("doc_id") % 3 == 0, F.struct(F.lit(1).alias("v"), none.alias("h"), F.col("text").alias("s"))),
+        F.when(F.col("doc_id") % 5 == 0, F.struct(F.lit(2).alias("v"), head.alias("h"), none.alias("s"))),
+    )
+    rows = docs.select("doc_id", F.inline(F.filter(variants, lambda x: x.isNotNull())))
+    return rows.select("doc_id", F.col("v").alias("Variant"), X.scoring_text(F.col("h"), F.col("s")).alias("Scoring_Text"))
 
 
 @query(
@@ -282,21 +294,25 @@ for _e, _c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), (
 
 @query(
     "page_text_extract",
-    f"""select page_id, case when length(body) < 40 then title else body end as "Text",
+    f"""select page_id, variant as "Variant", case when length(body) < 40 then title else body end as "Text",
       case when title = '' then body else title end as "Summary", length(body) < 40 as "Used_Fallback"
-    from (select page_id, {Q.clean(_BODY_SQL)} as body,
+    from (select page_id, variant, {Q.clean(_BODY_SQL)} as body,
       {Q.clean("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")} as title
-      from (select page_id, case when page_id % 9 = 0 then '<title>Only a title</title><p>short</p>' else html end as html
-            from pages))""",
+      from (select page_id, 0 as variant, html from pages union all
+            select page_id, 1, '<title>Only a title</title><p>short</p>' from pages where page_id % 9 = 0))""",
 )
 def page_text_extract(spark: SparkSession, folder: str) -> DataFrame:
     """Readable page text, or the title where the body is too short to be useful."""
-    html = F.when(F.col("page_id") % 9 == 0, "<title>Only a title</title><p>short</p>").otherwise(F.col("html"))
-    pages = spread_if_narrow(read_table(spark, folder, "pages").select("page_id", "html"))
-    body = pages.select("page_id", X.page_text(html).alias("body"), X.page_title(html).alias("title"))
+    html = F.col("html")
+    pages = spread_if_narrow(read_table(spark, folder, "pages").select("page_id", F.lit(0).alias("Variant"), "html"))
+    short_page = F.lit("<title>Only a title</title><p>short</p>").alias("html")
+    ids = read_table(spark, folder, "pages").where(F.col("page_id") % 9 == 0)
+    pages = pages.unionAll(ids.select("page_id", F.lit(1).alias("Variant"), short_page))
+    body = pages.select("page_id", "Variant", X.page_text(html).alias("body"), X.page_title(html).alias("title"))
     short = F.length("body") < C.MIN_USEFUL_BODY_LENGTH
     return body.select(
         "page_id",
+        "Variant",
         F.when(short, F.col("title")).otherwise(F.col("body")).alias("Text"),
         F.when(F.col("title") == "", F.col("body")).otherwise(F.col("title")).alias("Summary"),
         short.alias("Used_Fallback"),
@@ -547,19 +563,21 @@ def softmax_probs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "safe_float",
-    f"""select event_id, {r('coalesce(case when isfinite(x) then x end, 0.0::double)')} as "Value" from (
-      select event_id, try_cast(case event_id % 5 when 0 then 'nan' when 1 then 'x' || value when 2 then null when 3 then 'inf'
-        else cast(value as varchar) end as double) as x from events)""",
+    f"""select event_id, variant as "Variant", {r('coalesce(case when isfinite(x) then x end, 0.0::double)')} as "Value" from (
+      select event_id, 0 as variant, value as x from events union all
+      select event_id, 1 + (event_id % 5)::int, try_cast(case event_id % 5 when 0 then 'nan' when 1 then 'x' || value when 2 then null
+        else 'inf' end as double) from events where event_id % 5 < 4)""",
 )
 def safe_float(spark: SparkSession, folder: str) -> DataFrame:
-    """Event values as text, four fifths of them broken in different ways."""
+    """Every event value as text, and further rows that are broken in different ways."""
     pick = F.col("event_id") % 5
-    raw = (
-        F.when(pick == 0, "NaN").when(pick == 1, F.concat(F.lit("x"), F.col("value").cast("string")))
-        .when(pick == 2, F.lit(None)).when(pick == 3, "Infinity").otherwise(F.col("value").cast("string"))
+    text = F.col("value").cast("string")
+    broken = F.when(pick == 0, "NaN").when(pick == 1, F.concat(F.lit("x"), text)).when(pick == 3, "Infinity")
+    events = read_table(spark, folder, "events")
+    rows = events.select("event_id", F.lit(0).alias("Variant"), text.alias("raw")).unionAll(
+        events.where(pick < 4).select("event_id", (pick + 1).cast("int").alias("Variant"), broken.alias("raw"))
     )
-    events = read_table(spark, folder, "events").withColumn("raw", raw)
-    return events.select("event_id", rounded(S.safe_float(F.col("raw"))).alias("Value"))
+    return rows.select("event_id", "Variant", rounded(S.safe_float(F.col("raw"))).alias("Value"))
 
 
 # --- the article job ---------------------------------------------------------------------------

@@ -89,14 +89,15 @@ def melt_actuals(spark: SparkSession, folder: str) -> DataFrame:
     with_views(
         "clamped actuals",
         f"""select {_KEY}, value as "Predicted_Value", actual as "Actual_Value"
-        from clamped join actuals using (ticker, news_date, target) where news_date >= date '1996-01-01'""",
+        from clamped join actuals using (ticker, news_date, target)""",
     ),
 )
 def monitor_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Predictions with realised values; days without a stored row have none."""
+    """Every prediction with its realised value, in place of the value it had; a prediction for a day
+    without a stored row has none and is left out."""
     stale = I.formula_predictions(spark, folder).withColumn("Actual_Value", F.lit(-1.0))
-    actuals = FC.melt_actuals(_daily(spark, folder).where("News_Date >= DATE'1996-01-01'"))
-    return FC.with_actuals(stale, actuals).select(*_KEYS, "Predicted_Value", "Actual_Value")
+    beyond = stale.withColumn("News_Date", F.date_add("News_Date", 36525))
+    return FC.with_actuals(stale.unionByName(beyond), FC.melt_actuals(_daily(spark, folder))).select(*_KEYS, "Predicted_Value", "Actual_Value")
 
 
 # Actuals of Brand#2 are constant, of Brand#3 partly zero, and Brand#4 has one missing value.
@@ -317,7 +318,7 @@ def _picky(x: np.ndarray) -> np.ndarray:
     """Refuses a whole batch for one row with a volume that 97 divides."""
     if (x[:, 1] % 97 == 0).any():
         raise ValueError("volume")
-    return x[:, 0] * 1.01
+    return x[:, 0] * 2.0
 
 
 @query(
@@ -325,7 +326,7 @@ def _picky(x: np.ndarray) -> np.ndarray:
     with_views(
         "bars",
         f"""select ticker as "Ticker", bar_date as "News_Date", volume::bigint % 97 = 0 as "Failed",
-        case when volume::bigint % 97 <> 0 then {r('close * 1.01::double')} end as "Predicted_Close" from bars""",
+        case when volume::bigint % 97 <> 0 then close * 2.0::double end as "Predicted_Close" from bars""",
     ),
 )
 def model_failures(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,4 +335,4 @@ def model_failures(spark: SparkSession, folder: str) -> DataFrame:
     predicted = FC.batch_price_model(_picky)(F.array("Close", "Volume"))
     scored = I.bars(spark, folder).select("Ticker", F.col("Date").alias("News_Date"), predicted.alias("p"))
     value = F.when(F.col("p").isNotNull() & ~F.isnan("p"), F.col("p"))
-    return scored.select("Ticker", "News_Date", value.isNull().alias("Failed"), rounded(value).alias("Predicted_Close"))
+    return scored.select("Ticker", "News_Date", value.isNull().alias("Failed"), value.alias("Predicted_Close"))

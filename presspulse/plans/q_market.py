@@ -109,10 +109,10 @@ def atr_over_close(spark: SparkSession, folder: str) -> DataFrame:
     "latest_volatility",
     with_views(
         "bars",
-        f"""select v.ticker as "Ticker", {r('v.vol')} as "Volatility", {r('a.atr')} as "ATR_Over_Close"
+        f"""select coalesce(v.ticker, a.ticker) as "Ticker", {r('v.vol')} as "Volatility", {r('a.atr')} as "ATR_Over_Close"
         from (select ticker, arg_max(vol, bar_date) as vol from ({_VOL_SQL.format(bars='bars')}) where vol is not null
               group by ticker) v
-        join (select ticker, arg_max(atr, bar_date) as atr from ({_ATR_SQL}) where atr is not null group by ticker) a
+        full join (select ticker, arg_max(atr, bar_date) as atr from ({_ATR_SQL}) where atr is not null group by ticker) a
         on a.ticker = v.ticker""",
     ),
 )
@@ -124,7 +124,7 @@ def latest_volatility(spark: SparkSession, folder: str) -> DataFrame:
             for v in ("Volatility", "ATR_Over_Close")
         ]
     )
-    return last.where("Volatility IS NOT NULL AND ATR_Over_Close IS NOT NULL").select(
+    return last.where("Volatility IS NOT NULL OR ATR_Over_Close IS NOT NULL").select(
         "Ticker", *round_all("Volatility", "ATR_Over_Close")
     )
 
