@@ -83,7 +83,9 @@ def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     "stream_ingest",
     with_views(
         "dated",
-        """select ord, ticker as "Ticker", news_date as "News_Date", url_key as "URL_Key", headline_key as "Headline_Key" from kept""",
+        """select ord, ticker as "Ticker", company as "Company", news_date as "News_Date", published_ist as "Published_At",
+        title as "Headline", url as "URL", publisher as "Publisher", sha256(description) as "Description_Hash",
+        url_key as "URL_Key", headline_key as "Headline_Key" from kept""",
         [
             ("keyed", f"select *, {Q.url_key('url')} as url_key, {Q.norm('title')} as headline_key from dated"),
             *Q.dedup_walk("keyed"),
@@ -92,9 +94,14 @@ def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table read as a stream of new files into a table of distinct articles."""
-    schema = read_table(spark, folder, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return ingest_articles(
-        stream, lambda batch: I.articles(spark, folder, text=False, events=batch), new_path(spark, "ingest"), I.HOLIDAYS
+    """The event table, as a stream of two batches of files, into a table of distinct whole articles."""
+    events = read_table(spark, folder, "events")
+    source = new_path(spark, "events")
+    for part in (0, 1):  # late rows: each file has rows of all days
+        events.where(F.col("event_id") % 2 == part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    table = ingest_articles(stream, lambda batch: I.articles(spark, folder, events=batch), new_path(spark, "ingest"), I.HOLIDAYS)
+    return table.select(
+        "ord", "Ticker", "Company", "News_Date", "Published_At", "Headline", "URL", "Publisher",
+        F.sha2("Description", 256).alias("Description_Hash"), "URL_Key", "Headline_Key",
     )

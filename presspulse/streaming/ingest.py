@@ -14,37 +14,33 @@ from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
 from presspulse.sources.storage import broadcast_if_small, read_or_empty, replace_days
 
-ARRIVED = T.StructType(
-    [
-        T.StructField("ord", T.LongType()),
-        T.StructField("Ticker", T.StringType()),
-        T.StructField("News_Date", T.DateType()),
-        T.StructField("URL_Key", T.StringType()),
-        T.StructField("Headline_Key", T.StringType()),
-    ]
-)
+KEYS = {"url_key": "URL_Key", "headline_key": "Headline_Key"}
+
+
+def arrived_schema(articles: T.StructType) -> T.StructType:
+    """The article columns with their news date and duplicate keys; all of them may be null."""
+    added = [T.StructField("News_Date", T.DateType()), *[T.StructField(k, T.StringType()) for k in KEYS.values()]]
+    return T.StructType([*[T.StructField(f.name, f.dataType) for f in articles.fields if f.name != "News_Date"], *added])
 
 
 def ingest_batch(articles: DataFrame, batch_id: int, root: str, holidays: Sequence[str]) -> None:
-    """Store one batch and bring the days it touches up to date.
+    """Store one batch of whole article rows and bring the days it touches up to date.
 
     Arrived rows are kept per batch, so a replayed batch overwrites itself. Which rows survive
     duplicate removal depends on the whole day in feed order, therefore the touched days are
     recomputed from all arrived rows and replaced; late files give the same table as one big load.
     """
     dated = articles.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL")
-    keyed = N.duplicate_keys(dated).select(
-        "ord", "Ticker", "News_Date", F.col("url_key").alias("URL_Key"), F.col("headline_key").alias("Headline_Key")
-    )
+    schema = arrived_schema(articles.schema)
+    keyed = N.duplicate_keys(dated).withColumnsRenamed(KEYS).select(schema.fieldNames())
     arrived = f"{root}/arrived"
     keyed.write.mode("overwrite").partitionBy("News_Date").parquet(f"{arrived}/batch={batch_id}")
     spark = articles.sparkSession
-    touched = spark.read.schema(ARRIVED).parquet(f"{arrived}/batch={batch_id}").select("News_Date").distinct()
-    rows = spark.read.schema(T.StructType([*ARRIVED.fields, T.StructField("batch", T.LongType())])).parquet(arrived)
-    affected = rows.join(broadcast_if_small(touched), "News_Date", "left_semi").withColumnsRenamed(
-        {"URL_Key": "url_key", "Headline_Key": "headline_key"}
-    )
-    replace_days(N.dedupe(affected, DAY, "ord"), f"{root}/articles", ARRIVED)
+    touched = spark.read.schema(schema).parquet(f"{arrived}/batch={batch_id}").select("News_Date").distinct()
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(arrived)
+    affected = rows.join(broadcast_if_small(touched), "News_Date", "left_semi").withColumnsRenamed({v: k for k, v in KEYS.items()})
+    kept = N.dedupe(affected, DAY, "ord").withColumnsRenamed(KEYS)
+    replace_days(kept, f"{root}/articles", schema)
 
 
 def ingest_articles(
@@ -53,8 +49,9 @@ def ingest_articles(
     root: str,
     holidays: Sequence[str] = tuple(C.HOLIDAYS),
 ) -> DataFrame:
-    """Process all files that are there and return the table. ``root`` keeps the progress, so the
-    next call handles only files that have come since."""
+    """Process all files that are there and return the table of whole article rows. ``root`` keeps the
+    progress, so the next call handles only files that have come since. ``to_articles`` shapes the rows and
+    may leave some out, such as those without a mention of their company."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(to_articles(batch), batch_id, root, holidays)
@@ -66,4 +63,6 @@ def ingest_articles(
         .start()
         .awaitTermination()
     )
-    return read_or_empty(stream.sparkSession, f"{root}/articles", ARRIVED)
+    spark = stream.sparkSession
+    shape = to_articles(spark.createDataFrame([], stream.schema)).schema
+    return read_or_empty(spark, f"{root}/articles", arrived_schema(shape))
