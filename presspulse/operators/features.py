@@ -11,12 +11,26 @@ from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.functions.scoring import safe_float
 from presspulse.operators.market import guarded, log_return
+from presspulse.sources.storage import cut_lineage
 
 
 def ticker_codes(companies: DataFrame) -> DataFrame:
-    """Alphabetical rank from 0. The input is the company dimension, which is one row per listing."""
-    distinct = companies.select("ticker").distinct()
-    return distinct.withColumn("Ticker_Code", (F.row_number().over(Window.orderBy("ticker")) - 1).cast("int"))
+    """Alphabetical rank from 0, for any number of listings.
+
+    Range partitions are ranked each on their own; the numbers of rows before each partition, one number
+    a partition, are added.
+    """
+    distinct = companies.select("ticker").distinct().repartitionByRange("ticker")
+    placed = cut_lineage(distinct.withColumn("__p", F.spark_partition_id()))
+    before, total = {}, 0
+    for r in sorted(placed.groupBy("__p").count().collect()):
+        before[r["__p"]] = total
+        total += r["count"]
+    offset = F.lit(0)
+    if before:
+        offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__p"))
+    rank = F.row_number().over(Window.partitionBy("__p").orderBy("ticker")) - 1
+    return placed.select("ticker", (rank + offset).cast("int").alias("Ticker_Code"))
 
 
 def intraday_pct(open_: Column, close: Column) -> Column:
