@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -94,7 +95,7 @@ class Packer:
 
     def empty(self, last: bool = False) -> None:
         """Cut the pieces of all open windows into full sequences; the rest stays open unless ``last``."""
-        pieces = [p for level in sorted(self.open) for window in self.open[level] for p in window]
+        pieces = deque(p for level in sorted(self.open) for window in self.open[level] for p in window)
         left = sum(len(p[2]) for p in pieces)
         self.count[:] = 0
         self.open = {}
@@ -104,10 +105,10 @@ class Packer:
         for length in lengths:
             window, room = [], length
             while room:
-                doc_id, start, ids, tokens = pieces.pop(0)
+                doc_id, start, ids, tokens = pieces.popleft()
                 window.append((doc_id, start, ids[:room], tokens))
                 if len(ids) > room:
-                    pieces.insert(0, (doc_id, start + room, ids[room:], tokens))
+                    pieces.appendleft((doc_id, start + room, ids[room:], tokens))
                 room -= len(window[-1][2])
             self._close(window) if last else self._hold(window, length)
 
