@@ -4,16 +4,18 @@ The model is over the bytes of the UTF-8 text, of order ``ORDER``: an n-gram is
 so keys are exact and suffixes and contexts are arithmetic. It is trained on documents labelled as good,
 except a fifth of them held out by a hash of the id. All counts are tables sharded by n-gram:
 
-1. Each task adds up the n-grams of its trusted texts; a group-by gives their counts. Numbers of different
+1. Each task adds up the n-grams of its trusted texts; each shard adds up what tasks counted. Numbers of different
    symbols before each shorter n-gram (continuation counts) and the sums of each context follow by group-bys
    of the table of the next order. Discounts come from the counts of counts of each order.
-2. Documents are cut into chunks of about ``CHUNK_BYTES``; each chunk states its different n-grams. The
-   different n-grams of all chunks are joined with the count tables, from the lowest order up, which gives
-   their interpolated probabilities, and those go back to the chunks that need them.
+2. Documents are cut into chunks of about ``CHUNK_BYTES``; each chunk states its different n-grams to their
+   shards. The different n-grams of all chunks are joined with the count tables, from the lowest order up,
+   which gives their interpolated probabilities, and each shard answers the chunks that asked.
 3. A chunk and its probabilities meet in one task, which adds up the logarithms of each document.
 
-So what is moved grows with the chunks and with the different n-grams, not with tokens; no table is assumed to
-be small. A chunk is named by a hash of its ids and texts, so that both readings of the documents agree even if
+So what is moved, beside the compressed chunks, grows with the chunks and with the different n-grams, not with
+tokens. The ids of the trusted documents are broadcast up to a checked number; beyond it, texts and ids meet in
+a shuffled join with the same result. N-grams travel sorted, as compressed differences. The number of shards
+grows with that of chunks, so that a shard's questions stay within a task's memory. A chunk is named by a hash of its ids and texts, so that both readings of the documents agree even if
 tasks are repeated.
 
 A document is kept if its perplexity per byte is at most ``SLACK`` times the ``QUANTILE`` quantile of the
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presspulse.llm.tokens import text_slices, utf8
-from presspulse.sources.storage import cut_lineage
+from presspulse.sources.storage import broadcast_if_small, cut_lineage
 
 ORDER = 5
 QUANTILE = 0.99
@@ -46,6 +48,9 @@ SLACK = 1.5
 CHUNK_BYTES = 1 << 25
 PIECE_BYTES = 1 << 20
 ACCURACY = 100_000
+SPREAD = 1_000_003  # a prime: the shard of an n-gram is its remainder by this, by the number of shards
+LEAST_SHARDS, CHUNKS_A_SHARD = 16, 16
+MAX_BROADCAST_IDS = 1_000_000  # ids of trusted documents; more of them meet the documents in a shuffled join
 
 
 def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +70,7 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return known, np.bincount(at, weights=counts, minlength=len(known)).astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     keys, counts, held, pending = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
     for whole in batches:
         for batch in text_slices(whole, limit=PIECE_BYTES):
@@ -75,8 +80,55 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys, counts = _merge(np.concatenate([keys, *(k for k, _ in held)]), np.concatenate([counts, *(c for _, c in held)]))
                 held, pending = [], 0
     keys, counts = _merge(np.concatenate([keys, *(k for k, _ in held)]), np.concatenate([counts, *(c for _, c in held)]))
-    for i in range(0, len(keys), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 16)]), pa.array(counts[i : i + (1 << 16)])], names=["gram", "n"])
+    yield _by_shard(keys, shards, {"counts": counts})
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(values.tobytes())
+
+
+def _open(blob: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_py()), kind)
+
+
+def _open_keys(blob: pa.Scalar) -> np.ndarray:
+    return np.cumsum(_open(blob, np.int64))
+
+
+def _by_shard(keys: np.ndarray, shards: int, values: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each shard with its part of the sorted keys, as differences, and of the values."""
+    of = keys % SPREAD % shards
+    rows = [np.flatnonzero(of == i) for i in range(shards)] if shards <= 64 else np.split(o := np.argsort(of, kind="stable"), np.searchsorted(of[o], np.arange(1, shards)))
+    held = [(i, r) for i, r in enumerate(rows) if len(r)]
+    columns = {"shard": pa.array([i for i, _ in held], pa.int64()), "keys": pa.array([_squeeze(np.diff(keys[r], prepend=0)) for _, r in held], pa.binary())}
+    columns |= {name: pa.array([_squeeze(v[r]) for _, r in held], pa.binary()) for name, v in values.items()}
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _add_up(group: pa.Table) -> pa.Table:
+    """Counts of the n-grams of a shard."""
+    pairs = [(_open_keys(k), _open(c, np.int64)) for k, c in zip(group["keys"], group["counts"], strict=True)]
+    keys, counts = _merge(np.concatenate([k for k, _ in pairs]), np.concatenate([c for _, c in pairs]))
+    return pa.table({"gram": keys, "n": counts})
+
+
+def _different(group: pa.Table) -> pa.Table:
+    """The n-grams that any chunk asks of a shard."""
+    return pa.table({"gram": np.unique(np.concatenate([_open_keys(k) for k in group["keys"]]))})
+
+
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """For each question to a shard, the probabilities of its n-grams."""
+    order = np.argsort(known["gram"].to_numpy())
+    keys, logp = known["gram"].to_numpy()[order], known["logp"].to_numpy()[order]
+    out = []
+    for blob in asked["keys"]:
+        own = _open_keys(blob)
+        at = np.searchsorted(keys, own)
+        if len(own) and (at.max() >= len(keys) or (keys[at] != own).any()):
+            raise ValueError("an n-gram of a chunk has no probability")
+        out.append(_squeeze(logp[at]))
+    return pa.table({"chunk": asked["chunk"], "keys": asked["keys"], "logp": pa.array(out, pa.binary())})
 
 
 def _suffix(gram: Column, order: int) -> Column:
@@ -151,15 +203,13 @@ def _name(batch: pa.RecordBatch) -> int:
     return xxhash.xxh64_intdigest(offsets.tobytes() + ids.tobytes(), seed=xxhash.xxh32_intdigest(data.tobytes())) - (1 << 63)
 
 
-def _needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _needs(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for chunk in _chunks(batches):
         keys = np.zeros(0, np.int64)
         for piece in text_slices(chunk, limit=PIECE_BYTES):
             keys = np.union1d(keys, grams(piece["text"])[0])
-        name = _name(chunk)
-        for i in range(0, len(keys), 1 << 16):
-            part = keys[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), name)), pa.array(part)], names=["chunk", "gram"])
+        asked = _by_shard(keys, shards, {})
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(asked.num_rows, _name(chunk))), *asked.columns], names=["chunk", *asked.schema.names])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +226,9 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for blob, known in zip(batch["blob"], batch["known"], strict=True):
             chunk = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob.as_py())).read_next_batch()
-            pairs = known.values
-            keys, logp = pairs.field("gram").to_numpy(), pairs.field("logp").to_numpy()
+            answers = known.values
+            keys = np.concatenate([np.zeros(0, np.int64), *map(_open_keys, answers.field("keys"))])
+            logp = np.concatenate([np.zeros(0), *(_open(x, np.float64) for x in answers.field("logp"))])
             order = np.argsort(keys)
             keys, logp = keys[order], logp[order]
             for piece in text_slices(chunk, limit=PIECE_BYTES):
@@ -192,25 +243,36 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["lang"], pa.array(n), perplexity], names=["doc_id", "lang", "n_bytes", "perplexity"])
 
 
+def shard_count(parts: int) -> int:
+    return max(LEAST_SHARDS, math.ceil(parts / CHUNKS_A_SHARD))
+
+
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, lang, n_bytes, perplexity)`` for each row of ``docs(doc_id, lang, text)``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(size / CHUNK_BYTES))
-    rows = rows.coalesce(tasks)  # few files of little text would else state the same n-grams again and again
-    needs = cut_lineage(rows.mapInArrow(_needs, "chunk long, gram long"))
-    known = needs.join(model.probabilities(needs.select("gram").distinct()), "gram").groupBy("chunk")
-    known = known.agg(F.collect_list(F.struct("gram", "logp")).alias("known"))  # at most the n-grams of a chunk
+    chunks = math.ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / CHUNK_BYTES)
+    shards = shard_count(chunks)
+    # few files of little text would else state the same n-grams again and again
+    rows = rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, chunks))
+    asked = cut_lineage(rows.mapInArrow(lambda x: _needs(x, shards), "chunk long, shard long, keys binary"))
+    grams_asked = asked.select("shard", "keys").groupBy("shard").applyInArrow(_different, "gram long")
+    known = model.probabilities(cut_lineage(grams_asked)).select((F.col("gram") % SPREAD % shards).alias("shard"), "gram", "logp")
+    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "chunk long, keys binary, logp binary")
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("keys", "logp")).alias("known"))  # one of each shard at most
     packed = rows.mapInArrow(_pack, "chunk long, blob binary")
-    met = packed.join(known.hint("shuffle_hash"), "chunk", "left").select("blob", F.coalesce("known", F.array().cast("array<struct<gram:bigint,logp:double>>")).alias("known"))
+    none = F.array().cast("array<struct<keys:binary,logp:binary>>")
+    met = packed.join(answers.hint("shuffle_hash"), "chunk", "left").select("blob", F.coalesce("known", none).alias("known"))
     return met.mapInArrow(_score, "doc_id long, lang string, n_bytes long, perplexity double")
 
 
 def perplexity_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, lang, n_bytes, perplexity, threshold, kept)`` for each row of ``docs``."""
     good = cut_lineage(trusted(docs, labels))
-    training = docs.select("doc_id", "text").where("text <> ''").join(good.where("not held"), "doc_id", "left_semi").select("text")
-    model = Model(training.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    ids = broadcast_if_small(good.where("not held").select("doc_id"), MAX_BROADCAST_IDS)
+    training = docs.select("doc_id", "text").where("text <> ''").join(ids, "doc_id", "left_semi").select("text")
+    shards = shard_count(docs.rdd.getNumPartitions())
+    counted = training.mapInArrow(lambda x: _count(x, shards), "shard long, keys binary, counts binary")
+    model = Model(counted.groupBy("shard").applyInArrow(_add_up, "gram long, n long"))
     scored = cut_lineage(perplexities(docs, model))
     held = scored.where("perplexity is not null").join(good.where("held"), "doc_id", "left_semi")
     limit = lambda rows: rows.agg((SLACK * F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(ACCURACY))).alias("threshold"))
