@@ -9,9 +9,11 @@
    several members, one of them text: then its text is part of the template. The paths in the tokens say how
    valid classes nest.
 3. A page's slots are the stretches between template tokens. Extraction drops template text, and slots inside
-   elements that carry no article text (menus, footers, forms, adverts and so on, by element name or by the
-   words of class, id and role), and joins the blocks of the remaining slots. If a page marks an ``article`` or
-   ``main`` element, only slots inside it count.
+   elements that carry no article text (menus, footers, forms, adverts and so on, by element name, by a
+   ``hidden`` attribute, or by a class, id or role all of whose parts say so), and joins the blocks of the
+   remaining slots. The words of ``html``, ``body``, ``main`` and ``article`` elements say nothing about the
+   page and never drop it. If an ``article`` or ``main`` element that is not dropped has text, only slots inside
+   such elements count.
 
 Hosts with few pages have no valid class; for them the third step stands alone.
 
@@ -55,8 +57,11 @@ MARKUP = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
+#: Elements that hold the page or the article, whatever their classes.
+HOLDERS = frozenset("html body main article".split())
 
 
 class Block:
@@ -72,17 +77,22 @@ class Block:
         return " ".join((html.unescape(joined) if "&" in joined else joined).split())
 
 
+def _marks_beside(token: str) -> bool:
+    """Whether a class, id or role is a word of ``BESIDE`` or made of nothing else (``cookie-notice``)."""
+    parts = [p for p in SPLIT.split(token) if p]
+    return bool(parts) and BESIDE.issuperset(parts)
+
+
 def _beside(name: str, attrs: str, inside_main: bool) -> bool:
     if name in DROPPED or (name == "header" and not inside_main):
         return True
-    if "=" not in attrs:
+    if name in ("html", "body"):
         return False
-    if re.search(r"\bhidden\b(?!\s*=)", attrs):
+    if "hidden" in attrs.lower() and any(m[1].lower() == "hidden" for m in ATTRIBUTE.finditer(attrs)):
         return True
-    for m in NAMED.finditer(attrs):
-        if not BESIDE.isdisjoint(SPLIT.split((m[1] or m[2] or m[3] or "").lower())):
-            return True
-    return False
+    if "=" not in attrs or name in HOLDERS:
+        return False
+    return any(_marks_beside(t) for m in NAMED.finditer(attrs) for t in (m[1] or m[2] or m[3] or "").lower().split())
 
 
 def read(page: str) -> tuple[list[Block], list[str]]:
@@ -183,12 +193,9 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     if not page:
         return ""
     blocks, _ = read(page)
-    inside = any(b.main for b in blocks)
-    out = []
-    for b in blocks:
-        if b.parts and not b.dropped and (b.main or not inside) and (text := b.text()) and (not template or _hash(b.path, text) | 1 not in template):
-            out.append(text)
-    return " ".join(out)
+    out = [(b.main, text) for b in blocks if b.parts and not b.dropped and (text := b.text()) and (not template or _hash(b.path, text) | 1 not in template)]
+    inside = any(main for main, _ in out)
+    return " ".join(text for main, text in out if main or not inside)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

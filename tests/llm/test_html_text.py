@@ -34,6 +34,29 @@ def test_structure():
     assert main_text(None) == ""
 
 
+WHOLE = {
+    "<aside><article>teaser</article></aside><div>story</div>": "story",
+    "<div class=content>story</div><div class=comments><article>reply</article></div>": "story",
+    "<article></article><p>story": "story",
+    "<p>menu</p><main><article>story</article></main>": "story",
+    "<div style='overflow:hidden'>story</div>": "story",
+    "<div class=\"overflow-hidden\">story</div>": "story",
+    "<div data-note='is hidden here'>story</div>": "story",
+    "<div hidden>n</div>story": "story",
+    "<div class=x HIDDEN=hidden>n</div>story": "story",
+    "<html class='nav'><body class='has-sidebar search'><p>story": "story",
+    "<article class='post comment'>story</article>": "story",
+    "<main class=social>story</main>": "story",
+    "<div class='with-sidebar no-ads'>story</div>": "story",
+    "<div class='left sidebar'>n</div><div id=share-widget>n</div>story": "story",
+}
+
+
+def test_marks_beside_the_article_drop_no_article():
+    for page, text in WHOLE.items():
+        assert main_text(page) == text, page
+
+
 def test_long_and_deep_pages():
     assert main_text("<p>word</p>" * 20_000) == " ".join(["word"] * 20_000)
     assert main_text("<div>" * 3000 + "x") == "x"
