@@ -4,10 +4,11 @@
    A token's occurrence vector holds how often it occurs on each page of its host. Tokens of a host with the
    same vector form an equivalence class. Vectors are compared by additive fingerprints (the sum over pages of
    page hash times count) with the page count and total, so that a host of any size is pre-aggregated where its
-   pages are read and never gathered.
+   pages are read and never gathered. Copies (equal html on one host) are one page here: repetition of a whole
+   page says nothing about its parts.
 2. A class is valid if it is on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the host's, and if it has
    several members, one of them text: then its text is part of the template. The paths in the tokens say how
-   valid classes nest.
+   valid classes nest. A page that would lose all its text to the template keeps it.
 3. A page's slots are the stretches between template tokens. Extraction drops template text, and slots inside
    elements that carry no article text (menus, footers, forms, adverts and so on, by element name, by a
    ``hidden`` attribute, or by a class, id or role all of whose parts say so), and joins the blocks of the
@@ -174,11 +175,29 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "token", "pages", "total", "vector"])
 
 
+def _contents(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each different page of ``pages(host, html)`` once, and the number of them of each host.
+
+    Only copies are shuffled, collapsed where they are read, as long as the keys of copied pages can be broadcast.
+    """
+    rows = pages.where("host is not null").select("host", F.coalesce("html", F.lit("")).alias("html"))
+    rows = rows.withColumns({"content": F.xxhash64("html"), "chars": F.length("html")})
+    key = ["host", "content", "chars"]
+    keys = cut_lineage(rows.groupBy(*key).agg(F.count("*").alias("n")))
+    sizes = keys.groupBy("host").agg(F.count("*").alias("host_pages"))
+    copied = keys.where("n > 1").select(*key)
+    collapsed = lambda some: some.groupBy(*key).agg(F.first("html").alias("html")).select("host", "html")
+    if copied.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+        return collapsed(rows), sizes
+    copied = F.broadcast(copied)
+    return rows.join(copied, key, "left_anti").select("host", "html").unionByName(collapsed(rows.join(copied, key, "left_semi"))), sizes
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``(host, token)``: the text tokens of the valid classes of each host of ``pages(host, html)``."""
-    seen = pages.mapInArrow(_tokens, "host string, token long, pages long, total long, vector long")
+    contents, sizes = _contents(pages)
+    seen = contents.mapInArrow(_tokens, "host string, token long, pages long, total long, vector long")
     vectors = seen.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.pmod(F.sum("vector"), F.lit(1 << 32)).alias("vector"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
     often = vectors.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
     held = cut_lineage(often.select("host", "token", "pages", "total", "vector"))
     classes = held.groupBy("host", "pages", "total", "vector").agg(
@@ -193,9 +212,11 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     if not page:
         return ""
     blocks, _ = read(page)
-    out = [(b.main, text) for b in blocks if b.parts and not b.dropped and (text := b.text()) and (not template or _hash(b.path, text) | 1 not in template)]
-    inside = any(main for main, _ in out)
-    return " ".join(text for main, text in out if main or not inside)
+    held = [(b, text) for b in blocks if b.parts and not b.dropped and (text := b.text())]
+    out = [(b, text) for b, text in held if _hash(b.path, text) | 1 not in template] if template else held
+    out = out or held
+    inside = any(b.main for b, _ in out)
+    return " ".join(text for b, text in out if b.main or not inside)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

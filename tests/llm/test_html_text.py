@@ -84,6 +84,23 @@ def test_copies_on_one_host_keep_their_text_where_others_differ(spark):
     assert got[1] == "same article" and got[2] == "own article 2"
 
 
+def test_copies_are_one_page_in_template_deduction(spark):
+    story = "".join(f"<p>part {k} of one story</p>" for k in range(4))
+    rows = [(i, f"https://all.example.org/{i}", story) for i in range(20)]
+    rows += [(100 + i, f"https://most.example.org/{i}", story if i < 12 else f"<p>own text {i}</p>") for i in range(20)]
+    got = {r.page_id: r.text for r in extracted_text(pages(spark, rows)).collect()}
+    whole = " ".join(f"part {k} of one story" for k in range(4))
+    assert {got[i] for i in range(20)} | {got[100 + i] for i in range(12)} == {whole}
+    assert got[115] == "own text 15"
+
+
+def test_template_never_takes_all_text_of_a_page(spark):
+    frame = "<div class=q1>Our great portal</div>{}<div class=q3>Made with care</div>"
+    rows = [(i, "https://one.example.org/", frame.format(f"<p>text {i}</p>" if i else "")) for i in range(20)]
+    got = {r.page_id: r.text for r in extracted_text(pages(spark, rows)).collect()}
+    assert got[0] == "Our great portal Made with care" and got[7] == "text 7"
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, None), (2, "no host", ""), (None, "https://h/", "<p>x"), (3, None, "<p>y"), (3, None, "<p>y"), (4, "https://h/", "😀 &#x1F600; é")]
     got = extracted_text(pages(spark, rows)).collect()
