@@ -7,11 +7,14 @@ that pass its check. Three generators then propose further spans with high recal
 and each other: token-like strings with a digit (``secret``), groups of digits (``number``), anything
 around an ``@`` (``address``). Gradient-boosted trees score them from their format and the characters
 around them. The trees are trained here on weak labels: a candidate is personal if it is exactly a base
-span or stands as the value of a credential (``token = ...``). The training documents are a bounded
-sample, the ``SAMPLE_DOCS`` first by a hash of their id. A threshold for each generator is calibrated on
-held-out documents, on the candidates that touch no base span: the lowest with a precision of at least
-``PRECISION``. The fitted trees become one
-Column expression, so scoring needs neither a shuffle nor a join.
+span or stands after a cue of its generator: a credential word (``token = ...``), a word for telephones or
+accounts, a word for mail. The cue is no feature of the candidates it labels, so the trees have to find what
+stands without one. The training documents are a bounded sample, the ``SAMPLE_DOCS`` first by a hash of their
+id, but for three in ten. A threshold for each generator is calibrated on all other documents, on the
+candidates that touch no base span: the lowest with a precision of at least ``PRECISION``, counted against
+the weak labels. A generator without such a threshold selects nothing by score. Values of credentials are
+selected whatever their score. The fitted trees become one Column expression, so scoring needs neither a
+shuffle nor a join.
 
 Positions are code points, ends exclusive. Patterns are possessive or anchored where this cannot change
 their matches, so that long runs take linear time, and offsets are summed in blocks.
@@ -28,7 +31,6 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,11 @@ GENERATORS = {
     "address": r"(?<![^\s@<>\"])[^\s@<>\"]{1,64}+@[^\s@<>\"]{3,}+",
 }
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_ -]?key|auth(?:orization)?|bearer)[\"']?\s{0,3}[=:]?\s{0,3}[\"']?$"
-TELEPHONE = r"(?i)(?:tel|phone|call|fax|mobile|cell)\W{0,4}$"
-ACCOUNT = r"(?i)(?:card|account|iban|visa|ssn|passport|id|no|number)\W{0,4}$"
+#: The same where the word is part of the match: ``password=...``.
+CREDENTIAL_INSIDE = r"(?i)^(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|auth(?:orization)?|bearer)="
+TELEPHONE = r"(?i)\b(?:tel(?:ephone)?|phone|call|(?:tele)?fax|mobile|cell)\W{0,4}$"
+ACCOUNT = r"(?i)\b(?:card|account|iban|visa|ssn|passport|id|no|number)\W{0,4}$"
+MAIL = r"(?i)\b(?:e-?mail|mailto|contact|write(?: to)?|reply(?: to)?|address|from:|to:|cc:)\W{0,4}$"
 BEFORE = 28
 
 SAMPLE_DOCS = 8000
@@ -131,7 +136,19 @@ def base_spans(text: Column) -> Column:
     return F.concat(*map(of_kind, BASE_KINDS))
 
 
-def _features(match: Column, before: Column, after: Column) -> list[tuple[str, Column]]:
+def _cue(kind: str, match: Column, before: Column) -> Column:
+    """Whether the words at a candidate say that it is personal."""
+    if kind == "secret":
+        return before.rlike(CREDENTIAL) | match.rlike(CREDENTIAL_INSIDE)
+    if kind == "number":
+        return before.rlike(TELEPHONE) | before.rlike(ACCOUNT)
+    return before.rlike(MAIL)
+
+
+def _features(kind: str, match: Column, before: Column, after: Column) -> list[tuple[str, Column]]:
+    """Format and surroundings, but for the cues by which candidates of ``kind`` are labelled."""
+    none = F.lit(0)
+    match = F.regexp_replace(match, CREDENTIAL_INSIDE, "") if kind == "secret" else match
     count = lambda keep: F.length(F.regexp_replace(match, f"[^{keep}]", ""))
     return [
         ("length", F.length(match)),
@@ -143,11 +160,13 @@ def _features(match: Column, before: Column, after: Column) -> list[tuple[str, C
         ("different", F.size(F.array_distinct(F.split(match, "")))),
         ("plus", match.startswith("+").cast("int")),
         ("at", match.contains("@").cast("int")),
-        ("host", match.rlike(r"@[A-Za-z0-9-]+\.[A-Za-z0-9-]").cast("int")),
+        ("host", match.rlike(r"@[\p{L}\p{N}-]+\.[\p{L}\p{N}-]").cast("int")),
         ("hex", match.rlike("^[0-9a-fA-F]++$").cast("int")),
-        ("credential", before.rlike(CREDENTIAL).cast("int")),
-        ("telephone", before.rlike(TELEPHONE).cast("int")),
-        ("account", before.rlike(ACCOUNT).cast("int")),
+        ("secret", F.lit(int(kind == "secret"))),
+        ("number", F.lit(int(kind == "number"))),
+        ("credential", none if kind == "secret" else before.rlike(CREDENTIAL).cast("int")),
+        ("telephone", none if kind == "number" else before.rlike(TELEPHONE).cast("int")),
+        ("account", none if kind == "number" else before.rlike(ACCOUNT).cast("int")),
         ("set", before.rlike("[=:\"']\\s?$").cast("int")),
         ("joined_before", before.rlike(r"[\p{L}\p{N}]$").cast("int")),
         ("joined_after", after.rlike(r"^[\p{L}\p{N}]").cast("int")),
@@ -157,15 +176,15 @@ def _features(match: Column, before: Column, after: Column) -> list[tuple[str, C
 
 
 def candidates(text: Column) -> Column:
-    """Array of ``(kind, start, end, credential, features)`` from all generators."""
+    """Array of ``(kind, start, end, cue, features)`` from all generators."""
 
     def of_kind(kind: str) -> Column:
         def describe(s: Column) -> Column:
             before = F.substring(text, F.greatest(s["start"] - BEFORE + 1, F.lit(1)).cast("int"), F.least(s["start"], F.lit(BEFORE)).cast("int"))
             after = F.substring(text, (s["end"] + 1).cast("int"), F.lit(1))
-            feats = F.array(*[c.cast("double") for _, c in _features(s["match"], before, after)])
+            feats = F.array(*[c.cast("double") for _, c in _features(kind, s["match"], before, after)])
             return F.struct(
-                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), before.rlike(CREDENTIAL).alias("credential"), feats.alias("features")
+                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), _cue(kind, s["match"], before).alias("cue"), feats.alias("features")
             )
 
         return F.transform(located(text, GENERATORS[kind]), describe)
@@ -189,11 +208,11 @@ class Selector:
         margin = reduce(lambda a, b: a + b, [walk(t) * w for w, t in self.trees])
         return 1 / (1 + F.exp(-2 * margin))
 
-    def selects(self, kind: Column, features: Column) -> Column:
+    def selects(self, kind: Column, cue: Column, features: Column) -> Column:
         limit = F.lit(2.0)  # above any score
         for k, t in self.thresholds.items():
             limit = F.when(kind == k, F.lit(t)).otherwise(limit)
-        return bind(self.score(features), lambda s: F.when(s >= limit, s))
+        return F.when(cue & (kind == "secret"), 1.0).otherwise(bind(self.score(features), lambda s: F.when(s >= limit, s)))
 
 
 def _parse(lines: list[str]) -> tuple:
@@ -207,31 +226,37 @@ def _parse(lines: list[str]) -> tuple:
     return (int(at), float(limit), low, _parse(lines))
 
 
-def train(docs: DataFrame) -> Selector | None:
-    """Trees and thresholds from the sample of ``docs``; None if it has too few weak labels."""
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(cut_lineage(ids)), "doc_id")  # at most SAMPLE_DOCS ids
+def _labelled(docs: DataFrame) -> DataFrame:
+    """``(doc_id, kind, features, covered, label)`` of the candidates of ``docs(doc_id, text)``."""
     text = F.col("text")
-    found = sample.where("text is not null").select("doc_id", F.struct(base_spans(text).alias("base"), candidates(text).alias("found")).alias("s"))
+    found = docs.where("text is not null").select("doc_id", F.struct(base_spans(text).alias("base"), candidates(text).alias("found")).alias("s"))
     rows = found.select("doc_id", F.transform("s.base", lambda b: F.struct(b["start"], b["end"])).alias("base"), F.explode("s.found").alias("c"))
-    rows = cut_lineage(
-        rows.select(
-            "c.kind",
-            "c.features",
-            F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"])).alias("covered"),
-            (F.col("c.credential") & (F.col("c.kind") == "secret") | F.array_contains("base", F.struct("c.start", "c.end"))).cast("int").alias("label"),
-            (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) < 3).alias("held"),
-        )
+    return rows.select(
+        "doc_id",
+        "c.kind",
+        "c.features",
+        F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"])).alias("covered"),
+        (F.col("c.cue") | F.array_contains("base", F.struct("c.start", "c.end"))).cast("int").alias("label"),
     )
+
+
+def train(docs: DataFrame) -> Selector | None:
+    """Trees from the sample of ``docs``, thresholds from all others; None if the sample has too few weak labels."""
+    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) < 3
+    ids = cut_lineage(ids.withColumn("held", held))  # at most SAMPLE_DOCS ids
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id")
+    rows = cut_lineage(_labelled(sample).withColumn("held", held))
     seen = rows.groupBy("held", "label").count().collect()
     if len(seen) < 4 or min(r["count"] for r in seen if r.label == 1) < LEAST_POSITIVES // 4 or sum(r["count"] for r in seen if r.label == 1) < LEAST_POSITIVES:
         return None
     width = rows.select(F.size("features").alias("n")).first().n
-    wide = rows.select("kind", "label", "held", "covered", *[F.get("features", F.lit(i)).alias(f"f{i}") for i in range(width)])
+    wide = rows.where("not held").select("label", *[F.get("features", F.lit(i)).alias(f"f{i}") for i in range(width)])
     wide = VectorAssembler(inputCols=[f"f{i}" for i in range(width)], outputCol="v").transform(wide)
-    fitted = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(wide.where("not held"))
+    fitted = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(wide)
     trees = [(float(w), _parse(t.toDebugString.splitlines()[1:])) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)]
-    scored = fitted.transform(wide.where("held and not covered")).select("kind", "label", vector_to_array("probability")[1].alias("p"))
+    unseen = docs.select("doc_id", "text").join(F.broadcast(ids.where("not held").select("doc_id")), "doc_id", "left_anti")
+    scored = _labelled(unseen).where("not covered").select("kind", "label", Selector(trees, {}).score(F.col("features")).alias("p"))
     sums = [F.sum(F.when(F.col("p") >= t, x)).alias(f"{n}{i}") for i, t in enumerate(GRID) for n, x in (("hit", F.col("label")), ("all", F.lit(1)))]
     thresholds = {}
     for row in scored.groupBy("kind").agg(*sums).collect():
@@ -254,9 +279,9 @@ def _apart(spans: Column) -> Column:
 def added_spans(text: Column, base: Column, selector: Selector | None) -> Column:
     """Selected candidates that touch no base span and not each other: by kind as listed, then start."""
     plain = "array<struct<kind:string,start:bigint,end:bigint>>"
-    if selector is None or not selector.thresholds:
+    if selector is None:
         return F.array().cast(plain)
-    scored = F.transform(candidates(text), lambda c: F.struct(c["start"], (-c["end"]).alias("back"), c["end"], c["kind"], selector.selects(c["kind"], c["features"]).alias("p")))
+    scored = F.transform(candidates(text), lambda c: F.struct(c["start"], (-c["end"]).alias("back"), c["end"], c["kind"], selector.selects(c["kind"], c["cue"], c["features"]).alias("p")))
     free = F.filter(scored, lambda c: c["p"].isNotNull() & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     lone = bind(free, lambda f: F.filter(f, lambda c: ~F.exists(f, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"]) & (o["p"] > c["p"]))))
     apart = _apart(F.transform(F.array_sort(lone), lambda c: F.struct(c["start"], c["end"], c["kind"])))

@@ -115,3 +115,27 @@ def test_trees_as_columns_equal_the_fitted_model(spark):
     p = [r.p for r in row.select(chosen.score(F.col("f")).alias("p")).collect()]
     expect = lambda v: 1 / (1 + 2.718281828459045 ** (-2.2 * v))
     assert p == pytest.approx([expect(1.0), expect(-1.0), expect(0.25)])
+
+
+def test_each_generator_is_selected(spark):
+    """Telephone numbers without +, addresses with other letters and secrets, after a word that says so or not."""
+    rows = []
+    for i in range(600):
+        said = i % 180 < 174
+        kinds = (
+            ("secret", "password=" if said else "seen ", hashlib.sha1(str(i).encode()).hexdigest()),
+            ("number", "call " if said else "ring ", f"(0171) 555-{i:04d}"),
+            ("address", "contact " if said else "ask ", f"jör{i}é@hóst{i}.example"),
+            (None, "order ", f"55{i:05d}1"),
+            (None, "see ", f"item-{i}-of-the-long-list-0001"),
+            (None, "at ", f"@home@{i}"),
+        )
+        kind, words, value = kinds[i % 6]
+        rows.append((i, f"some {words}{value} then", kind, value))
+    frame = docs(spark, [r[:2] for r in rows])
+    added = {r.doc_id: [(s.kind, rows[r.doc_id][1][s.start : s.end]) for s in r.added] for r in pii.personal_data(frame).collect()}
+    for kind in pii.ADDED_KINDS:
+        own = [r for r in rows if r[2] == kind]
+        assert sum(any(k == kind and v.endswith(r[3]) for k, v in added[r[0]]) for r in own) > 0.9 * len(own), kind
+        assert any(added[r[0]] for r in own if r[0] % 180 >= 174), kind
+    assert not any(added[r[0]] for r in rows if r[2] is None)
