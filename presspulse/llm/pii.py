@@ -307,8 +307,21 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", found_spans(F.col("text"), train(docs)).alias("found")).select("doc_id", "found.base", "found.added")
 
 
+def _unions(spans: Column) -> Column:
+    """Unions of overlapping spans, sorted by start, under the kind of the first one."""
+    array = "array<struct<start:bigint,end:bigint,kind:string>>"
+    kind = f"struct<last:struct<start:bigint,end:bigint,kind:string>,out:{array}>"
+    first = F.struct(F.lit(None).alias("last"), F.array().alias("out")).cast(kind)
+    grown = lambda last, s: F.struct(last["start"], F.greatest(last["end"], s["end"]).alias("end"), last["kind"])
+    done = lambda acc: F.when(acc["last"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["last"])))
+    step = lambda acc, s: F.when(s["start"] < acc["last"]["end"], F.struct(grown(acc["last"], s).alias("last"), acc["out"].alias("out")).cast(kind)).otherwise(
+        F.struct(s.alias("last"), done(acc).alias("out")).cast(kind)
+    )
+    return F.aggregate(spans, first, step, done)
+
+
 def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by its kind in brackets; overlapping spans become the first one."""
+    """``text`` with each span replaced by its kind in brackets; overlapping spans become their union under the kind of the first."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["end"], s["kind"])))
 
     def build(kept: Column) -> Column:
@@ -319,7 +332,7 @@ def redacted(text: Column, spans: Column) -> Column:
         rest = F.substring(text, (F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0)) + 1).cast("int"), F.length(text))
         return F.concat(F.array_join(F.transform(kept, piece), ""), rest)
 
-    return bind(_apart(F.transform(order, lambda s: F.struct(s["start"], s["end"], s["kind"]))), build)
+    return bind(_unions(F.transform(order, lambda s: F.struct(s["start"], s["end"], s["kind"]))), build)
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -139,3 +139,11 @@ def test_each_generator_is_selected(spark):
         assert sum(any(k == kind and v.endswith(r[3]) for k, v in added[r[0]]) for r in own) > 0.9 * len(own), kind
         assert any(added[r[0]] for r in own if r[0] % 180 >= 174), kind
     assert not any(added[r[0]] for r in rows if r[2] is None)
+
+
+def test_partly_overlapping_spans_are_redacted_whole(spark):
+    texts = ["10.0.0.0 4111111111111111", "a 10.0.0.0 4111111111111111 b x@y.zz"]
+    row = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r.t for r in row.select(pii.redacted(F.col("text"), pii.base_spans(F.col("text"))).alias("t")).collect()] == ["[IP]", "a [IP] b [EMAIL]"]
+    spans = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(s).cast("bigint").alias("start"), F.lit(e).cast("bigint").alias("end")) for k, s, e in (("card", 2, 9), ("ip", 1, 4), ("phone", 3, 5), ("email", 9, 10))])
+    assert spark.range(1).select(pii.redacted(F.lit("abcdefghijkl"), spans)).first()[0] == "a[IP][EMAIL]kl"
