@@ -18,8 +18,9 @@ a shuffled join with the same result. N-grams travel sorted, as compressed diffe
 grows with that of chunks, so that a shard's questions stay within a task's memory. A chunk is named by a hash of its ids and texts, so that both readings of the documents agree even if
 tasks are repeated.
 
-A document is kept if its perplexity per byte is at most ``SLACK`` times the ``QUANTILE`` quantile of the
-held-out trusted documents of its language (of all languages where its own has none held out).
+A document is kept if its perplexity per byte is at most the ``QUANTILE`` quantile of the held-out trusted
+documents of its language (of all languages where its own has none held out). Fewer than ``LEAST_HELD`` of them
+have no such quantile below their maximum; there, ``SLACK`` times the maximum or what is next to it is the limit.
 
 Defined results: null and empty texts have no perplexity and are not kept; null languages are a language of
 their own; without trusted text, or none held out, there is no threshold and documents with text are kept;
@@ -45,6 +46,7 @@ from presspulse.sources.storage import broadcast_if_small, cut_lineage
 ORDER = 5
 QUANTILE = 0.99
 SLACK = 1.5
+LEAST_HELD = 100  # 1 / (1 - QUANTILE)
 CHUNK_BYTES = 1 << 25
 PIECE_BYTES = 1 << 20
 ACCURACY = 100_000
@@ -265,6 +267,12 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     return met.mapInArrow(_score, "doc_id long, lang string, n_bytes long, perplexity double")
 
 
+def _threshold() -> Column:
+    """The limit from the perplexities of held-out documents."""
+    quantile = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(ACCURACY))
+    return quantile * F.when(F.count("perplexity") >= LEAST_HELD, 1.0).otherwise(SLACK)
+
+
 def perplexity_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, lang, n_bytes, perplexity, threshold, kept)`` for each row of ``docs``."""
     good = cut_lineage(trusted(docs, labels))
@@ -275,7 +283,7 @@ def perplexity_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = Model(counted.groupBy("shard").applyInArrow(_add_up, "gram long, n long"))
     scored = cut_lineage(perplexities(docs, model))
     held = scored.where("perplexity is not null").join(good.where("held"), "doc_id", "left_semi")
-    limit = lambda rows: rows.agg((SLACK * F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(ACCURACY))).alias("threshold"))
+    limit = lambda rows: rows.agg(_threshold().alias("threshold"))
     by_lang = limit(held.groupBy(F.coalesce("lang", F.lit("")).alias("l")))
     overall = limit(held.groupBy()).first()[0]
     out = scored.withColumn("l", F.coalesce("lang", F.lit(""))).join(by_lang, "l", "left")

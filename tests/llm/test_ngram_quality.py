@@ -99,3 +99,11 @@ def test_counts_of_shards_add_up():
         total.update(dict(zip(*[c.to_pylist() for c in _add_up(group).columns], strict=True)))
     assert total == {k: 2 * v for k, v in collections.Counter(keys.tolist()).items()}
     assert Model.__doc__
+
+
+def test_threshold_is_the_quantile_of_enough_held_out_documents(spark):
+    from presspulse.llm.ngram_quality import LEAST_HELD, _threshold
+
+    rows = spark.range(1, 2 * LEAST_HELD + 1).selectExpr("cast(id as double) perplexity")
+    assert rows.agg(_threshold()).first()[0] == 2 * LEAST_HELD * 0.99
+    assert rows.where(f"perplexity < {LEAST_HELD}").agg(_threshold()).first()[0] == SLACK * (LEAST_HELD - 1)
