@@ -10,6 +10,7 @@ from presspulse.llm.html_text import extracted_text
 from presspulse.llm.near_dedup import near_duplicate_classes
 from presspulse.llm.ngram_quality import perplexity_quality
 from presspulse.llm.packing import packed_pieces
+from presspulse.llm.piece_spans import digests
 from presspulse.llm.pii import listed, personal_data
 from presspulse.llm.quality_rules import line_quality
 from presspulse.llm.statements import LINE_QUALITY
@@ -66,10 +67,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
 
 
+def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_toxicity, op4_ngram_quality, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
+        op12_piece_spans,
     )
 }
 ORACLES = {"op2_quality_rules": LINE_QUALITY}
