@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presspulse.llm.centroids import clusters
 from presspulse.llm.decontaminate import contaminations
 from presspulse.llm.html_text import extracted_text
 from presspulse.llm.near_dedup import near_duplicate_classes
@@ -67,6 +68,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_toxicity, op4_ngram_quality, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
-        op12_piece_spans,
+        op11_centroids, op12_piece_spans,
     )
 }
 ORACLES = {"op2_quality_rules": LINE_QUALITY}
