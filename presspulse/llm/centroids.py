@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presspulse.llm.tokens import row_slices
 from presspulse.sources.storage import cut_lineage
 
 DIMS, CENTROIDS, ROUNDS, SCALE = 64, 16, 3, 64
@@ -119,17 +120,11 @@ def matrix(vectors: pa.Array, dims: int, scale: int) -> np.ndarray:
     return np.floor(flat * scale).astype(np.int64).reshape(-1, dims)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, BATCH):
-            yield whole.slice(at, BATCH)
-
-
 def _sums(tree, dims: int, scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(tree.value.points)
         total, count = np.zeros((k, dims), np.int64), np.zeros(k, np.int64)
-        for batch in _batches(batches):
+        for batch in row_slices(batches, BATCH):
             x = matrix(batch["vector"], dims, scale)
             which, _ = nearest(tree.value, x)
             np.add.at(total, which, x)
@@ -143,7 +138,7 @@ def _sums(tree, dims: int, scale: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
 def _assign(tree, dims: int, scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _batches(batches):
+        for batch in row_slices(batches, BATCH):
             which, best = nearest(tree.value, matrix(batch["vector"], dims, scale))
             yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(which.astype(np.int32)), pa.array(best)], names=["vec_id", "cluster", "distance"])
 

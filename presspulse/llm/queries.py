@@ -18,6 +18,7 @@ from presspulse.llm.statements import LINE_QUALITY
 from presspulse.llm.toxicity import score_toxicity
 from presspulse.llm.url_filter import judged_urls
 from presspulse.llm.warc import round_trip
+from presspulse.llm.whitening import whitened_rows
 from presspulse.sources.storage import read_table
 
 
@@ -76,11 +77,15 @@ def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_toxicity, op4_ngram_quality, op5_pii, op6_packing, op7_warc, op8_html_text, op9_url_filter, op10_near_dedup,
-        op11_centroids, op12_piece_spans,
+        op11_centroids, op12_piece_spans, op13_whitening,
     )
 }
 ORACLES = {"op2_quality_rules": LINE_QUALITY}

@@ -62,6 +62,13 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         yield batch.slice(begin, end - begin)
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """All batches in parts of at most ``rows`` rows."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and the offsets of each."""
     texts = pc.fill_null(texts, "")
