@@ -15,6 +15,7 @@ from presspulse.schemas import conform
 
 # Dimensions up to this many rows are broadcast; larger ones are joined by shuffling.
 MAX_BROADCAST_ROWS = 50_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,9 +43,19 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of executors and the plan starts anew."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint: the rows survive the loss of executors and the plan starts anew.
+
+    Shuffle files of the plan behind it serve nothing more, so Spark is told to remove them when the
+    checkpoint is done; else those of every round of an iteration stay until the driver collects garbage.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # the setting is read when a frame is made
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
