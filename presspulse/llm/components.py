@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        now = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        now = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = now.groupBy("u").agg(F.min("v").alias("m"))
         held = now.join(least, "u")
         now = cut_lineage(

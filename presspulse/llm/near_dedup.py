@@ -19,8 +19,8 @@ into blocks of bounded size; a task compares two blocks with matrix products and
 join components, fewer than it has documents. This work is quadratic in a family whose members stayed
 apart, in arithmetic and not in rows.
 
-Defined results: documents without a word, or with a null id, link to nothing; repeated rows of an id
-are copies; ties take the smallest id; other columns are ignored.
+Defined results: documents without a word, or with a null id, link to nothing; rows of one id are one
+document, which is linked if any of its texts is; ties take the smallest id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -216,22 +216,30 @@ def linked_in_blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
     return whole.groupBy("component", "low", "high").applyInArrow(_compare_blocks, "a long, b long")
 
 
+def of_one_id(known: DataFrame, heads: DataFrame) -> DataFrame:
+    """Links between the nodes of the different texts of one id."""
+    several = known.groupBy("doc_id").agg(F.min("bag1").alias("p"), F.max("bag1").alias("q")).where("p < q").select("doc_id")
+    nodes = known.join(several, "doc_id", "left_semi").join(heads, ["bag1", "bag2"]).select("doc_id", "rep")
+    return nodes.join(nodes.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """``(doc_id, class_id)`` for each row of ``docs(doc_id, text)``; ``class_id`` is the class's smallest id."""
     docs = docs.select("doc_id", "text")
     signed = cut_lineage(docs.mapInArrow(_sign, "doc_id long, bag1 long, bag2 long, n long, bands array<long>"))
     known = signed.where("n > 0 and doc_id is not null")
     heads = known.groupBy("bag1", "bag2").agg(F.min("doc_id").alias("rep"))
-    # one row per different bag; repeated rows of an id are alike, or else are kept apart by their bags
+    # one row per different bag
     nodes = known.join(heads, [known.bag1 == heads.bag1, known.bag2 == heads.bag2, known.doc_id == heads.rep], "left_semi")
     members = nodes.select(F.col("doc_id").alias("node"), "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.min_by("n", "node").alias("hub_n")).where("hub < last")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     bucketed = cut_lineage(members.join(shared.drop("last"), "bucket"))
     fits = lambda a, b: F.least(a, b) >= SIMILARITY * F.greatest(a, b)  # noqa: E731  else the similarity is lower
-    stars = cut_lineage(bucketed.where(F.col("node") != F.col("hub")).where(fits("n", "hub_n")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    stars = cut_lineage(bucketed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     involved = bucketed.select(F.col("node").alias("doc_id")).distinct()
-    texts = cut_lineage(docs.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    links = cut_lineage(verified(stars, texts))
+    texts = docs.join(involved, "doc_id", "left_semi").withColumn("same", F.xxhash64("text"))
+    texts = cut_lineage(texts.dropDuplicates(["doc_id", "same"]).drop("same"))
+    links = cut_lineage(verified(stars, texts).unionAll(of_one_id(known, heads)))
     classes = components(links)
 
     # what the smallest members did not connect: members of a bucket in different components

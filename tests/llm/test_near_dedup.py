@@ -120,3 +120,14 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: top(x) for x in up}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = lambda t: t + " end"
+    # 5 has two texts: one near 7, the other near 3 and equal to a text of 9; 8 and 2 share no text with it
+    rows = [(5, a), (5, b), (7, near(a)), (3, near(b)), (9, b), (9, c), (8, "x y z x y z"), (2, near(c) + " here")]
+    got = collections.defaultdict(set)
+    for r in near_duplicate_classes(docs(spark, rows)).collect():
+        got[r.doc_id].add(r.class_id)
+    assert got == {2: {2}, 3: {2}, 5: {2}, 7: {2}, 9: {2}, 8: {8}}
