@@ -11,10 +11,8 @@ from presspulse import config as C
 
 # Character classes spelled out, so that the meaning of "word" and "space" does not
 # depend on regex flags: letters, numbers and underscore; all Unicode separators.
-WORD = r"\p{L}\p{N}_"
 # runs of anything else, with the common characters first since a class is tested in order
 NON_WORDS = r"[^a-z0-9_\p{L}\p{N}]+"
-FOLDED_NON_WORDS = r"[^A-Z0-9_\p{L}\p{N}]+"
 SPACE = r"\t-\r\x{1c}-\x{1f}\x{85}\p{Z}"
 
 

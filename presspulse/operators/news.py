@@ -1,4 +1,4 @@
-"""Operators over article rows: feed shaping, company matching, per-company cap, duplicates."""
+"""Operators over article rows: feed shaping, per-company cap, duplicates."""
 
 from __future__ import annotations
 
@@ -8,16 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presspulse import config as C
-from presspulse.functions.text import (
-    FOLDED_NON_WORDS,
-    WORD,
-    bind,
-    canonical_url,
-    normalize_headline,
-    parse_published_at,
-    publisher_from_url,
-)
-from presspulse.sources.storage import broadcast_if_small, cut_lineage
+from presspulse.functions.text import canonical_url, normalize_headline, parse_published_at, publisher_from_url
+from presspulse.sources.storage import cut_lineage
 
 # --- feed ----------------------------------------------------------------------------
 
@@ -38,113 +30,6 @@ def source_name(publisher: Column, url: Column) -> Column:
     return F.coalesce(F.nullif(publisher, F.lit("")), publisher_from_url(url))
 
 
-# --- company mentions -----------------------------------------------------------------
-
-
-def fold_case(c: Column) -> Column:
-    """Case folding for word equality, at least as coarse as a case-insensitive regex.
-
-    Lower then upper case joins letters that share either form; the dotted capital I is the one
-    letter whose lower case would otherwise bring in a combining mark and split the word.
-    """
-    return F.upper(F.lower(F.replace(c, F.lit("\u0130"), F.lit("i"))))
-
-
-def mention_pattern(name: Column) -> Column:
-    """Regex for the literal name standing on word boundaries."""
-    n = F.trim(name)
-    quoted = F.concat(F.lit("\\Q"), F.replace(n, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    before = F.when(n.rlike(f"^[{WORD}]"), F.lit(f"(?<![{WORD}])")).otherwise(F.lit(f"(?<=[{WORD}])"))
-    after = F.when(n.rlike(f"[{WORD}]$"), F.lit(f"(?![{WORD}])")).otherwise(F.lit(f"(?=[{WORD}])"))
-    return F.concat(F.lit("(?iu)"), before, quoted, after)
-
-
-def candidate_names(name: Column, aliases: Column) -> Column:
-    names = F.concat(F.array(name), F.coalesce(aliases, F.array().cast("array<string>")))
-    return F.array_distinct(F.filter(names, lambda n: n.isNotNull() & (n != "")))
-
-
-def mentions(text: Column, names: Column) -> Column:
-    """Whether the text mentions any of the names of its own row."""
-    return F.exists(names, lambda n: F.rlike(F.coalesce(text, F.lit("")), mention_pattern(n)))
-
-
-def text_words(text: Column) -> Column:
-    """Case-folded words of a text, always with '' among them."""
-    return F.concat(F.array(F.lit("")), F.split(fold_case(text), FOLDED_NON_WORDS))
-
-
-def name_table(companies: DataFrame) -> DataFrame:
-    """One row per company name or alias: ticker, regex, all its words, and its most selective word.
-
-    A name occurs in a text only if each of its words is a whole word of the text, so words are an
-    equality key. The most selective one is the word that the fewest names share. A name without
-    word characters has the single word '', which every text is given.
-    """
-    names = companies.select(
-        "ticker", F.explode(candidate_names(F.col("name"), F.col("aliases"))).alias("alias")
-    ).select(
-        "ticker",
-        mention_pattern(F.col("alias")).alias("pattern"),
-        F.array_distinct(
-            F.split(F.trim(F.regexp_replace(fold_case(F.col("alias")), FOLDED_NON_WORDS, " ")), " ")
-        ).alias("words"),
-    )
-    exploded = names.withColumn("word", F.explode("words"))
-    shared = exploded.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        exploded.join(shared, "word")
-        .groupBy("ticker", "pattern", "words")
-        .agg(F.min(F.struct("n", "word")).alias("m"))
-        .select("ticker", "pattern", "words", F.col("m.word").alias("word"))
-    )
-
-
-def match_companies(
-    articles: DataFrame, companies: DataFrame, key: str, text: str, small_names: int = 200
-) -> DataFrame:
-    """All (article, ticker) pairs where the article mentions the company's name or an alias.
-
-    Words select the candidates and the regex decides. Up to ``small_names`` names travel with the
-    plan as a literal and the match is a narrow projection without a shuffle; beyond that, words of
-    texts and selective words of names meet in an equality join, shuffled unless the names pass the
-    broadcast check. Both give the same pairs.
-    """
-    names = name_table(companies)
-    base = articles.select(key, text).where(F.col(text) != "")
-    local = names.limit(small_names + 1).collect()
-    if not local:
-        return base.select(key, F.lit(None).cast("string").alias("ticker")).limit(0)
-    if len(local) > small_names:
-        words = base.select(key, F.explode(F.array_distinct(text_words(F.col(text)))).alias("word"))
-        candidates = words.join(broadcast_if_small(names), "word")
-        return (
-            candidates.select(key, "ticker", "pattern")
-            .join(base, key)
-            .where(F.rlike(F.col(text), F.col("pattern")))
-            .select(key, "ticker")
-            .distinct()
-        )
-    known = sorted({w for r in local for w in r["words"]})
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(r["ticker"]).alias("t"), F.lit(r["pattern"]).alias("p"), F.array(*map(F.lit, r["words"])).alias("w")
-            )
-            for r in local
-        ]
-    )
-
-    def tickers(present: Column) -> Column:
-        possible = F.filter(table, lambda n: F.size(F.array_except(n["w"], present)) == 0)
-        return F.transform(F.filter(possible, lambda n: F.rlike(F.col(text), n["p"])), lambda n: n["t"])
-
-    # bound, so that the words of a text are split once and not once per name
-    hits = bind(F.filter(text_words(F.col(text)), lambda w: w.isin(known)), tickers)
-    # the outer form: a plain explode would infer a non-empty filter and evaluate the match twice
-    return base.select(key, F.explode_outer(F.array_distinct(hits)).alias("ticker")).where("ticker IS NOT NULL")
-
-
 # --- per-company cap -------------------------------------------------------------------
 
 

@@ -17,6 +17,7 @@ from presspulse.operators import daily as D
 from presspulse.operators import forecast as FC
 from presspulse.operators import market as MK
 from presspulse.operators import news as N
+from presspulse.operators.matching import match_companies
 from presspulse.schemas import ARTICLES, DAILY, PREDICTIONS, conform
 from presspulse.sources.storage import broadcast_if_small, cut_lineage
 
@@ -42,25 +43,17 @@ def select_articles(
     """Feed rows to the articles of each company day: window, mention check, duplicates. Days have any size.
 
     The mention check reads the whole texts once and leaves narrow rows of keys. Duplicates are settled
-    among those, and the surviving keys select the article rows.
+    among those, and the surviving keys select the article rows. Each row is an article of the feed of one
+    company, its ``Ticker``, and must mention that company.
     """
     dated = feed.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL")
-    names = broadcast_if_small(
-        cut_lineage(
-            companies.select(
-                F.col("ticker").alias("Ticker"),
-                F.col("sector"),
-                F.col("keywords"),
-                F.col("aliases"),
-                N.candidate_names(F.col("name"), F.col("aliases")).alias("names"),
-            )
-        )
-    )
+    dim = cut_lineage(companies.select(F.col("ticker").alias("Ticker"), "name", "sector", "keywords", "aliases"))
     text = F.concat(F.coalesce("Headline", F.lit("")), F.lit(" "), F.coalesce("Description", F.lit("")))
-    mentioned = dated.join(names.select("Ticker", "names"), "Ticker").where(N.mentions(text, F.col("names")))
-    keyed = cut_lineage(N.duplicate_keys(mentioned).select(*D.DAY, order, "url_key", "headline_key"))
-    kept = N.surviving_orders(keyed, D.DAY, order)
-    return dated.join(kept, [*D.DAY, order], "left_semi").join(names.drop("names"), "Ticker")
+    narrow = [*D.DAY, order, "url_key", "headline_key"]
+    keyed = N.duplicate_keys(dated).withColumn("__text", text)
+    mentioned = match_companies(keyed, dim.withColumnRenamed("Ticker", "ticker"), narrow, "__text", own="Ticker")
+    kept = N.surviving_orders(cut_lineage(mentioned.drop(mentioned.columns[-1])), D.DAY, order)
+    return dated.join(kept, [*D.DAY, order], "left_semi").join(broadcast_if_small(dim.drop("name")), "Ticker")
 
 
 def summary_text(df: DataFrame) -> Column:

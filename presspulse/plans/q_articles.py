@@ -12,6 +12,7 @@ from presspulse.functions import text as X
 from presspulse.operators import daily as D
 from presspulse.operators import enrich as E
 from presspulse.operators import news as N
+from presspulse.operators.matching import match_companies
 from presspulse.plans import inputs as I
 from presspulse.plans import jobs as J
 from presspulse.plans import sql as Q
@@ -140,7 +141,7 @@ def top_articles_per_company(spark: SparkSession, folder: str) -> DataFrame:
 def company_mentions(spark: SparkSession, folder: str) -> DataFrame:
     arts = I.articles(spark, folder, url=False)
     body = arts.select("ord", F.concat_ws(" ", "Headline", "Description").alias("body"))
-    return N.match_companies(body, I.companies(spark, folder), "ord", "body").withColumnRenamed("ticker", "Ticker")
+    return match_companies(body, I.companies(spark, folder), "ord", "body").withColumnRenamed("ticker", "Ticker")
 
 
 @query(

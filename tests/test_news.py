@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.operators import daily as D
+from presspulse.operators import matching
 from presspulse.operators import news as N
+from presspulse.operators.matching import match_companies
 from presspulse.schemas import COMPANIES, RAW_ARTICLE
 
 MONDAY = dt.date.fromisocalendar(2025, 33, 1)
@@ -158,7 +160,7 @@ def test_duplicate_keys_follow_links_and_spelling(spark):
     assert sorted(r["ord"] for r in kept.collect()) == [1, 4]
 
 
-def test_mentions_match_whole_words_in_both_ways(spark):
+def test_mentions_match_whole_words_in_one_and_in_several_parts(spark, monkeypatch):
     companies = spark.createDataFrame(C.COMPANIES, COMPANIES)
     odd = spark.createDataFrame([("A&B (India)", "AB", None, ["C++", "&"], None)], COMPANIES)
     texts = {
@@ -176,16 +178,38 @@ def test_mentions_match_whole_words_in_both_ways(spark):
     }
     df = spark.createDataFrame(list(texts.items()), "id int, t string")
     every = companies.unionByName(odd)
-    small = N.match_companies(df, every, "id", "t")
-    large = N.match_companies(df, every, "id", "t", small_names=3)
-    pairs = sorted(map(tuple, small.collect()))
-    assert pairs == sorted(map(tuple, large.collect()))
+    pairs = sorted(map(tuple, match_companies(df, every, "id", "t").collect()))
+    monkeypatch.setattr(matching, "NAMES_AT_ONCE", 7)
+    assert pairs == sorted(map(tuple, match_companies(df, every, "id", "t").collect()))
     dims = [(t, [n, *a]) for n, t, _, a, _ in C.COMPANIES] + [("AB", ["A&B (India)", "C++", "&"])]
     hit = lambda names, text: any(re.search(rf"\b{re.escape(n)}\b", text, re.IGNORECASE) for n in names)
     assert pairs == sorted((i, t) for i, text in texts.items() for t, names in dims if hit(names, text))
     assert {t for i, t in pairs if i == 3} == {"RELIANCE.NS", "IOC.NS", "COALINDIA.NS", "OIL.NS"}
-    own = spark.createDataFrame([("Coal India rises", ["Coal India", "CIL"]), ("COALS", ["Coal"]), (None, ["x"])], "t string, n array<string>")
-    assert [r[0] for r in own.select(N.mentions(F.col("t"), F.col("n"))).collect()] == [True, False, False]
+    own = spark.createDataFrame([(1, "Coal India rises", "COALINDIA.NS"), (2, "COALS", "COALINDIA.NS"), (3, "Coal India", "RELIANCE.NS"), (4, None, "x"), (5, "RIL", None)], "id int, t string, k string")
+    assert [tuple(r) for r in match_companies(own, every, ["id", "k"], "t", own="k").collect()] == [(1, "COALINDIA.NS", "COALINDIA.NS")]
+    assert match_companies(own, every.limit(0), "id", "t").count() == 0
+
+
+def test_case_folding_is_that_of_a_regex():
+    letters = matching.folded_letters()
+    fold = lambda c: letters.get(ord(c), c)
+    sample = [chr(c) for c in range(0x20, 0x600)] + list("\u1f80\u1f88\u1e9e\u2126\u212a\u212b\u017f\ufb01\U00010400\U00010428")
+    same = {}
+    for c in sample:
+        same.setdefault(fold(c), []).append(c)
+    for group in same.values():
+        assert all(re.fullmatch(re.escape(a), b, re.IGNORECASE) or {a, b} <= set("iI\u0130\u0131") for a in group for b in group)
+    assert fold("\u0130") == fold("\u0131") == "i" and fold("\u1f80") == fold("\u1f88")
+
+
+def test_many_names_need_one_pass(spark):
+    names = spark.range(100_000).select(
+        F.concat(F.lit("T"), "id").alias("ticker"), F.concat(F.lit("Acme "), F.hex("id"), F.lit(" & Sons")).alias("name"),
+        F.lit(None).cast("string").alias("sector"), F.array(F.concat(F.lit("ACM"), "id")).alias("aliases"), F.lit(None).cast("array<string>").alias("keywords"),
+    )
+    texts = spark.range(2000).select("id", F.concat(F.lit("news of acme "), F.lower(F.hex(F.col("id") * 40)), F.lit(" & SONS, not ACM7x; acm"), F.col("id") + 3).alias("t"))
+    got = {(r["id"], r["ticker"]) for r in match_companies(texts, names, "id", "t").collect()}
+    assert got == {(i, f"T{n}") for i in range(2000) for n in (40 * i, i + 3)}
 
 
 def test_cap_keeps_the_first_rows(spark):
