@@ -10,7 +10,7 @@ size, and the texts are read once for each part, so that what is shipped stays b
 from __future__ import annotations
 
 import math
-import sys
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NAMES_AT_ONCE = 500_000
+END_OF_CASE = 0x1F000  # no letter from here on has two cases
 
 
 def candidate_names(name: Column, aliases: Column) -> Column:
@@ -32,7 +33,7 @@ def folded_letters() -> dict[int, str]:
     """Letters whose case-folded form differs from them. A form is one letter, so that places stay the same:
     the upper case of a letter, or its title case where that is the single one, in lower case."""
     table = {}
-    for code in range(sys.maxunicode + 1):
+    for code in range(END_OF_CASE):
         c = chr(code)
         upper = next((u for u in (c.upper(), c.title()) if len(u) == 1), c)
         folded = "i" if upper == "İ" else upper.lower()
@@ -50,6 +51,7 @@ class NameMatcher:
 
     def __init__(self, names: Iterable[tuple[str, str]]):
         self.letters = folded_letters()
+        self.odd = re.compile("[" + "".join(chr(c) for c, folded in self.letters.items() if folded != chr(c).lower()) + "]")
         self.automaton = ahocorasick.Automaton()
         tickers: dict[str, list[str]] = {}
         for ticker, name in names:
@@ -61,7 +63,9 @@ class NameMatcher:
             self.automaton.make_automaton()
 
     def fold(self, text: str) -> str:
-        return text.lower() if text.isascii() else text.translate(self.letters)
+        """The text in folded letters. Lower case is that already, but for few letters."""
+        low = text.lower()
+        return low if len(low) == len(text) and not self.odd.search(low) else text.translate(self.letters)
 
     def tickers(self, text: str) -> list[str]:
         """In the order in which their names first end in the text."""
@@ -91,21 +95,22 @@ def _matched(matcher, keys: Sequence[str], own: str | None) -> Callable[[Iterato
                 rows += [i] * len(hits)
                 found += hits
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch[k].take(at) for k in keys], pa.array(found, pa.string())], names=[*keys, "ticker"])
+            columns = {k: batch[k].take(at) for k in keys}
+            yield pa.RecordBatch.from_pydict(columns if own else columns | {"ticker": pa.array(found, pa.string())})
 
     return match
 
 
 def match_companies(articles: DataFrame, companies: DataFrame, keys: str | Sequence[str], text: str | Column, own: str | None = None) -> DataFrame:
-    """The ``keys`` of each row of ``articles`` with every ticker whose company's name or alias its text
-    mentions; with ``own``, a column of ``articles``, only that row's own ticker."""
+    """The ``keys`` of each row of ``articles`` with every ``ticker`` whose company's name or alias its text
+    mentions. With ``own``, a column of ``articles``: the ``keys`` of the rows that mention that ticker's company."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = articles.sparkSession
     column = F.col(text) if isinstance(text, str) else text
     extra = [F.col(own).alias("__own")] if own else []
     read = articles.select(*keys, *extra, column.alias("__text")).where(F.col("__text") != "")
-    fields = read.select(*keys).schema.fields
-    schema = T.StructType([*fields, T.StructField("ticker", T.StringType())])
+    schema = T.StructType(read.select(*keys).schema.fields)
+    schema = schema if own else schema.add("ticker", "string")
     names = companies.where("ticker is not null").select("ticker", F.explode(candidate_names(F.col("name"), F.col("aliases"))).alias("name"))
     parts = max(1, math.ceil(names.count() / NAMES_AT_ONCE))
     out = None

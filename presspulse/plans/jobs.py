@@ -47,13 +47,14 @@ def select_articles(
     company, its ``Ticker``, and must mention that company.
     """
     dated = feed.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL")
-    dim = cut_lineage(companies.select(F.col("ticker").alias("Ticker"), "name", "sector", "keywords", "aliases"))
+    dim = cut_lineage(companies.select("ticker", "name", "sector", "keywords", "aliases"))
     text = F.concat(F.coalesce("Headline", F.lit("")), F.lit(" "), F.coalesce("Description", F.lit("")))
     narrow = [*D.DAY, order, "url_key", "headline_key"]
     keyed = N.duplicate_keys(dated).withColumn("__text", text)
-    mentioned = match_companies(keyed, dim.withColumnRenamed("Ticker", "ticker"), narrow, "__text", own="Ticker")
-    kept = N.surviving_orders(cut_lineage(mentioned.drop(mentioned.columns[-1])), D.DAY, order)
-    return dated.join(kept, [*D.DAY, order], "left_semi").join(broadcast_if_small(dim.drop("name")), "Ticker")
+    mentioned = match_companies(keyed, dim, narrow, "__text", own="Ticker")
+    kept = N.surviving_orders(cut_lineage(mentioned), D.DAY, order)
+    profiles = dim.select(F.col("ticker").alias("Ticker"), "sector", "keywords", "aliases")
+    return dated.join(kept, [*D.DAY, order], "left_semi").join(broadcast_if_small(profiles), "Ticker")
 
 
 def summary_text(df: DataFrame) -> Column:
