@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presspulse import config as C
 from presspulse.functions.isolation import score_rows
-from presspulse.functions.text import stable_hash, token_set
+from presspulse.functions.scoring import topic_overlap_scores
+from presspulse.functions.text import bind, stable_hash, token_set
 from presspulse.sources.storage import read_or_empty
 
 SENTIMENT_LABELS = ("positive", "neutral", "negative")
@@ -38,19 +39,53 @@ def misses(keyed: DataFrame, cache: DataFrame) -> DataFrame:
     return keyed.join(cache.select("key"), "key", "left_anti")
 
 
-def enrich(df: DataFrame, text: str, cache_path: str, schema: T.StructType, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+# --- a cache of one row a key --------------------------------------------------------------------
+
+# Of each stored row: when its write began, and which write it was.
+WRITE = [T.StructField("written", T.TimestampType()), T.StructField("writer", T.StringType())]
+
+
+def _stored(spark: SparkSession, cache_path: str, schema: T.StructType, encoder: str) -> DataFrame:
+    return read_or_empty(spark, f"{cache_path}/encoder={encoder}", T.StructType([*schema.fields, *WRITE]))
+
+
+def cached(spark: SparkSession, cache_path: str, schema: T.StructType, encoder: str = "1") -> DataFrame:
+    """The cache of one version of an encoder, one row a key: that of the newest write.
+
+    Runs that overlap may both compute and store a key; nothing locks them out, and whichever wrote
+    last is read. The newest row is a mergeable maximum, so it costs the one shuffle by key that the
+    join with the texts needs anyhow.
+    """
+    values = [c for c in schema.fieldNames() if c != "key"]
+    newest = F.max_by(F.struct(*values), F.struct("written", "writer"))
+    return _stored(spark, cache_path, schema, encoder).groupBy("key").agg(newest.alias("v")).select("key", "v.*")
+
+
+def fill(df: DataFrame, text: str, cache_path: str, schema: T.StructType, scorer: Callable[[DataFrame], DataFrame], encoder: str = "1") -> None:
+    """Compute the scorer's output for the texts that the cache does not hold yet, and store it.
+
+    The scorer gets distinct ``(key, text)`` rows and adds the value columns. ``encoder`` names its version: values
+    of another version are never used.
+    """
+    spark = df.sparkSession
+    new = scorer(misses(keyed_texts(df, text), _stored(spark, cache_path, schema, encoder)))
+    stamp = {"written": F.current_timestamp(), "writer": F.lit(uuid.uuid4().hex)}
+    new.select(schema.fieldNames()).withColumns(stamp).write.mode("append").parquet(f"{cache_path}/encoder={encoder}")
+
+
+def enrich(df: DataFrame, text: str, cache_path: str, schema: T.StructType, scorer: Callable[[DataFrame], DataFrame], encoder: str = "1") -> DataFrame:
     """Attach cached scorer output to every row; only texts not yet in the cache are computed.
 
     ``schema`` is the cache's: ``key`` and the value columns. New values are appended and read back
     from storage, so they are computed once however often the result is used. A text that occurs
     in many rows meets its one cache row in a join that adaptive execution splits when skewed.
     """
-    spark = df.sparkSession
-    cache = read_or_empty(spark, cache_path, schema)
-    scorer(misses(keyed_texts(df, text), cache)).select(schema.fieldNames()).write.mode("append").parquet(cache_path)
-    values = read_or_empty(spark, cache_path, schema)
-    keyed = df.withColumn("key", stable_hash(F.col(text)))
-    return keyed.join(values, "key", "left").drop("key")
+    fill(df, text, cache_path, schema, scorer, encoder)
+    values = cached(df.sparkSession, cache_path, schema, encoder)
+    return df.withColumn("key", stable_hash(F.col(text))).join(values, "key", "left").drop("key")
+
+
+# --- scorers -------------------------------------------------------------------------------------
 
 
 def batch_sentiment(scorer: BatchScorer) -> Callable[[Column], Column]:
@@ -89,12 +124,23 @@ def score_sentiment(df: DataFrame, text: str, scorer: BatchScorer) -> DataFrame:
     ).drop("__s")
 
 
+EMBEDDINGS = T.StructType([T.StructField("key", T.StringType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+HASHED_ENCODER = "hashed-64"
+
+
 def hashed_embedding(df: DataFrame, text: str, dims: int = 64, out: str = "embedding") -> DataFrame:
-    """Built-in encoder: unit-length hashed term counts, computed in the JVM."""
-    tokens = df.withColumn("__tokens", token_set(F.col(text)))
-    counted = HashingTF(numFeatures=dims, inputCol="__tokens", outputCol="__tf").transform(tokens)
-    unit = Normalizer(inputCol="__tf", outputCol="__unit").transform(counted)
-    return unit.withColumn(out, vector_to_array("__unit")).drop("__tokens", "__tf", "__unit")
+    """Built-in encoder: unit-length counts of the distinct words by hash, row by row in the JVM.
+
+    A word's dimension is the number in the first eight hexadecimal digits of its MD5, modulo ``dims``. A
+    text without words has the zero vector.
+    """
+    dimension = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dims))
+    count = lambda at, d: (F.size(at) - F.size(F.array_remove(at, d))).cast("double")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long"))
+    counts = bind(F.transform(token_set(F.col(text)), dimension), lambda at: F.transform(every, lambda d: count(at, d)))
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
+    unit = lambda s: F.transform(s["c"], lambda x: F.coalesce(F.try_divide(x, s["n"]), F.lit(0.0)))
+    return df.withColumn(out, bind(bind(counts, lambda c: F.struct(c.alias("c"), norm(c).alias("n"))), unit))
 
 
 # --- a stand-in batch scorer -------------------------------------------------------------------
@@ -110,3 +156,32 @@ def word_list_scorer(texts: pd.Series) -> pd.DataFrame:
     n = words.map(lambda ws: sum(w in NEGATIVE_WORDS for w in ws)).astype("float64")
     total = p + n + 1.0
     return pd.DataFrame({"positive": p / total, "neutral": 1.0 / total, "negative": n / total})
+
+
+def word_list_sentiment(df: DataFrame, text: str = "Scoring_Text") -> DataFrame:
+    """The probabilities of ``word_list_scorer`` and the signed score, as expressions in the JVM."""
+
+    def shares(words: Column) -> Column:
+        listed = lambda held: F.size(F.filter(words, lambda w: w.isin(sorted(held)))).cast("double")
+        return bind(F.struct(listed(POSITIVE_WORDS).alias("p"), listed(NEGATIVE_WORDS).alias("n")), probabilities)
+
+    def probabilities(c: Column) -> Column:
+        total = c["p"] + c["n"] + 1.0
+        return F.struct((c["p"] / total).alias("p"), (1.0 / total).alias("u"), (c["n"] / total).alias("n"))
+
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+    scored = df.withColumn("__s", bind(words, shares))
+    return scored.withColumns(
+        {
+            "Sentiment_Positive": F.col("__s.p"),
+            "Sentiment_Neutral": F.col("__s.u"),
+            "Sentiment_Negative": F.col("__s.n"),
+            "Sentiment_Score": F.col("__s.p") - F.col("__s.n"),
+        }
+    ).drop("__s")
+
+
+def description_topics(df: DataFrame, text: str = "Scoring_Text") -> DataFrame:
+    """The topic probabilities of the built-in topic scorer."""
+    scored = df.withColumn("__topics", topic_overlap_scores(F.col(text)))
+    return scored.withColumns({c: F.get("__topics", F.lit(i)) for i, c in enumerate(C.TOPIC_COLUMNS)}).drop("__topics")

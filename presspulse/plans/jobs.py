@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.functions import scoring as S
-from presspulse.functions.text import clean_text, page_text, scoring_text
+from presspulse.functions.text import clean_text, page_text, scoring_text, stable_hash
 from presspulse.operators import daily as D
+from presspulse.operators import enrich as E
 from presspulse.operators import forecast as FC
 from presspulse.operators import market as MK
 from presspulse.operators import news as N
@@ -66,25 +67,58 @@ def summary_text(df: DataFrame) -> Column:
     return F.coalesce(F.nullif(described, F.lit("")), useful, F.lit(""))
 
 
+def with_texts(selected: DataFrame) -> DataFrame:
+    """Add what scorers read: the summary (the feed's description or, where that is blank, the text of a stored
+    page given in ``Html``), the scoring text made from it, and the profile of the article's company."""
+    profile = S.company_profile(F.col("Company"), F.col("aliases"), F.col("keywords"), F.col("sector"))
+    df = selected.withColumns({"Summary": summary_text(selected), "Profile": profile})
+    return df.withColumn("Scoring_Text", scoring_text(F.col("Headline"), F.col("Summary")))
+
+
+def article_vectors(articles: DataFrame, cache_path: str, encode: Callable[[DataFrame], DataFrame], encoder: str) -> DataFrame:
+    """Vectors by text hash of all scoring texts and company profiles, by way of one versioned cache."""
+    texts = articles.select(F.explode(F.array("Scoring_Text", "Profile")).alias("text"))
+    E.fill(texts, "text", cache_path, E.EMBEDDINGS, encode, encoder)
+    return E.cached(articles.sparkSession, cache_path, E.EMBEDDINGS, encoder)
+
+
+def relevance(articles: DataFrame, vectors: DataFrame | None) -> DataFrame:
+    """Add ``Article_Relevance``: the rescaled cosine of the vectors of text and profile; their lexical overlap
+    where either vector is missing; 0 where either text is empty.
+
+    Vectors are joined by text hash; profiles, one a company, are broadcast if few.
+    """
+    lexical = S.text_jaccard(F.col("Scoring_Text"), F.col("Profile"))
+    both = (F.col("Scoring_Text") != "") & (F.col("Profile") != "")
+    if vectors is None:
+        return articles.withColumn("Article_Relevance", F.when(both, lexical).otherwise(0.0))
+    keyed = articles.withColumns({"__text": stable_hash(F.col("Scoring_Text")), "__profile": stable_hash(F.col("Profile"))})
+    side = lambda c: vectors.select(F.col("key").alias(f"__{c}"), F.col("embedding").alias(f"__{c}_vector"))
+    profiles = side("profile").join(keyed.select("__profile").distinct(), "__profile", "left_semi")
+    joined = keyed.join(broadcast_if_small(profiles), "__profile", "left").join(side("text"), "__text", "left")
+    known = F.col("__text_vector").isNotNull() & F.col("__profile_vector").isNotNull()
+    cosine = (S.cosine(F.col("__text_vector"), F.col("__profile_vector")) + 1) / 2
+    value = F.when(~both, 0.0).when(known, cosine).otherwise(lexical)
+    return joined.withColumn("Article_Relevance", value).drop("__text", "__profile", "__text_vector", "__profile_vector")
+
+
 def score_articles(
     selected: DataFrame,
     weighting: Weighting = Weighting(),
     sources: Sequence[tuple[str, float]] = tuple(C.SOURCE_RELIABILITY),
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Add relevance, strength, reliability, recency and the share of the day's impact weight.
 
-    Expects the sentiment and topic probabilities of the plugged-in scorers as columns. Relevance
-    uses the lexical overlap of text and company profile. The summary is the feed's description or,
-    where that is blank, the text of a stored page given in ``Html``.
+    Expects the sentiment and topic probabilities of the plugged-in scorers as columns; ``vectors`` are those
+    of ``article_vectors``, without which relevance is lexical.
     """
     topics = [F.col(c) for c in C.TOPIC_COLUMNS]
-    profile = S.company_profile(F.col("Company"), F.col("aliases"), F.col("keywords"), F.col("sector"))
-    source = N.source_name(F.col("Publisher"), F.col("URL"))
-    df = selected.withColumns({"Summary": summary_text(selected), "Source": source, "__profile": profile})
+    df = selected if "Scoring_Text" in selected.columns else with_texts(selected)
+    df = relevance(df, vectors).withColumn("Source", N.source_name(F.col("Publisher"), F.col("URL")))
     df = df.withColumns(
         {
             "Predicted_Topic": S.arg_max_name(C.TOPIC_COLUMNS, topics),
-            "Article_Relevance": S.text_jaccard(scoring_text(F.col("Headline"), F.col("Summary")), F.col("__profile")),
             "Headline_Strength": S.headline_strength(F.col("Headline")),
             "Source_Reliability": S.source_reliability(F.col("Source"), sources),
             "Recency_Weight": S.recency_weight(M.hours_between(F.col("Published_At"), M.window_end(F.col("News_Date")))),
@@ -97,7 +131,7 @@ def score_articles(
             "Source_Reliability", "Recency_Weight", "Article_Relevance", "Headline_Strength", "Company_Weight", "Topic_Weight",
         )]
     )
-    return D.normalize_weights(df.withColumn("__raw", raw), "__raw", "News_Impact_Weight").drop("__raw", "__profile")
+    return D.normalize_weights(df.withColumn("__raw", raw), "__raw", "News_Impact_Weight").drop("__raw", "Profile")
 
 
 def article_table(scored: DataFrame) -> DataFrame:

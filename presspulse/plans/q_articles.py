@@ -18,7 +18,7 @@ from presspulse.plans import jobs as J
 from presspulse.plans import sql as Q
 from presspulse.plans.registry import query, round_all, rounded
 from presspulse.plans.sql import r, with_views
-from presspulse.sources.storage import read_table, spread_if_narrow
+from presspulse.sources.storage import cut_lineage, new_path, read_table, spread_if_narrow
 
 _T = [f"t{i}" for i in range(1, 7)]
 
@@ -589,7 +589,7 @@ _TOPICS_SQL = ", ".join(r(f"t{i}") + f' as "{c}"' for i, c in enumerate(C.TOPIC_
 @query(
     "dataset_articles",
     with_views(
-        "dated probs",
+        "dated",
         f"""select ticker as "Ticker", company as "Company", news_date as "News_Date", published_ist as "Published_At",
         title as "Headline", summ as "Summary", url as "URL", source as "Source",
         {r('pos')} as "Sentiment_Positive", {r('neu')} as "Sentiment_Neutral", {r('neg')} as "Sentiment_Negative",
@@ -612,4 +612,7 @@ def dataset_articles(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_articles(spark: SparkSession, folder: str) -> DataFrame:
     selected = J.select_articles(I.articles(spark, folder), I.companies(spark, folder), I.HOLIDAYS)
-    return J.score_articles(I.with_scores(selected))
+    chosen = cut_lineage(J.with_texts(selected))
+    encode = lambda texts: E.hashed_embedding(texts, "text")
+    vectors = J.article_vectors(chosen, new_path(spark, "embeddings"), encode, E.HASHED_ENCODER)
+    return J.score_articles(E.description_topics(E.word_list_sentiment(chosen)), vectors=vectors)

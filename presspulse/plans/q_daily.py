@@ -272,7 +272,7 @@ _DAILY_SQL = f"""select ticker as "Ticker", company as "Company", news_date as "
 
 @query(
     "dataset_daily",
-    with_views("dated probs bars_2024 dated_times", _DAILY_SQL, Q.article_views() + Q.daily_views(), recursive=True),
+    with_views("dated bars_2024 dated_times", _DAILY_SQL, Q.article_views() + Q.daily_views(), recursive=True),
 )
 def dataset_daily(spark: SparkSession, folder: str) -> DataFrame:
     computed = {*D.WEIGHTED, "Volatility"}
@@ -283,7 +283,7 @@ def dataset_daily(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "run_stats",
     with_views(
-        "dated probs bars_2024 dated_times",
+        "dated bars_2024 dated_times",
         """select news_date as "News_Date", count(*) as "Companies", sum(n)::bigint as "Articles",
         count(*) filter (where open is not null) as "Daily_Rows", count(*) filter (where open is null) as "Quarantined",
         4 * count(*) filter (where open is not null) as "Predictions" from daily group by news_date""",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from presspulse import config as C
 from presspulse.functions import scoring as S
@@ -17,17 +18,12 @@ from presspulse.sources.storage import new_path, read_table, spread_if_narrow
 from presspulse.streaming.ingest import ingest_articles
 
 
-def _listed(words: frozenset[str]) -> str:
-    found = ", ".join(f"'{w}'" for w in sorted(words))
-    return f"len(list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda w: w in ({found})))"
-
-
 @query(
     "sentiment_scored",
     f"""select doc_id, {r('p / (p + n + 1.0::double)')} as "Sentiment_Positive",
     {r('1.0::double / (p + n + 1)')} as "Sentiment_Neutral", {r('n / (p + n + 1.0::double)')} as "Sentiment_Negative",
     {r('p / (p + n + 1.0::double) - n / (p + n + 1.0::double)')} as "Sentiment_Score"
-    from (select doc_id, {_listed(E.POSITIVE_WORDS)} as p, {_listed(E.NEGATIVE_WORDS)} as n from documents)""",
+    from (select doc_id, {Q.listed(E.POSITIVE_WORDS, 'text')} as p, {Q.listed(E.NEGATIVE_WORDS, 'text')} as n from documents)""",
 )
 def sentiment_scored(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents through a plugged-in batch scorer."""
@@ -38,20 +34,9 @@ def sentiment_scored(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_SIMS_SQL = ", ".join(
-    f"case when len(t) = 0 then 0.0::double else 10.0::double * len(list_intersect(t, d{i})) / (sqrt(len(t)) * sqrt(len(d{i}))) end"
-    for i in range(6)
-)
-_DESCRIPTIONS = ", ".join(
-    "list_distinct(regexp_extract_all(lower('{}'), '[a-z0-9_]+')) as d{}".format(C.TOPIC_DESCRIPTIONS[c].replace("'", "''"), i)
-    for i, c in enumerate(C.TOPIC_COLUMNS)
-)
-
-
 @query(
     "topics_scored",
-    f"""with s as (select doc_id, [{_SIMS_SQL}] as v from (
-      select doc_id, {Q.tokens('text')} as t, {_DESCRIPTIONS} from documents)),
+    f"""with s as (select doc_id, {Q.topic_similarities('t')} as v from (select doc_id, {Q.tokens('text')} as t from documents)),
     e as (select doc_id, list_transform(v, lambda a: exp(a - list_max(v))) as e from s),
     p as (select doc_id, list_transform(e, lambda a: a / list_sum(e)) as p from e)
     select doc_id, {', '.join(r(f'p[{i}]') + f' as "{c}"' for i, c in enumerate(C.TOPIC_COLUMNS, 1))} from p""",
@@ -63,20 +48,24 @@ def topics_scored(spark: SparkSession, folder: str) -> DataFrame:
     return probs.select("doc_id", *[rounded(F.get("p", F.lit(i))).alias(c) for i, c in enumerate(C.TOPIC_COLUMNS)])
 
 
-EMBEDDING_CACHE = T.StructType(
-    [T.StructField("key", T.StringType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))]
+@query(
+    "text_embeddings",
+    f"""with words as (select doc_id, {Q.tokens('text')} as t from documents where text <> ''),
+    counted as (select doc_id, dim, count(*)::double as c
+      from (select doc_id, unnest({Q.word_dimensions('t')}) as dim from words) group by all),
+    norms as (select doc_id, sqrt(sum(c * c)) as norm from counted group by doc_id)
+    select w.doc_id, d.dim::int as dim, {r('coalesce(c.c / n.norm, 0.0::double)')} as value
+    from words w cross join range(64) d(dim) left join counted c on c.doc_id = w.doc_id and c.dim = d.dim
+    left join norms n on n.doc_id = w.doc_id""",
 )
-
-
-@query("text_embeddings")
 def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Document vectors through the keyed cache: English texts first, then all, computing only the rest."""
     docs = spread_if_narrow(read_table(spark, folder, "documents").select("doc_id", "lang", "text"))
     path = new_path(spark, "embedding-cache")
     encode = lambda texts: E.hashed_embedding(texts, "text")
-    E.enrich(docs.where("lang = 'en'"), "text", path, EMBEDDING_CACHE, encode)
-    out = E.enrich(docs, "text", path, EMBEDDING_CACHE, encode)
-    return out.select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    E.enrich(docs.where("lang = 'en'"), "text", path, E.EMBEDDINGS, encode, E.HASHED_ENCODER)
+    out = E.enrich(docs, "text", path, E.EMBEDDINGS, encode, E.HASHED_ENCODER)
+    return out.select("doc_id", F.posexplode("embedding").alias("dim", "value")).withColumn("value", rounded("value"))
 
 
 @query(
@@ -97,9 +86,11 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The event table, as a stream of two batches of files, into a table of distinct whole articles."""
     events = read_table(spark, folder, "events")
     source = new_path(spark, "events")
-    for part in (0, 1):  # late rows: each file has rows of all days
-        events.where(F.col("event_id") % 2 == part).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    halves = [events.where(F.col("event_id") % 2 == part) for part in (0, 1)]  # late rows: each half has rows of all days
+    for half in halves:
+        half.write.mode("append").parquet(source)
+    files = math.ceil(len(spark.read.parquet(source).inputFiles()) / 2)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(source)
     table = ingest_articles(stream, lambda batch: I.articles(spark, folder, events=batch), new_path(spark, "ingest"), I.HOLIDAYS)
     return table.select(
         "ord", "Ticker", "Company", "News_Date", "Published_At", "Headline", "URL", "Publisher",

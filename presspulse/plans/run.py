@@ -17,8 +17,6 @@ from pyspark.sql import types as T
 
 from presspulse import config as C
 from presspulse.functions import market_time as M
-from presspulse.functions import scoring as S
-from presspulse.functions.text import scoring_text
 from presspulse.operators import daily as D
 from presspulse.operators import enrich as E
 from presspulse.operators import features as FE
@@ -34,22 +32,16 @@ HISTORY_DAYS = 90
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def word_list_sentiment(df: DataFrame) -> DataFrame:
-    return E.score_sentiment(df, "Scoring_Text", E.word_list_scorer)
-
-
-def description_topics(df: DataFrame) -> DataFrame:
-    scored = df.withColumn("__topics", S.topic_overlap_scores(F.col("Scoring_Text")))
-    return scored.withColumns({c: F.get("__topics", F.lit(i)) for i, c in enumerate(C.TOPIC_COLUMNS)}).drop("__topics")
-
-
 @dataclass(frozen=True)
 class Plugins:
     """Replaceable models. Sentiment and topic scorers add their probability columns from
-    ``Scoring_Text``; price models are columns over daily rows joined with their features."""
+    ``Scoring_Text``; ``encode`` adds ``embedding`` to distinct texts, and ``encoder`` names its version; price models are
+    columns over daily rows joined with their features."""
 
-    sentiment: Scorer = word_list_sentiment
-    topics: Scorer = description_topics
+    sentiment: Scorer = E.word_list_sentiment
+    topics: Scorer = E.description_topics
+    encode: Scorer = lambda texts: E.hashed_embedding(texts, "text")
+    encoder: str = E.HASHED_ENCODER
     prices: Sequence[tuple[C.ModelSpec, Callable[[DataFrame], Column]]] = ()
 
 
@@ -88,8 +80,9 @@ def run(
         start, end = start or span[0], end or span[1]
     day = M.news_date(F.col("Published_At"), holidays)
     chosen = J.select_articles(articles.where(day.between(start, end)), companies, holidays)
-    chosen = chosen.withColumn("Scoring_Text", scoring_text(F.col("Headline"), F.col("Description")))
-    scored = J.score_articles(plugins.topics(plugins.sentiment(chosen)))
+    chosen = ST.cut_lineage(J.with_texts(chosen))
+    vectors = J.article_vectors(chosen, f"{root}/embeddings", plugins.encode, plugins.encoder)
+    scored = J.score_articles(plugins.topics(plugins.sentiment(chosen)), vectors=vectors)
     path = {t: f"{root}/{t}" for t in ("articles", "daily", "quarantine", "predictions", "performance")}
 
     keep_order = T.StructType([*ARTICLES.fields]).add("ord", "long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presspulse import config as C
+from presspulse.operators.enrich import NEGATIVE_WORDS, POSITIVE_WORDS
 
 VIEWS = {
     "bars": """
@@ -241,30 +242,82 @@ def dedup_walk(source: str) -> list[tuple[str, str]]:
     ]
 
 
+def listed(words: frozenset[str], text: str) -> str:
+    """How many words of the text are in the list."""
+    found = ", ".join(f"'{w}'" for w in sorted(words))
+    return f"len(list_filter(regexp_extract_all(lower({text}), '[a-z]+'), lambda w: w in ({found})))"
+
+
+def topic_similarities(tokens_of: str) -> str:
+    """Scaled cosines of a token list and the tokens of each topic's description."""
+    described = ["list_distinct(regexp_extract_all(lower('{}'), '[a-z0-9_]+'))".format(C.TOPIC_DESCRIPTIONS[c].replace("'", "''")) for c in C.TOPIC_COLUMNS]
+    each = (f"10.0::double * len(list_intersect({tokens_of}, {d})) / (sqrt(len({tokens_of})) * sqrt(len({d})))" for d in described)
+    return "[" + ", ".join(f"case when len({tokens_of}) = 0 then 0.0::double else {e} end" for e in each) + "]"
+
+
+def word_dimensions(tokens_of: str, dims: int = 64) -> str:
+    return f"list_transform({tokens_of}, lambda t: ('0x' || substr(md5(t), 1, 8))::bigint % {dims})"
+
+
 def article_views(importance: bool = False) -> list[tuple[str, str]]:
     """From dated feed rows to weighted article rows."""
     text = "title || ' ' || coalesce(description, '')"
     stext = r"regexp_replace(regexp_replace(title || '. ' || summary, '^[. ]+|[. ]+$', '', 'g'), '^\s+|\s+$', '', 'g')"
+    profile = "name || '. ' || alias1 || '. ' || keyword1 || '. Energy'"
     return [
         ("mentioned", f"select * from dated where {mention(text, 'company')} or {mention(text, 'alias1')}"),
         ("keyed", f"select *, {url_key('url')} as url_key, {norm('title')} as headline_key from mentioned"),
         *dedup_walk("keyed"),
+        (
+            "texts",
+            f"""
+  select *, {tokens('stext')} as text_tokens from (
+    select *, {stext} as stext from (select *, {clean('description')} as summary from kept))""",
+        ),
+        (
+            "scores",
+            f"""
+  select ord, p / (p + n + 1.0::double) as pos, 1.0::double / (p + n + 1) as neu, n / (p + n + 1.0::double) as neg,
+         p / (p + n + 1.0::double) - n / (p + n + 1.0::double) as score,
+         {', '.join(f'e[{i}] / list_sum(e) as t{i}' for i in range(1, 7))}
+  from (select *, list_transform(v, lambda a: exp(a - list_max(v))) as e from (
+    select ord, {listed(POSITIVE_WORDS, 'stext')} as p, {listed(NEGATIVE_WORDS, 'stext')} as n,
+           {topic_similarities('text_tokens')} as v from texts))""",
+        ),
+        (
+            "text_dims",
+            f"""
+  select ord, ticker, dim, count(*)::double as c
+  from (select ord, ticker, unnest({word_dimensions('text_tokens')}) as dim from texts) group by all""",
+        ),
+        (
+            "profile_dims",
+            f"""
+  select ticker, dim, count(*)::double as c
+  from (select ticker, unnest({word_dimensions(tokens(profile))}) as dim from companies) group by all""",
+        ),
+        (
+            "cosines",
+            """
+  select ord, dot / (tn * pn) as cosine
+  from (select t.ord, t.ticker, sum(t.c * p.c) as dot from text_dims t join profile_dims p using (ticker, dim) group by all)
+  join (select ord, sqrt(sum(c * c)) as tn from text_dims group by ord) using (ord)
+  join (select ticker, sqrt(sum(c * c)) as pn from profile_dims group by ticker) using (ticker)""",
+        ),
         (
             "factors",
             f"""
-  select k.*, p.pos, p.neu, p.neg, p.score, p.t1, p.t2, p.t3, p.t4, p.t5, p.t6, k.summary as summ,
+  select k.*, p.* exclude (ord), k.summary as summ,
          coalesce(nullif(k.publisher, ''), {publisher('k.url')}) as source,
          {strength('k.title')} as strength,
          exp(-greatest(0.0::double, (epoch_us(k.wend) - epoch_us(k.published_ist)) / 3.6e9::double) / 24.0::double) as recency,
-         {tokens('k.stext')} as text_tokens,
-         {tokens("k.company || '. ' || k.alias1 || '. ' || k.keyword1 || '. Energy'")} as profile_tokens
-  from (select *, {stext} as stext from (select *, {clean('description')} as summary from kept)) k
-  join probs p using (ord)""",
+         case when k.stext = '' then 0.0::double else (coalesce(c.cosine, 0.0::double) + 1) / 2 end as relevance
+  from texts k join scores p using (ord) left join cosines c using (ord)""",
         ),
         (
             "weighted",
             f"""
-  select *, {reliability('source')} as reliability, {jaccard('text_tokens', 'profile_tokens')} as relevance from factors""",
+  select *, {reliability('source')} as reliability from factors""",
         ),
         (
             "scored",

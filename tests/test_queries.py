@@ -38,7 +38,7 @@ def test_every_query_is_offered():
 
 def test_every_statement_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"text_embeddings", "train_price_models", "ml_predictions"}
+    assert set(QUERIES) - set(ORACLES) == {"train_price_models", "ml_predictions"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

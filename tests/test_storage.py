@@ -13,7 +13,7 @@ from presspulse.functions.text import stable_hash
 from presspulse.operators import enrich as E
 from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
-from presspulse.plans.q_scorers import EMBEDDING_CACHE
+from presspulse.plans import jobs as J
 from presspulse.sources import storage as ST
 from presspulse.streaming.ingest import ingest_articles
 
@@ -62,13 +62,50 @@ def test_only_cache_misses_are_computed(spark, tmp_path):
         seen.append(sorted(r["text"] for r in texts.collect()))
         return texts.withColumn("embedding", F.array(F.length("text").cast("double")))
 
-    E.enrich(df.where("text = 'a'"), "text", path, EMBEDDING_CACHE, scorer)
-    out = {r["id"]: r["embedding"] for r in E.enrich(df, "text", path, EMBEDDING_CACHE, scorer).collect()}
+    E.enrich(df.where("text = 'a'"), "text", path, E.EMBEDDINGS, scorer)
+    out = {r["id"]: r["embedding"] for r in E.enrich(df, "text", path, E.EMBEDDINGS, scorer).collect()}
     assert seen == [["a"], ["b", "c"]]
     assert out == {0: [1.0], 1: [1.0], 2: [1.0], 3: None, 4: None, 5: [1.0]}
     assert spark.range(1).select(stable_hash(F.lit(None))).first()[0].startswith("e3b0c442")
 
 
+def test_overlapping_runs_leave_one_row_a_key(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "b", "a", "c"])], "id int, text string")
+    value = lambda x: lambda texts: texts.withColumn("embedding", F.array(F.lit(x)))
+
+    def while_another_runs(texts):
+        E.fill(df.where("text <> 'c'"), "text", path, E.EMBEDDINGS, value(1.0))  # starts later, writes first
+        return value(2.0)(texts)
+
+    got = E.enrich(df, "text", path, E.EMBEDDINGS, while_another_runs)
+    assert sorted(r["id"] for r in got.collect()) == [0, 1, 2, 3]
+    stored = E.cached(spark, path, E.EMBEDDINGS).collect()
+    assert sorted(r["key"] for r in stored) == sorted({r["key"] for r in stored}) and len(stored) == 3
+    assert {r["embedding"][0] for r in got.collect()} == {2.0}  # of the newest write
+    other = E.enrich(df, "text", path, E.EMBEDDINGS, value(9.0), "2")  # another version of the encoder
+    assert {r["embedding"][0] for r in other.collect()} == {9.0} and other.count() == 4
+    assert {r["embedding"][0] for r in E.enrich(df, "text", path, E.EMBEDDINGS, value(5.0)).collect()} == {2.0}
+
+
+def test_relevance_falls_back_by_row(spark):
+    rows = [(1, "acme wins", "acme. power"), (2, "acme lost", "acme. power"), (3, "", "acme. power"), (4, "acme wins", "")]
+    df = spark.createDataFrame(rows, "id int, Scoring_Text string, Profile string")
+    vectors = spark.createDataFrame([("acme wins", [1.0, 0.0]), ("acme. power", [0.6, 0.8])], "t string, embedding array<double>")
+    vectors = vectors.select(stable_hash(F.col("t")).alias("key"), "embedding")
+    got = {r["id"]: r["Article_Relevance"] for r in J.relevance(df, vectors).collect()}
+    assert got == {1: pytest.approx(0.8), 2: pytest.approx(1 / 3), 3: 0.0, 4: 0.0}
+    assert {r["id"]: r["Article_Relevance"] for r in J.relevance(df, None).collect()}[1] == pytest.approx(1 / 3)
+
+
+def test_sentiment_columns_equal_the_batch_scorer(spark):
+    texts = ["the profit", "fined and FINED, wins", "", None, "growth-growth 3loss"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    columns = ["text", "Sentiment_Positive", "Sentiment_Neutral", "Sentiment_Negative", "Sentiment_Score"]
+    rows = lambda out: sorted(map(tuple, out.select(columns).collect()), key=str)
+    assert rows(E.word_list_sentiment(df, "text")) == rows(E.score_sentiment(df, "text", E.word_list_scorer))
+
+
 def test_hashed_embedding_is_a_unit_count_vector(spark):
     texts = ["b a b", "A, b", "", "b a"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
