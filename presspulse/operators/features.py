@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from presspulse.functions.scoring import safe_float
 from presspulse.operators.market import guarded, log_return
 from presspulse.sources.storage import cut_lineage
 
+# Earlier rows of a ticker that a row's features and their sequence read: the sequence's own, and a week of
+# returns before its first one.
+LOOKBACK_ROWS = C.SEQUENCE_LENGTH - 1 + 7
+
 
 def ticker_codes(companies: DataFrame) -> DataFrame:
     """Alphabetical rank from 0, for any number of listings.
@@ -33,6 +38,22 @@ def ticker_codes(companies: DataFrame) -> DataFrame:
     return placed.select("ticker", (rank + offset).cast("int").alias("Ticker_Code"))
 
 
+def with_lookback(history: DataFrame, start: Date, rows: int = LOOKBACK_ROWS, date: str = "News_Date") -> DataFrame:
+    """The rows from ``start`` on, and as many earlier ones of each ticker as their windows read, however far
+    back in time those lie.
+
+    Only ticker and day are read to find each ticker's ``rows``-th newest day before ``start``; a limit on a
+    rank keeps that many rows a ticker ahead of the shuffle. The oldest of these days limits the scan.
+    """
+    before = history.where(F.col(date) < F.lit(start)).select("Ticker", date)
+    w = Window.partitionBy("Ticker").orderBy(F.desc(date))
+    newest = before.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= rows)
+    since = cut_lineage(newest.groupBy("Ticker").agg(F.min(date).alias("__since")))
+    oldest = since.agg(F.min("__since")).scalar()
+    scan = history.where(F.col(date) >= F.coalesce(oldest, F.lit(start)))
+    return scan.join(since, "Ticker", "left").where(F.col(date) >= F.coalesce("__since", F.lit(start))).drop("__since")
+
+
 def intraday_pct(open_: Column, close: Column) -> Column:
     return F.coalesce(F.try_divide(close - open_, open_) * 100.0, F.lit(0.0))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +27,6 @@ from presspulse.plans import jobs as J
 from presspulse.schemas import ARTICLES, COMPANIES, DAILY, OHLCV, PERFORMANCE, PREDICTIONS, RAW_ARTICLE, conform
 from presspulse.sources import storage as ST
 
-HISTORY_DAYS = 90
-
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -87,7 +85,7 @@ def run(
 
     keep_order = T.StructType([*ARTICLES.fields]).add("ord", "long")
     ST.replace_range(scored, path["articles"], keep_order, start, end)
-    stored = ST.read_range_table(spark, path["articles"], keep_order).where(F.col("News_Date").between(start, end))
+    stored = ST.read_range_table(spark, path["articles"], keep_order, start=start, end=end)
 
     rows = J.build_daily(stored, J.company_days(companies, start, end, holidays), MK.normalize_bars(bars), measure=measure)
     rows = ST.cut_lineage(rows)
@@ -96,10 +94,8 @@ def run(
     held_schema = T.StructType([*DAILY.fields]).add("problems", "string")
     ST.replace_range(held.withColumn("problems", F.array_join("problems", "; ")), path["quarantine"], held_schema, start, end)
 
-    # windows look back over fewer rows a ticker than this many days hold
-    since = start - timedelta(days=HISTORY_DAYS)
-    history = ST.read_range_table(spark, path["daily"], DAILY).where(F.col("News_Date").between(since, end))
     if plugins.prices:
+        history = FE.with_lookback(ST.read_range_table(spark, path["daily"], DAILY, end=end), start)
         carried = [c for c in DAILY.fieldNames() if c not in ("Ticker", "News_Date", *C.ENGINEERED_COLUMNS)]
         features = FE.engineered(history, FE.ticker_codes(companies), keep=carried)
         features = features.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in features.columns})
@@ -113,7 +109,7 @@ def statistics(spark: SparkSession, root: str, start: date, end: date) -> DataFr
     """Counts of the stored rows per day."""
     counted = None
     for table, schema in (("articles", ARTICLES), ("daily", DAILY), ("quarantine", DAILY), ("predictions", PREDICTIONS)):
-        rows = ST.read_range_table(spark, f"{root}/{table}", schema).where(F.col("News_Date").between(start, end))
+        rows = ST.read_range_table(spark, f"{root}/{table}", schema, start=start, end=end)
         part = rows.select("News_Date", F.lit(table).alias("table"))
         counted = part if counted is None else counted.unionByName(part)
     names = {"articles": "Articles", "daily": "Daily_Rows", "quarantine": "Quarantined", "predictions": "Predictions"}

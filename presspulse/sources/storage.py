@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,46 +114,141 @@ def replace_days(df: DataFrame, path: str, schema: T.StructType, partition: str
 
 
 # --- tables that runs replace by range of days ---------------------------------------------------
+#
+# Below the table's path:
+#   write=<id>/<day column>=<day>/   the files of one write
+#   _claims/<version>                taken by one writer each
+#   _log/block=<n>/                  one row a finished write: its range, and the days that have rows
+#   _snapshot/version=<version>/     the folder of each day after that version
+
+LOG = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("first", T.DateType()),
+        T.StructField("last", T.DateType()),
+        T.StructField("days", T.ArrayType(T.DateType())),
+        T.StructField("rows", T.LongType()),
+        T.StructField("block", T.LongType()),
+    ]
+)
+STATE = T.StructType([T.StructField("day", T.DateType()), T.StructField("folder", T.StringType())])
+SNAPSHOT_EVERY = 16
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder of any file system that Spark reaches; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
+    found = (n.removeprefix(prefix) for n in _names(spark, folder) if n.startswith(prefix))
+    return sorted(int(n) for n in found if n.isdigit())
+
+
+def _create_first(spark: SparkSession, file: str) -> bool:
+    """Create an empty file; False if it is there. Of several at once, one gets True."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        if fs.getScheme() != "file":
+            return fs.createNewFile(path)
+        # Hadoop's local file system looks and then creates; the operating system does both at once
+        fs.mkdirs(path.getParent())
+        none = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+        jvm.java.nio.file.Files.createFile(jvm.java.nio.file.Paths.get(fs.makeQualified(path).toUri()), none)
+        return True
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def claim_version(spark: SparkSession, path: str) -> int:
+    """The next version of a table. Its claim file is created without overwriting, so that of several
+    writers one gets it and the others go on to later ones."""
+    version = max(_numbers(spark, f"{path}/_claims"), default=0) + 1
+    while not _create_first(spark, f"{path}/_claims/{version}"):
+        version += 1
+    return version
+
+
+def _log(spark: SparkSession, path: str, after: int = 0) -> list[Row]:
+    """Finished writes of later versions than ``after``, in order."""
+    rows = read_or_empty(spark, f"{path}/_log", LOG)
+    later = rows.where((F.col("block") >= after // SNAPSHOT_EVERY) & (F.col("version") > after))
+    return sorted(later.collect(), key=lambda r: r["version"])  # fewer than two blocks, unless an old state is asked for
+
+
+def _state(spark: SparkSession, path: str, back: int = 0) -> dict[date, str]:
+    """The folder that holds each day: the newest fitting snapshot and the few writes since then."""
+    snapshots = _numbers(spark, f"{path}/_snapshot", "version=")
+    if back:
+        versions = [r["version"] for r in _log(spark, path)]
+        until = versions[-back - 1] if back < len(versions) else 0
+    else:
+        until = math.inf
+    base = max((v for v in snapshots if v <= until), default=0)
+    state = {}
+    if base:
+        state = {r["day"]: r["folder"] for r in read_or_empty(spark, f"{path}/_snapshot/version={base}", STATE).collect()}  # a row a day
+    for r in _log(spark, path, base):
+        if r["version"] <= until:
+            state = {d: f for d, f in state.items() if not r["first"] <= d <= r["last"]} | dict.fromkeys(r["days"], r["folder"])
+    return state
+
+
+def _commit(spark: SparkSession, path: str, folder: str, first: date, last: date, days: list[date], rows: int) -> int:
+    """Publish a finished write as the table's next version."""
+    while True:
+        version = claim_version(spark, path)
+        row = (version, folder, first, last, days, rows, version // SNAPSHOT_EVERY)
+        spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").partitionBy("block").parquet(f"{path}/_log")
+        if max(_numbers(spark, f"{path}/_snapshot", "version="), default=0) < version:
+            break  # else a snapshot passed this version by before it was in the log
+    if version % SNAPSHOT_EVERY == 0:
+        logged = {r["version"] for r in _log(spark, path, version - SNAPSHOT_EVERY)}
+        if logged >= set(range(version - SNAPSHOT_EVERY + 1, version + 1)):  # no writer is still between claim and log
+            state = sorted(_state(spark, path).items())
+            spark.createDataFrame(state, STATE).coalesce(1).write.parquet(f"{path}/_snapshot/version={version}")
+    return version
+
+
+def replace_range(df: DataFrame, path: str, schema: T.StructType, start: date, end: date, partition: str = "News_Date") -> int:
+    """Replace all days from ``start`` to ``end`` by ``df``, days without new rows included; returns the rows
+    written, counted on the way.
+
+    Every write is a folder of its own, which a log row publishes as the table's next version once it is
+    complete. Readers take each day from the newest version that covers it, so a failed run changes nothing,
+    nothing stale is left, and the state before is kept.
+    """
+    spark = df.sparkSession
+    folder = f"write={uuid.uuid4().hex}"
+    seen = Observation()
+    within = conform(df, schema).where(F.col(partition).between(start, end)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    within.write.partitionBy(partition).parquet(f"{path}/{folder}")
+    days = sorted(date.fromisoformat(n.removeprefix(f"{partition}=")) for n in _names(spark, f"{path}/{folder}") if n.startswith(f"{partition}="))
+    rows = seen.get["rows"] if days else 0
+    _commit(spark, path, folder, start, end, days, rows)
+    return rows
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each finished write of a range table: its number, folder, and range of days."""
-    schema = T.StructType(
-        [T.StructField("version", T.LongType()), T.StructField("folder", T.StringType()), T.StructField("first", T.DateType()), T.StructField("last", T.DateType())]
-    )
-    return read_or_empty(spark, f"{path}/_log", schema)
-
-
-def replace_range(df: DataFrame, path: str, schema: T.StructType, start: date, end: date, partition: str = "News_Date") -> None:
-    """Replace all days from ``start`` to ``end`` by ``df``, days without new rows included.
+def read_range_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition: str = "News_Date", back: int = 0, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """Rows of a table written by ``replace_range``; ``back`` leaves out that many of the last writes.
 
-    Every write is a folder of its own, listed in a log of one row a write once it is complete. Readers take
-    each day from the newest write that covers it, so a failed run changes nothing, nothing stale is
-    left, and the state before is kept.
+    The plan is one scan of the days' folders, of those from ``start`` to ``end`` if given, however many writes
+    there were.
     """
-    spark = df.sparkSession
-    version = (_versions(spark, path).agg(F.max("version")).first()[0] or 0) + 1
-    folder = f"data-{version}-{uuid.uuid4().hex}"
-    within = conform(df, schema).where(F.col(partition).between(start, end))
-    within.write.partitionBy(partition).parquet(f"{path}/{folder}")
-    spark.createDataFrame([(version, folder, start, end)], "version long, folder string, first date, last date").coalesce(1).write.mode("append").parquet(f"{path}/_log")
-
-
-def read_range_table(spark: SparkSession, path: str, schema: T.StructType, partition: str = "News_Date", back: int = 0) -> DataFrame:
-    """Rows of a table written by ``replace_range``; ``back`` leaves out that many of the last writes."""
-    log = sorted(_versions(spark, path).collect(), key=lambda r: r["version"])  # one row a run
-    log = log[: len(log) - back]
-    out = spark.createDataFrame([], schema)
-    day = F.col(partition)
-    newer: list = []
-    for r in reversed(log):
-        visible = day.between(r["first"], r["last"])
-        for n in newer:
-            visible = visible & ~day.between(n["first"], n["last"])
-        if not any(n["first"] <= r["first"] and r["last"] <= n["last"] for n in newer):
-            out = out.unionByName(read_or_empty(spark, f"{path}/{r['folder']}", schema).select(schema.fieldNames()).where(visible))
-        newer.append(r)
-    return out
+    held = sorted((d, f) for d, f in _state(spark, path, back).items() if (not start or d >= start) and (not end or d <= end))
+    if not held:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/{folder}/{partition}={day.isoformat()}" for day, folder in held]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(schema.fieldNames())
 
 
 def write_csv(df: DataFrame, path: str) -> None:

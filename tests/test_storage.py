@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presspulse import config as C
 from presspulse.functions.text import stable_hash
 from presspulse.operators import enrich as E
 from presspulse.operators import news as N
@@ -162,6 +163,73 @@ def test_a_repeated_run_leaves_no_stale_day(spark, tmp_path):
     assert ST.read_range_table(spark, path, schema).count() == 0
 
 
+RANGE = T.StructType([T.StructField("News_Date", T.DateType()), T.StructField("x", T.LongType())])
+
+
+def test_many_writes_leave_one_scan_and_snapshots(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ST, "SNAPSHOT_EVERY", 4)
+    path, rng = str(tmp_path / "t"), random.Random(2)
+    day = lambda i: dt.date(2024, 1, 1 + i)
+    states, now = [{}], {}
+    for version in range(1, 11):
+        a, b = sorted(rng.choices(range(12), k=2))
+        rows = [(day(i), 100 * version + i) for i in range(a, b + 1) if rng.random() < 0.7]
+        assert ST.replace_range(spark.createDataFrame(rows, RANGE), path, RANGE, day(a), day(b)) == len(rows)
+        now = {d: x for d, x in now.items() if not day(a) <= d <= day(b)} | dict(rows)
+        states.append(now)
+    assert ST._numbers(spark, f"{path}/_snapshot", "version=") == [4, 8]
+    for back in range(11):
+        assert dict(map(tuple, ST.read_range_table(spark, path, RANGE, back=back).collect())) == states[10 - back]
+    some = ST.read_range_table(spark, path, RANGE, start=day(2), end=day(5))
+    assert dict(map(tuple, some.collect())) == {d: x for d, x in now.items() if day(2) <= d <= day(5)}
+    plan = ST.read_range_table(spark, path, RANGE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+
+
+def test_two_writers_cannot_take_one_version(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(8) as pool:
+        taken = list(pool.map(lambda _: ST.claim_version(spark, path), range(24)))
+    assert sorted(taken) == list(range(1, 25))
+
+
+def test_a_writer_passed_by_a_snapshot_publishes_anew(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ST, "SNAPSHOT_EVERY", 2)
+    path, day = str(tmp_path / "t"), dt.date(2024, 1, 1)
+    put = lambda x: ST.replace_range(spark.createDataFrame([(day, x)], RANGE), path, RANGE, day, day)
+    slow = ST.claim_version(spark, path)  # claims, and does not get to the log before others
+    for x in (2, 3, 4):
+        put(x)
+    assert slow == 1 and ST._numbers(spark, f"{path}/_snapshot", "version=") == [4]
+    monkeypatch.setattr(ST, "claim_version", lambda *_, real=ST.claim_version, first=[slow]: first.pop() if first else real(spark, path))
+    put(1)
+    assert ST.read_range_table(spark, path, RANGE).collect() == [(day, 1)]
+
+
+def test_lookback_counts_rows_not_days(spark):
+    from presspulse.operators import features as FE
+
+    days = [dt.date(2023, 1, 2) + dt.timedelta(days=i) for i in range(400)]
+    rng = np.random.default_rng(1)
+    rows = [("DENSE", d, *rng.uniform(90, 110, 5).tolist()) for d in days] + [("SPARSE", d, *rng.uniform(90, 110, 5).tolist()) for d in days[::31]]
+    rows += [("NEW", d, 1.0, 2.0, 3.0, 4.0, 5.0) for d in days[-2:]]
+    daily = spark.createDataFrame(rows, "Ticker string, News_Date date, Open double, High double, Low double, Close double, Volume double")
+    daily = daily.withColumns({c: F.lit(0.1) for c in ("Sentiment_Score", *C.TOPIC_COLUMNS)})
+    companies = daily.select(F.col("Ticker").alias("ticker")).distinct()
+    start = days[-40]
+
+    def made(history):
+        features = FE.engineered(history, FE.ticker_codes(companies))
+        return FE.sequences(features, C.ENGINEERED_COLUMNS).where(F.col("News_Date") >= F.lit(start))
+
+    few = FE.with_lookback(daily, start)
+    assert few.where("Ticker = 'DENSE'").count() == 40 + FE.LOOKBACK_ROWS and few.where("Ticker = 'SPARSE'").count() == len(days[::31])
+    key = lambda r: (r[0], r[1])
+    assert sorted(map(tuple, made(few).collect()), key=key) == sorted(map(tuple, made(daily).collect()), key=key)
+
+
 def test_incremental_ingest_equals_one_load(spark, tmp_path):
     rng = random.Random(11)
     schema = "ord long, Ticker string, Headline string, URL string, Published_At timestamp_ntz"
