@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,8 @@ from presspulse.plans import sql as Q
 from presspulse.plans.q_articles import scored_articles
 from presspulse.plans.registry import query, round_all, rounded
 from presspulse.plans.sql import r, with_views
-from presspulse.schemas import DAILY, conform, finite
-from presspulse.sources.storage import append_rows, new_path, read_or_empty, replace_days
+from presspulse.schemas import ARTICLES, DAILY, PERFORMANCE, PREDICTIONS, conform, finite
+from presspulse.sources.storage import append_rows, cut_lineage, new_path, read_or_empty, read_range_table, replace_days, replace_range
 
 _T = [f"t{i}" for i in range(1, 7)]
 _TOPICS_SQL = ", ".join(r(f"t{i}") + f' as "{c}"' for i, c in enumerate(C.TOPIC_COLUMNS, 1))
@@ -334,3 +336,45 @@ def append_conform(spark: SparkSession, folder: str) -> DataFrame:
     return stored.groupBy("Ticker", "News_Date", "Open", "Close", "Volume", "Headlines").agg(
         F.count(F.lit(1)).cast("int").alias("Copies")
     )
+
+
+@query(
+    "typed_sinks",
+    with_views(
+        "dated_times clamped actuals",
+        """select 'articles' as "Table", count(*) as "Written", count(*) as "Stored", count(distinct ticker) as "Tickers" from dated_times
+        union all select 'daily', count(*), count(*), count(distinct ticker) from bars
+        union all select 'predictions', count(*), count(*), count(distinct ticker) from clamped where value is not null
+        union all select 'performance', count(*), 2 * count(*), count(distinct ticker) from (
+          select distinct ticker, model_name, target from clamped join actuals using (ticker, news_date, target))""",
+    ),
+)
+def typed_sinks(spark: SparkSession, folder: str) -> DataFrame:
+    """The four stored tables written twice, as by a repeated run: rows counted while writing, and rows read back.
+
+    Repeated days replace themselves; accuracy is appended.
+    """
+    root = new_path(spark, "tables")
+    feed = I.feed_times(spark, folder).withColumn("News_Date", M.news_date(F.col("Published_At"), I.HOLIDAYS))
+    history, made = I.history(spark, folder), I.formula_predictions(spark, folder)
+    by_year = lambda df: df.withColumn("Year", F.date_trunc("year", "News_Date").cast("date"))
+    yearly = lambda schema: T.StructType([*schema.fields]).add("Year", "date")
+    every = (dt.date(1900, 1, 1), dt.date(2100, 1, 1))
+    parts = []
+    for name, rows, schema, day in (
+        ("articles", feed, ARTICLES, "News_Date"),
+        ("daily", by_year(history), yearly(DAILY), "Year"),
+        ("predictions", by_year(made), yearly(PREDICTIONS), "Year"),
+    ):
+        written = [replace_range(rows, f"{root}/{name}", schema, *every, partition=day) for _ in range(2)]
+        parts.append((name, written[-1], read_range_table(spark, f"{root}/{name}", schema, partition=day)))
+    measured = cut_lineage(J.monitor(made, history).withColumn("Evaluated_At", F.current_timestamp()))
+    for _ in range(2):
+        written = append_rows(measured, f"{root}/performance", PERFORMANCE, partition=None)
+    parts.append(("performance", written, read_or_empty(spark, f"{root}/performance", PERFORMANCE)))
+    out = None
+    for name, written, stored in parts:
+        counted = stored.agg(F.count(F.lit(1)).alias("Stored"), F.count_distinct("Ticker").alias("Tickers"))
+        row = counted.select(F.lit(name).alias("Table"), F.lit(written).cast("long").alias("Written"), "Stored", "Tickers")
+        out = row if out is None else out.unionByName(row)
+    return out

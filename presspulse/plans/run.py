@@ -122,7 +122,8 @@ def monitor(spark: SparkSession, root: str, horizon: int = 0) -> tuple[DataFrame
     daily = ST.read_range_table(spark, f"{root}/daily", DAILY)
     measured = J.monitor(predictions, daily, horizon).withColumn("Evaluated_At", F.current_timestamp())
     found = ST.cut_lineage(conform(measured, PERFORMANCE))
-    ST.append_rows(found, f"{root}/performance", PERFORMANCE, partition=None)
+    if not found.isEmpty():
+        ST.append_rows(found, f"{root}/performance", PERFORMANCE, partition=None)
     alerts = FC.alerts(found)
     alerts.write.mode("append").parquet(f"{root}/alerts")
     return found, alerts

@@ -92,13 +92,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
-def append_rows(df: DataFrame, path: str, schema: T.StructType, partition: str | None = "News_Date") -> None:
-    """Append rows in the table's own shape. Earlier files are never rewritten, and Spark's commit
-    protocol publishes the new files together, so a failed run leaves the table as it was."""
-    writer = conform(df, schema).write.mode("append")
+def append_rows(df: DataFrame, path: str, schema: T.StructType, partition: str | None = "News_Date") -> int:
+    """Append rows in the table's own shape; returns their number, counted on the way. Earlier files are never
+    rewritten, and Spark's commit protocol publishes the new files together, so a failed run leaves the table
+    as it was."""
+    seen = Observation()
+    writer = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
+    return seen.get["rows"]
 
 
 def replace_days(df: DataFrame, path: str, schema: T.StructType, partition: str = "News_Date") -> None:
