@@ -19,8 +19,7 @@ grows with that of chunks, so that a shard's questions stay within a task's memo
 tasks are repeated.
 
 A document is kept if its perplexity per byte is at most the ``QUANTILE`` quantile of the held-out trusted
-documents of its language (of all languages where its own has none held out). Fewer than ``LEAST_HELD`` of them
-have no such quantile below their maximum; there, ``SLACK`` times the maximum or what is next to it is the limit.
+documents of its language (of all languages where its own has none held out).
 
 Defined results: null and empty texts have no perplexity and are not kept; null languages are a language of
 their own; without trusted text, or none held out, there is no threshold and documents with text are kept;
@@ -45,8 +44,6 @@ from presspulse.sources.storage import broadcast_if_small, cut_lineage
 
 ORDER = 5
 QUANTILE = 0.99
-SLACK = 1.5
-LEAST_HELD = 100  # 1 / (1 - QUANTILE)
 CHUNK_BYTES = 1 << 25
 PIECE_BYTES = 1 << 20
 ACCURACY = 100_000
@@ -269,8 +266,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
 
 def _threshold() -> Column:
     """The limit from the perplexities of held-out documents."""
-    quantile = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(ACCURACY))
-    return quantile * F.when(F.count("perplexity") >= LEAST_HELD, 1.0).otherwise(SLACK)
+    return F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(ACCURACY))
 
 
 def perplexity_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ level least: into an open window with room, or into a new one. The numbers are k
 level; a window that becomes full is closed.
 
 Each task packs the documents of its partition, in order, so there is no shuffle, and a repeated task
-gives the same sequences. Only open windows are held. When there are ``OPEN_WINDOWS`` of them, and at
-the end, they are emptied: their pieces are laid end to end and cut into full sequences. What remains
-at the very end, less than one sequence in each partition, is cut into sequences whose lengths are powers
-of two, which need no padding.
+gives the same sequences. Only open windows are held, as ids of two bytes where the vocabulary allows it, so a task
+holds less than its split has text. At the end they are emptied: their pieces are laid end to end and cut
+into full sequences, and what remains, less than one sequence in each partition, into sequences whose
+lengths are powers of two, which need no padding.
 
 Defined results: null and empty texts are the end id alone; repeated rows are packed each; rows with a
 null id keep it; other columns are ignored; an empty table gives no pieces.
@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame
 
 SEQUENCE = 2048
 END = 1
-OPEN_WINDOWS = 4096
 #: The vocabulary of byte_bpe_50k.json as ranks; both give the same ids.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SPECIAL = {"<|endoftext|>": 50256}
@@ -52,8 +51,8 @@ def encoding(path: str) -> tiktoken.Encoding:
 class Packer:
     """Windows of one partition. Finished pieces are rows in ``done``."""
 
-    def __init__(self, base: int, size: int = SEQUENCE, most: int = OPEN_WINDOWS):
-        self.size, self.most, self.next_id, self.done = size, most, base, []
+    def __init__(self, base: int, size: int = SEQUENCE):
+        self.size, self.next_id, self.done = size, base, []
         self.count = np.zeros(size + 1, np.int64)  # open windows by fill level
         self.open: dict[int, list[list]] = {}
 
@@ -62,7 +61,8 @@ class Packer:
         for at in range(0, whole, self.size):
             self._close([(doc_id, at, ids[at : at + self.size], len(ids))])
         if whole < len(ids):
-            self._place((doc_id, whole, ids[whole:].copy(), len(ids)))
+            rest = ids[whole:]
+            self._place((doc_id, whole, rest.astype(np.uint16 if rest.max() < 1 << 16 else np.uint32), len(ids)))
 
     def _place(self, piece: tuple) -> None:
         n = len(piece[2])
@@ -75,16 +75,11 @@ class Packer:
             self.count[level] -= 1
             window = self.open[level].pop()
             window.append(piece)
-        self._hold(window, level + n)
-        if self.count.sum() > self.most:
-            self.empty()
-
-    def _hold(self, window: list, level: int) -> None:
-        if level == self.size:
+        if level + n == self.size:
             self._close(window)
         else:
-            self.count[level] += 1
-            self.open.setdefault(level, []).append(window)
+            self.count[level + n] += 1
+            self.open.setdefault(level + n, []).append(window)
 
     def _close(self, window: list) -> None:
         offset = 0
@@ -93,15 +88,14 @@ class Packer:
             offset += len(ids)
         self.next_id += 1
 
-    def empty(self, last: bool = False) -> None:
-        """Cut the pieces of all open windows into full sequences; the rest stays open unless ``last``."""
+    def empty(self) -> None:
+        """Cut the pieces of all open windows into full sequences, and the rest into powers of two."""
         pieces = deque(p for level in sorted(self.open) for window in self.open[level] for p in window)
         left = sum(len(p[2]) for p in pieces)
         self.count[:] = 0
         self.open = {}
-        lengths = [self.size] * (left // self.size)
         rest = left % self.size
-        lengths += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1] if last else [rest] * bool(rest)
+        lengths = [self.size] * (left // self.size) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
         for length in lengths:
             window, room = [], length
             while room:
@@ -110,7 +104,7 @@ class Packer:
                 if len(ids) > room:
                     pieces.appendleft((doc_id, start + room, ids[room:], tokens))
                 room -= len(window[-1][2])
-            self._close(window) if last else self._hold(window, length)
+            self._close(window)
 
     def rows(self) -> pa.RecordBatch:
         names = [c.split()[0] for c in PIECES.split(", ")]
@@ -129,7 +123,7 @@ def _pack(vocabulary: str, size: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 packer.add(doc_id, np.append(ids, np.uint32(END)))
                 if len(packer.done) >= ROWS_AT_ONCE:
                     yield packer.rows()
-        packer.empty(last=True)
+        packer.empty()
         yield packer.rows()
 
     return pack

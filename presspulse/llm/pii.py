@@ -20,7 +20,8 @@ Positions are code points, ends exclusive. Patterns are possessive or anchored w
 their matches, so that long runs take linear time, and offsets are summed in blocks.
 
 Defined results: a null text is empty and has no spans; rows are independent, so repeated rows and null
-ids get their own results; with too few weak labels no span is added; equal scores keep the leftmost,
+ids get their own results; without weak labels of both kinds there are no trees, and only values of
+credentials are added; equal scores keep the leftmost,
 then the longest.
 """
 
@@ -64,7 +65,6 @@ SAMPLE_DOCS = 8000
 TREES, DEPTH = 12, 3
 PRECISION = 0.9
 GRID = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
-LEAST_POSITIVES = 20
 BLOCK = 512
 
 
@@ -209,10 +209,13 @@ class Selector:
         return 1 / (1 + F.exp(-2 * margin))
 
     def selects(self, kind: Column, cue: Column, features: Column) -> Column:
+        credential = F.when(cue & (kind == "secret"), 1.0)
+        if not self.trees:
+            return credential
         limit = F.lit(2.0)  # above any score
         for k, t in self.thresholds.items():
             limit = F.when(kind == k, F.lit(t)).otherwise(limit)
-        return F.when(cue & (kind == "secret"), 1.0).otherwise(bind(self.score(features), lambda s: F.when(s >= limit, s)))
+        return credential.otherwise(bind(self.score(features), lambda s: F.when(s >= limit, s)))
 
 
 def _parse(lines: list[str]) -> tuple:
@@ -240,16 +243,15 @@ def _labelled(docs: DataFrame) -> DataFrame:
     )
 
 
-def train(docs: DataFrame) -> Selector | None:
-    """Trees from the sample of ``docs``, thresholds from all others; None if the sample has too few weak labels."""
+def train(docs: DataFrame) -> Selector:
+    """Trees from the sample of ``docs``, thresholds from all others; no trees if the sample has weak labels of one kind only."""
     ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) < 3
     ids = cut_lineage(ids.withColumn("held", held))  # at most SAMPLE_DOCS ids
     sample = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id")
     rows = cut_lineage(_labelled(sample).withColumn("held", held))
-    seen = rows.groupBy("held", "label").count().collect()
-    if len(seen) < 4 or min(r["count"] for r in seen if r.label == 1) < LEAST_POSITIVES // 4 or sum(r["count"] for r in seen if r.label == 1) < LEAST_POSITIVES:
-        return None
+    if rows.where("not held").select("label").distinct().count() < 2:
+        return Selector([], {})
     width = rows.select(F.size("features").alias("n")).first().n
     wide = rows.where("not held").select("label", *[F.get("features", F.lit(i)).alias(f"f{i}") for i in range(width)])
     wide = VectorAssembler(inputCols=[f"f{i}" for i in range(width)], outputCol="v").transform(wide)

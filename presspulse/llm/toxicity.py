@@ -10,11 +10,14 @@ those in other languages) are left out of the links of these categories, not tak
 last link, ``toxic``, has the real labels of all.
 
 The training rows are a bounded sample: the ``SAMPLE_ROWS / 2`` labelled documents of either class that
-come first by a hash of their id. The class shares of all labels correct the intercepts.
+come first by a hash of their id, one row of each. Only their features go to the driver, not their texts. Folds
+go by a hash of the text, so that copies share one. The class shares of all labels correct the intercepts.
 
 Defined results: null and empty texts get the probabilities of a text without features; with no label
 of either class everything is non-toxic with null probabilities; label rows with null or other values
-are ignored; of several labels for a document the largest holds; repeated document rows each get theirs.
+are ignored; of several labels for a document the largest holds; repeated document rows each get theirs,
+and the first text by order is trained on; a category with fewer than ``2 * FOLDS`` weak positives has no link, and
+null probabilities.
 """
 
 from __future__ import annotations
@@ -43,6 +46,7 @@ CATEGORY_WORDS = {
     "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum", "vermin", "filth"),
 }
 CATEGORIES = (*CATEGORY_WORDS, "toxic")
+ACTIVE = "doc_id long, toxic int, fold int, active array<int>, " + ", ".join(f"{c} boolean" for c in CATEGORY_WORDS)
 WORD = re.compile(r"\w+")
 
 
@@ -53,12 +57,12 @@ def features(text: str | None) -> set[str]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(doc_id, text, toxic)`` of the training rows."""
+    """``(doc_id, text, toxic)`` of the training rows, one a document."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     picked = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2) for v in (0, 1)]
     # at most `rows` ids, whatever the tables
     few = F.broadcast(cut_lineage(picked[0].unionAll(picked[1])))
-    return docs.select("doc_id", "text").join(few, "doc_id").select("doc_id", "text", "toxic")
+    return docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +143,18 @@ class Model:
         return pd.DataFrame(out)
 
 
+def _active(model: Model):
+    """Places of the features of each text, and the categories whose words it has."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [set(WORD.findall((t or "").lower())) for t in batch.text]
+            out = batch.drop(columns="text").assign(active=[np.flatnonzero(r).astype(np.int32) for r in model.rows(batch.text)])
+            yield out.assign(**{c: [not f.isdisjoint(w) for f in found] for c, w in CATEGORY_WORDS.items()})
+
+    return rows
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The chain fitted on the labelled documents; None if a class has no label."""
     sample = cut_lineage(labelled_sample(docs, labels))
@@ -159,18 +175,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
         .collect()
     )
     vocabulary = [r.feature for r in best]
-    rows = sample.toPandas().sort_values(["doc_id", "text"], ignore_index=True)  # at most SAMPLE_ROWS
+    folds = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int")
+    narrow = sample.select("doc_id", "toxic", folds.alias("fold"), "text").mapInPandas(_active(Model(vocabulary, {})), ACTIVE)
+    rows = narrow.toPandas().sort_values("doc_id", ignore_index=True)  # at most SAMPLE_ROWS rows of FEATURES numbers
     toxic = rows.toxic.to_numpy(float)
-    x = Model(vocabulary, {}).rows(rows.text).astype(float)
-    found = [set(WORD.findall((t or "").lower())) for t in rows.text]
-    named = {c: np.array([not found[i].isdisjoint(w) for i in range(len(rows))]) for c, w in CATEGORY_WORDS.items()}
+    x = np.zeros((len(rows), len(vocabulary)))
+    for i, active in enumerate(rows.active):
+        x[i, active] = 1
+    named = {c: rows[c].to_numpy(bool) for c in CATEGORY_WORDS}
     unnamed = (toxic == 1) & ~np.any(list(named.values()), axis=0)
     targets = {}
     for c, has in named.items():
         if (has & (toxic == 1)).sum() >= 2 * FOLDS:
             targets[c] = np.where(unnamed, np.nan, has & (toxic == 1))
     targets["toxic"] = toxic
-    fold = np.arange(len(rows)) % FOLDS
+    fold = rows.fold.to_numpy()
     shift = np.log(shares[1] / shares[0]) - np.log(sizes[1] / sizes[0])
     return Model(vocabulary, fit_chain(x, targets, fold, shift)[0])
 

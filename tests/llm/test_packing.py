@@ -50,21 +50,30 @@ def check(pieces, lengths, size):
             assert at == total
 
 
-@given(st.lists(st.integers(1, 150), max_size=120), st.integers(1, 12))
+@given(st.lists(st.integers(1, 150), max_size=120), st.sampled_from([0, 65_400, 70_000]))
 @settings(max_examples=150, deadline=None)
-def test_packer_keeps_every_id(lengths, most):
-    packer = Packer(0, 64, most)
+def test_packer_keeps_every_id(lengths, lowest):
+    packer = Packer(0, 64)
     for i, n in enumerate(lengths):
-        packer.add(i, np.arange(n, dtype=np.uint32))
-    packer.empty(last=True)
+        packer.add(i, np.arange(lowest, lowest + n, dtype=np.uint32))
+    packer.empty()
     check(packer.done, dict(enumerate(lengths)), 64)
     for doc, start, length, crc, *_ in packer.done:
-        assert crc == zlib.crc32(np.arange(start, start + length, dtype="<u4").tobytes())
+        assert crc == zlib.crc32(np.arange(lowest + start, lowest + start + length, dtype="<u4").tobytes())
+
+
+def test_pieces_that_fit_nowhere_stay_apart_until_the_end():
+    packer = Packer(0, 64)
+    for i in range(6000):
+        packer.add(i, np.zeros(40, np.uint32))
+    assert not packer.done and packer.count[40] == 6000
+    packer.empty()
+    check(packer.done, dict.fromkeys(range(6000), 40), 64)
 
 
 def test_placement_minimises_the_sum_of_squares():
     rng = np.random.default_rng(5)
-    packer = Packer(0, 32, 10_000)
+    packer = Packer(0, 32)
     for i in range(400):
         n = int(rng.integers(1, 31))
         before = packer.count.copy()

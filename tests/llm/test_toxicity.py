@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from helpers import HAS_TABLES, LABELS, awkward, docs, table
 
-from presspulse.llm.toxicity import CATEGORIES, FOLDS, Model, drop_toxic, fit_chain, score_toxicity
+from presspulse.llm.toxicity import CATEGORIES, CATEGORY_WORDS, FOLDS, Model, drop_toxic, features, fit_chain, labelled_sample, score_toxicity, train
 
 
 def labelled(spark, n=300, seed=2):
@@ -77,3 +77,47 @@ def test_tables(spark):
     both = got.merge(table(spark, "labels").toPandas(), on="doc_id", suffixes=("", "_label"))
     assert (both.toxic == (both.toxic_label == 1)).mean() > 0.95
     assert got[list(CATEGORIES[:2])].notna().all().any()
+
+
+def test_training_rows_are_bounded_and_copies_share_a_fold(spark):
+    texts, labels = labelled(spark)
+    rows = docs(spark, texts + texts[:40] * 5)  # repeated rows of an id are one training row
+    sample = labelled_sample(rows, spark.createDataFrame(labels, LABELS), 60)
+    assert sample.count() == len({r.doc_id for r in sample.collect()}) == 60
+    every = spark.createDataFrame(labels, LABELS)
+    once = score_toxicity(docs(spark, texts), every).toPandas().set_index("doc_id")
+    again = score_toxicity(rows, every).dropDuplicates(["doc_id"]).toPandas().set_index("doc_id")
+    assert np.allclose(once.toxic_probability, again.toxic_probability[once.index])
+
+
+def test_scores_equal_a_plain_chain(spark):
+    texts, labels = labelled(spark, 150)
+    model = train(docs(spark, texts), spark.createDataFrame(labels, LABELS))
+    text, toxic = dict(texts), {i: t for i, _, t, _ in labels}
+    ids = sorted(toxic)
+    words = {i: features(text[i]) for i in ids}
+    order = sorted(model.at, key=model.at.get)
+    x = np.array([[f in words[i] for f in order] for i in ids], float)
+    fold = np.array([r.f for r in docs(spark, [(i, text[i]) for i in ids]).selectExpr("doc_id", f"pmod(xxhash64(text), {FOLDS}) f").orderBy("doc_id").collect()])
+    y = np.array([toxic[i] for i in ids], float)
+    has = {c: np.array([any(w in text[i].split() for w in ws) for i in ids]) for c, ws in CATEGORY_WORDS.items()}
+    hidden = (y == 1) & ~(has["insult"] | has["contempt"])
+    inputs = x
+    for name, target in [*((c, np.where(hidden, np.nan, h & (y == 1))) for c, h in has.items()), ("toxic", y)]:
+        known = ~np.isnan(target)
+
+        def fitted(rows):
+            a, b = np.hstack([inputs[rows], np.ones((rows.sum(), 1))]), target[rows]
+            w, ridge = np.zeros(a.shape[1]), np.r_[np.full(a.shape[1] - 1, 0.1), 1e-6]
+            for _ in range(40):  # Newton steps of the penalised likelihood
+                p = 1 / (1 + np.exp(-a @ w))
+                w = w + np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + np.diag(ridge), a.T @ (b - p) - ridge * w)
+            return w
+
+        shift = np.log(sum(y) / sum(1 - y)) - np.log(sum(y) / sum(1 - y))  # the sample is all labels
+        assert np.allclose(model.links[name], fitted(known) + np.r_[np.zeros(inputs.shape[1]), shift], atol=1e-3)
+        out = np.zeros(len(ids))
+        for f in range(FOLDS):
+            w = fitted(known & (fold != f))
+            out[fold == f] = 1 / (1 + np.exp(-(inputs[fold == f] @ w[:-1] + w[-1])))
+        inputs = np.hstack([inputs, out[:, None]])
