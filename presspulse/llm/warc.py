@@ -1,15 +1,16 @@
 """WARC archives as chunked record tables.
 
-A page becomes one record. Its payload is cut into chunks of bounded size that go through Spark as rows of
-a record id and a chunk number with the digest of all bytes so far, so that neither writing nor reading holds
-a record as a whole beyond the input cell itself. A chunk is a WARC segment: the first is the record (with
-the HTTP head in front of the payload), the others are ``continuation`` records that follow it in the same
-file. Archives are written with Spark's text writer, whose commit protocol copes with lost executors;
+A page becomes one record. Its payload is cut into chunks of bounded size. Both directions go through a table of
+chunks: a row a record id and chunk number, with the digest of all bytes so far, so that neither writing nor
+reading holds a record as a whole beyond the input cell itself. A chunk is a WARC segment: the first is the
+record (with the HTTP head in front of the payload), the others are ``continuation`` records that follow it in
+the same file. Archives are written with Spark's text writer, whose commit protocol copes with lost executors;
 the line separator is the end of a WARC record. They are compressed and so never split, which keeps the
-chunks of a record in order for one reader; the reader carries the digest along.
+chunks of a record in order for one reader; the reader carries the digest along and compares it at each chunk.
 
 Of records with equal payloads of at least ``LEAST_BYTES`` bytes, that with the largest page id is the
-response and the others are revisits of it, with no payload of their own; smaller ones are responses.
+response and the others are revisits of it, with no payload of their own; smaller ones are responses. A revisit
+names the response by its record id and its target (the largest url, if the response's page has several rows).
 
 Defined results: a null html is the empty payload; a null url is ``unknown:``; of equal payloads with
 null ids only, all are responses, otherwise null ids are revisits; repeated rows of the page that is the
@@ -41,7 +42,12 @@ INSIDE = len(RECORD_END) + 4  # a payload that holds a boundary is cut here in i
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Pages carry no time of their own.
 CAPTURED = "2024-01-01T00:00:00Z"
-READ_BACK = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, n_chunks long"
+CHUNKS = "record_id string, chunk int, digest_so_far string, head string, data string"
+READ_BACK = (
+    "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, n_chunks long, "
+    "record_id string, refers_to_record string"
+)
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
 
 
 def base32(digest: bytes) -> str:
@@ -69,125 +75,159 @@ def _urn(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '/'.join(map(str, parts)))}>"
 
 
-def _head(kind: str, number: int, origin: str, length: int, fields: dict[str, object]) -> str:
-    own = origin if number == 1 else _urn(origin, number)
-    lines = {"WARC-Type": kind, "WARC-Record-ID": own, "WARC-Date": CAPTURED, **fields, "Content-Length": length}
+def _target(url: str | None) -> str:
+    return re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url or "unknown:")
+
+
+def _head(record: str, fields: dict[str, object], length: int) -> str:
+    lines = {"WARC-Record-ID": record, "WARC-Date": CAPTURED, **fields, "Content-Length": length}
     return VERSION + "".join(f"{k}: {v}\r\n" for k, v in lines.items() if v is not None) + "\r\n"
 
 
-def _write_chunks(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cut_into_chunks(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, room = [], BATCH_BYTES
         for batch in batches:
-            columns = [batch[c] for c in ("page_id", "url", "html", "digest", "revisit", "refers_to")]
+            columns = [batch[c] for c in ("page_id", "url", "html", "digest", "refers_to", "refers_url", "revisit")]
             for i in range(batch.num_rows):
-                page, url, html, digest, revisit, refers = (c[i] for c in columns)
-                payload = memoryview(html.as_buffer())
-                page, refers, digest = page.as_py(), refers.as_py(), base32(bytes.fromhex(digest.as_py()))
-                target = re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url.as_py() or "unknown:")
-                origin = _urn(page, target, digest)
+                payload = memoryview(columns[2][i].as_buffer())
+                page, url, refers, refers_url, revisit = (columns[c][i].as_py() for c in (0, 1, 4, 5, 6))
+                digest = base32(bytes.fromhex(columns[3][i].as_py()))
+                target = _target(url)
+                record = _urn(page, target, digest)
                 fields = {
+                    "WARC-Type": "revisit" if revisit else "response",
                     "WARC-Target-URI": target,
                     "WARC-Payload-Digest": f"sha1:{digest}",
                     "Page-Id": page,
                     "Payload-Length": len(payload),
                     "Content-Type": "application/http;msgtype=response",
                 }
-                if revisit.as_py():
+                if revisit:
                     fields |= {
                         "WARC-Profile": "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest",
-                        "WARC-Refers-To": _urn(refers, "refers", digest),
+                        "WARC-Refers-To": _urn(refers, _target(refers_url), digest),
+                        "WARC-Refers-To-Target-URI": _target(refers_url),
                         "Refers-To-Page-Id": refers,
                     }
-                    held.append(_head("revisit", 1, origin, len(HTTP_HEAD), fields) + HTTP_HEAD.decode())
-                    continue
+                    payload = payload[:0]
                 parts = list(cuts(payload, size))
                 so_far = hashlib.sha1()
                 for number, (begin, end) in enumerate(parts, 1):
                     so_far.update(payload[begin:end])
+                    digest_so_far = base32(so_far.digest())
                     first = HTTP_HEAD if number == 1 else b""
                     if len(parts) > 1:
-                        fields |= {"WARC-Segment-Number": number, "Digest-So-Far": f"sha1:{base32(so_far.digest())}"}
-                        fields |= {"WARC-Segment-Origin-ID": origin} if number > 1 else {}
+                        fields |= {"WARC-Segment-Number": number, "Digest-So-Far": f"sha1:{digest_so_far}"}
+                        fields |= {"WARC-Type": "continuation", "WARC-Segment-Origin-ID": record} if number > 1 else {}
                         fields |= {"WARC-Segment-Total-Length": len(HTTP_HEAD) + len(payload)} if number == len(parts) else {}
-                    kind = "response" if number == 1 else "continuation"
-                    head = _head(kind, number, origin, len(first) + end - begin, fields)
-                    held.append(head + (first + bytes(payload[begin:end])).decode("utf-8", "replace"))
-                    room -= len(held[-1])
+                    own = record if number == 1 else _urn(record, number)
+                    data = (first + bytes(payload[begin:end])).decode("utf-8", "replace")
+                    held.append((record, number, digest_so_far, _head(own, fields, len(first) + end - begin), data))
+                    room -= len(data) + 512
                     if room <= 0:
-                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+                        yield _as_batch(held, CHUNKS)
                         held, room = [], BATCH_BYTES
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+        yield _as_batch(held, CHUNKS)
 
     return chunks
 
 
-def write_archives(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """Write ``pages(page_id, url, html)`` as WARC files below ``path``."""
+def chunk_table(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``(record_id, chunk, digest_so_far, head, data)`` of ``pages(page_id, url, html)``; the chunks of a record are
+    consecutive rows, ``head`` is the WARC head of the segment and ``data`` what follows it."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    large = rows.where(F.octet_length("html") >= LEAST_BYTES).select("digest", "page_id")
-    copies = large.groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1").drop("n")
+    large = rows.where(F.octet_length("html") >= LEAST_BYTES).select("digest", "page_id", "url")
+    newest = F.max(F.struct("page_id", "url"))
+    copies = large.groupBy("digest").agg(newest.alias("newest"), F.count("*").alias("n")).where("n > 1")
+    copies = copies.select("digest", F.col("newest.page_id").alias("newest"), F.col("newest.url").alias("newest_url"))
     # few payloads repeat as a rule; where many do, this is a shuffled join
     typed = rows.join(broadcast_if_small(cut_lineage(copies)), "digest", "left")
     revisit = (F.octet_length("html") >= LEAST_BYTES) & F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
-    typed = typed.select("page_id", "url", "html", "digest", revisit.alias("revisit"), F.when(revisit, F.col("newest")).alias("refers_to"))
-    lines = typed.mapInArrow(_write_chunks(chunk_bytes), "value string")
+    named = [F.when(revisit, F.col(c)).alias(name) for c, name in (("newest", "refers_to"), ("newest_url", "refers_url"))]
+    return typed.select("page_id", "url", "html", "digest", *named, revisit.alias("revisit")).mapInArrow(_cut_into_chunks(chunk_bytes), CHUNKS)
+
+
+def write_archives(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:
+    """Write ``pages(page_id, url, html)`` as WARC files below ``path``."""
+    lines = chunk_table(pages, chunk_bytes).select(F.concat("head", "data").alias("value"))
     lines.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
-def _read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def read_chunk_table(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of the archives below ``path``, in the files' order: record id and chunk number, the fields of the
+    head (null where it has none) and the block as ``data``, its first ``length`` bytes."""
+    value = F.col("value")
+    lines = spark.read.option("lineSep", BOUNDARY.decode()).text(path)
+    end = F.locate("\r\n\r\n", value)
+    lines = lines.where(end > 0)  # else nothing but the end of a file
+    # a file's first line still has the version in front
+    start = F.when(value.startswith(VERSION), len(VERSION) + 1).otherwise(1)
+    parts = lines.select(
+        F.concat(F.lit("\r\n"), F.substring(value, start, end - start)).alias("head"),
+        F.substring(value, end + 4, F.length(value)).alias("data"),
+    )
+    field = lambda name: F.nullif(F.regexp_extract("head", f"\r\n{name}: ([^\r\n]*)", 1), F.lit(""))
+    return parts.select(
+        F.coalesce(field("WARC-Segment-Origin-ID"), field("WARC-Record-ID")).alias("record_id"),
+        F.coalesce(field("WARC-Segment-Number").cast("int"), F.lit(1)).alias("chunk"),
+        field("Digest-So-Far").alias("digest_so_far"),
+        field("WARC-Type").alias("kind"),
+        field("Page-Id").cast("long").alias("page_id"),
+        field("Refers-To-Page-Id").cast("long").alias("refers_to"),
+        field("WARC-Refers-To").alias("refers_to_record"),
+        field("WARC-Payload-Digest").alias("payload_digest"),
+        field("Payload-Length").cast("long").alias("payload_bytes"),
+        field("Content-Length").cast("long").alias("length"),
+        "data",
+    )
+
+
+def _join_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now: dict | None = None
     rows: list[tuple] = []
 
     def close() -> None:
         if now is None:
             return
-        digest = base32(now["sha"].digest()) if now["kind"] == "response" else now["digest"]
-        if digest != now["digest"] or now["bytes"] != now["length"] * (now["kind"] == "response"):
-            raise ValueError(f"record {now['id']} of page {now['page']} is damaged")
-        rows.append((now["page"], now["length"], digest, now["kind"], now["refers"], now["chunks"]))
+        response = now["kind"] == "response"
+        digest = base32(now["sha"].digest()) if response else now["digest"]
+        if digest != now["digest"] or now["bytes"] != now["payload_bytes"] * response:
+            raise ValueError(f"record {now['record_id']} of page {now['page_id']} is damaged")
+        rows.append((now["page_id"], now["payload_bytes"], digest, now["kind"], now["refers_to"], now["chunk"], now["record_id"], now["refers_to_record"]))
 
     for batch in batches:
-        for value in batch["value"]:
-            text = value.as_buffer().to_pybytes()
-            if text.startswith(VERSION.encode()):
-                text = text[len(VERSION) :]
-            end = text.find(b"\r\n\r\n")
-            if end < 0:  # nothing but the end of a file
-                continue
-            head = dict(line.split(": ", 1) for line in text[:end].decode().split("\r\n"))
-            block = text[end + 4 : end + 4 + int(head["Content-Length"])]
-            if head["WARC-Type"] == "continuation":
-                if now is None or now["id"] != head["WARC-Segment-Origin-ID"] or now["chunks"] + 1 != int(head["WARC-Segment-Number"]):
+        data = batch["data"]
+        for i, row in enumerate(batch.drop_columns("data").to_pylist()):
+            block = memoryview(data[i].as_buffer())[: row["length"]]
+            if row["kind"] == "continuation":
+                if now is None or now["record_id"] != row["record_id"] or now["chunk"] + 1 != row["chunk"]:
                     raise ValueError("a continuation does not follow its record")
+                now["chunk"] = row["chunk"]
             else:
                 close()
-                block = block[block.index(b"\r\n\r\n") + 4 :]
-                number = lambda field: int(head[field]) if field in head else None  # noqa: E731, B023
-                now = {
-                    "id": head["WARC-Record-ID"], "kind": head["WARC-Type"], "page": number("Page-Id"), "refers": number("Refers-To-Page-Id"),
-                    "digest": head["WARC-Payload-Digest"].removeprefix("sha1:"), "length": number("Payload-Length"),
-                    "bytes": 0, "chunks": 0, "sha": hashlib.sha1(),
-                }
+                block = block[bytes(block[:BATCH_BYTES]).index(b"\r\n\r\n") + 4 :]
+                now = row | {"digest": row["payload_digest"].removeprefix("sha1:"), "bytes": 0, "sha": hashlib.sha1()}
             now["sha"].update(block)
             now["bytes"] += len(block)
-            now["chunks"] += 1
-        yield _as_batch(rows)
+            if row["digest_so_far"] not in (None, f"sha1:{base32(now['sha'].digest())}"):
+                raise ValueError(f"record {now['record_id']} of page {now['page_id']} is damaged in chunk {now['chunk']}")
+        yield _as_batch(rows, READ_BACK)
         rows.clear()
     close()
-    yield _as_batch(rows)
+    yield _as_batch(rows, READ_BACK)
 
 
-def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+def _as_batch(rows: list[tuple], shape: str) -> pa.RecordBatch:
+    names, kinds = zip(*(c.split() for c in shape.split(", ")), strict=True)
     columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in READ_BACK.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array(c, ARROW[k]) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record below ``path``, with digest and size of the payload as read."""
-    return spark.read.option("lineSep", BOUNDARY.decode()).text(path).mapInArrow(_read_chunks, READ_BACK)
+    return read_chunk_table(spark, path).mapInArrow(_join_chunks, READ_BACK)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from presspulse.llm.warc import BOUNDARY, cuts, read_archives, round_trip, write_archives
+from presspulse.llm.warc import BOUNDARY, chunk_table, cuts, read_archives, read_chunk_table, round_trip, write_archives
 
 PAGES = "page_id long, url string, html string, digest string, revisit int, newest string, value string"
 EDGE = "\r\n\r\nWARC/1.0\r\n"
@@ -50,6 +50,25 @@ def test_round_trip(spark, tmp_path, size):
     rows_back = got.collect()
     assert collections.Counter(tuple(r)[:5] for r in rows_back) == expected(rows)
     assert max(r.n_chunks for r in rows_back) > 1
+    responses = {r.record_id: r.page_id for r in rows_back if r.record_type == "response"}
+    for r in rows_back:  # a reference is the id of a record that exists
+        assert (r.refers_to_record is not None) == (r.record_type == "revisit")
+        assert r.refers_to_record is None or responses[r.refers_to_record] == r.refers_to
+
+
+def test_chunk_tables_of_both_directions_agree(spark, tmp_path):
+    rows = [(1, "a", "x" * 95), (2, "b", "é" * 60), (3, None, None), (4, "c", "x" * 95)]
+    write_archives(pages(spark, rows), f"{tmp_path}/w", 20)
+    wrote = chunk_table(pages(spark, rows), 20).collect()
+    back = read_chunk_table(spark, f"{tmp_path}/w").collect()
+    assert sorted((r.record_id, r.chunk) for r in wrote) == sorted((r.record_id, r.chunk) for r in back)
+    so_far = {(r.record_id, r.chunk): r.digest_so_far for r in wrote}
+    assert all(r.digest_so_far in (None, f"sha1:{so_far[r.record_id, r.chunk]}") for r in back)
+    chunks = [r for r in wrote if "\nPage-Id: 4\r" in r.head]
+    assert [r.chunk for r in chunks] == [1, 2, 3, 4, 5]
+    assert chunks[2].digest_so_far == base64.b32encode(hashlib.sha1(b"x" * 60).digest()).decode()
+    (revisit,) = [r for r in wrote if "WARC-Type: revisit" in r.head]
+    assert "WARC-Refers-To-Target-URI: c\r\n" in revisit.head and f"WARC-Refers-To: {chunks[0].record_id}\r\n" in revisit.head
 
 
 def test_files_are_warc(spark, tmp_path):
