@@ -95,16 +95,35 @@ def publisher_from_url(c: Column) -> Column:
 
 _HIDDEN = "|".join(rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in ("script", "style", "head", "nav"))
 HIDDEN_BLOCKS = rf"(?is)<!--.*?-->|{_HIDDEN}"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# fixed values: character references by name
+REFERENCES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "amp": "&"}
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]{2,6});"
+
+
+def decode_references(c: Column) -> Column:
+    """Character references by number and by the names above, each decoded once. Other names stay as they are;
+    numbers that are no character become U+FFFD."""
+    names = F.create_map(*[F.lit(x) for kv in REFERENCES.items() for x in kv])
+
+    def char(ref: Column) -> Column:
+        hexed = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.substring(ref, 3, 6))
+        number = F.coalesce(F.conv(hexed, 16, 10), F.substring(ref, 2, 7)).try_cast("int")
+        known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        code = F.when(known, number).otherwise(0xFFFD)
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        named = F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))
+        return F.when(ref.startswith("#"), F.when(number == 160, " ").otherwise(plain)).otherwise(named)
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), char)
+    between = F.split(c, _REFERENCE, -1)
+    whole = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda t, x: F.concat(t, x))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(whole, "")).otherwise(c)
 
 
 def page_text(html: Column) -> Column:
-    """Readable text of a page: hidden blocks and tags dropped, basic entities decoded."""
+    """Readable text of a page: hidden blocks and tags dropped, character references decoded."""
     t = F.regexp_replace(html, HIDDEN_BLOCKS, " ")
-    t = F.regexp_replace(t, "<[^>]*>", " ")
-    for entity, char in ENTITIES:
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return clean_text(t)
+    return clean_text(decode_references(F.regexp_replace(t, "<[^>]*>", " ")))
 
 
 def page_title(html: Column) -> Column:

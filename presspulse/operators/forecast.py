@@ -159,6 +159,55 @@ def accuracy(joined: DataFrame, keys: Sequence[str] = ("Ticker", "Model_Name", "
     return sums.where("bad = 0").select(*keys, "N_Samples", "MAE", "RMSE", "MAPE", r2.alias("R2"), "Direction_Accuracy")
 
 
+def accuracy_parts(joined: DataFrame, keys: Sequence[str] = ("Ticker", "Model_Name", "Target", "News_Date")) -> DataFrame:
+    """What ``merged_accuracy`` needs of each group: counts, sums, and mean and squared deviations of the actuals."""
+    a, p, prev = (finite(F.col(c)) for c in ("Actual_Value", "Predicted_Value", "Last_Close"))
+    err = a - p
+    ratio = F.when(a != 0, F.abs(F.try_divide(err, a)))
+    return joined.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(a.isNull() | p.isNull() | prev.isNull()).alias("n_missing"),
+        F.sum(F.abs(err)).alias("abs_error"),
+        F.sum(err * err).alias("sq_error"),
+        F.count(ratio).alias("n_ratio"),
+        F.sum(ratio).alias("ratio"),
+        F.avg(a).alias("mean"),
+        (F.var_pop(a) * F.count(a)).alias("spread"),
+        F.min(a).alias("low"),
+        F.max(a).alias("high"),
+        F.count_if(F.signum(a - prev) == F.signum(p - prev)).alias("hits"),
+    )
+
+
+def merged_accuracy(parts: DataFrame, keys: Sequence[str] = ("Ticker", "Model_Name", "Target")) -> DataFrame:
+    """The metrics of ``accuracy`` from the parts of any division of the rows.
+
+    Squared deviations add up within and between parts, about the common mean, which loses no digits as sums of
+    squares would.
+    """
+    n = F.sum("n")
+    sums = parts.groupBy(*keys).agg(
+        n.alias("N_Samples"),
+        F.sum("n_missing").alias("missing"),
+        (F.sum("abs_error") / n).alias("MAE"),
+        F.sqrt(F.sum("sq_error") / n).alias("RMSE"),
+        (F.try_divide(F.sum("ratio"), F.sum("n_ratio")) * 100.0).alias("MAPE"),
+        F.sum("sq_error").alias("sse"),
+        F.sum("spread").alias("within"),
+        (F.max("high") == F.min("low")).alias("flat"),
+        (F.sum(F.col("n") * F.col("mean")) / n).alias("center"),
+        (F.sum("hits") / n).alias("Direction_Accuracy"),
+    )
+    sums = sums.where("missing = 0")
+    off = F.col("mean") - F.col("center")
+    between = parts.join(sums.select(*keys, "center"), list(keys)).groupBy(*keys).agg(F.sum(F.col("n") * off * off).alias("between"))
+    sst = F.col("within") + F.col("between")
+    r2 = F.when(F.col("N_Samples") < 2, None).when(
+        F.col("flat"), F.when(F.col("sse") == 0, 1.0).otherwise(0.0)
+    ).otherwise(1.0 - F.try_divide(F.col("sse"), sst))
+    return sums.join(between, list(keys)).select(*keys, "N_Samples", "MAE", "RMSE", "MAPE", r2.alias("R2"), "Direction_Accuracy")
+
+
 def alerts(perf: DataFrame, mape: float = C.MAPE_ALERT, direction: float = C.DIRECTION_ALERT) -> DataFrame:
     """Groups that breach a threshold, with the reasons; a missing metric never alerts."""
     reasons = F.filter(

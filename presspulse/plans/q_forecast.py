@@ -14,6 +14,7 @@ from presspulse.plans import inputs as I
 from presspulse.plans import jobs as J
 from presspulse.plans.registry import query, round_all, rounded
 from presspulse.plans.sql import r, with_views
+from presspulse.sources.storage import new_path
 
 _KEY = 'ticker as "Ticker", news_date as "News_Date", model_name as "Model_Name", target as "Target"'
 _KEYS = ("Ticker", "News_Date", "Model_Name", "Target")
@@ -129,7 +130,7 @@ def _round_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def _edge_metrics(spark: SparkSession, folder: str) -> DataFrame:
+def _edge_pairs(spark: SparkSession, folder: str) -> DataFrame:
     joined = FC.with_actuals(I.formula_predictions(spark, folder), FC.melt_actuals(_daily(spark, folder)))
     first = _daily(spark, folder).where("Ticker = 'Brand#4'").select(F.min("News_Date")).scalar()
     actual = (
@@ -138,7 +139,11 @@ def _edge_metrics(spark: SparkSession, folder: str) -> DataFrame:
         .when((F.col("Ticker") == "Brand#4") & (F.col("News_Date") == first), F.lit(None))
         .otherwise(F.col("Actual_Value"))
     )
-    return FC.accuracy(joined.withColumn("Actual_Value", actual))
+    return joined.withColumn("Actual_Value", actual)
+
+
+def _edge_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return FC.accuracy(_edge_pairs(spark, folder))
 
 
 @query("performance_metrics", with_views("clamped actuals", _metrics_sql(_EDGE_SQL)))
@@ -147,6 +152,14 @@ def performance_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _round_metrics(_edge_metrics(spark, folder))
 
 
+@query("accuracy_from_days", with_views("clamped actuals", _metrics_sql(_EDGE_SQL)))
+def accuracy_from_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The same metrics merged from stored parts, one a day."""
+    path = new_path(spark, "accuracy-parts")
+    FC.accuracy_parts(_edge_pairs(spark, folder)).write.parquet(path)
+    return _round_metrics(FC.merged_accuracy(spark.read.parquet(path)))
+
+
 _NEXT_SQL = """
   select c.ticker, c.model_name, c.target, c.value as p, c.last_close as prev,
     case c.target when 'Open' then n.o else n.c end as a
@@ -220,16 +233,16 @@ def ml_predictions(spark: SparkSession, folder: str) -> DataFrame:
 _OLS = "regr_intercept({y}, close) over () + regr_slope({y}, close) over () * close"
 
 
-@query(
-    "single_factor_model",
-    with_views(
-        "bars",
-        f"""select ticker as "Ticker", bar_date as "News_Date", {r(_OLS.format(y='no'), 3)} as "Predicted_Open",
-        {r(_OLS.format(y='nc'), 3)} as "Predicted_Close" from (
-          select ticker, bar_date, close, lead(open) over w as no, lead(close) over w as nc from bars
-          window w as (partition by ticker order by bar_date))""",
-    ),
+_LINE_SQL = with_views(
+    "bars",
+    f"""select ticker as "Ticker", bar_date as "News_Date", {r(_OLS.format(y='no'), 3)} as "Predicted_Open",
+    {r(_OLS.format(y='nc'), 3)} as "Predicted_Close" from (
+      select ticker, bar_date, close, lead(open) over w as no, lead(close) over w as nc from bars
+      window w as (partition by ticker order by bar_date))""",
 )
+
+
+@query("single_factor_model", _LINE_SQL)
 def single_factor_model(spark: SparkSession, folder: str) -> DataFrame:
     """The trained chain with the close as its only input, which is an ordinary regression line."""
     daily = _daily(spark, folder)
@@ -238,6 +251,17 @@ def single_factor_model(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("Ticker", "News_Date", *[rounded(f"Predicted_{t}", 3).alias(f"Predicted_{t}") for t in R.TARGETS])
 
 
+@query("stored_model_predictions", _LINE_SQL)
+def stored_model_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same line, stored twice as a model, loaded in its newest version and applied as a column."""
+    daily, path = _daily(spark, folder), new_path(spark, "models")
+    for component_of in ("Open", "Close"):
+        fit, model = R.train(daily, [component_of], components=1)
+        R.store_models(spark, path, "line", fit, model, 0)
+    prices = {f"Predicted_{m.target}": rounded(fn(daily), 3) for m, fn in R.stored_models(spark, path, ["line"])}
+    return daily.select("Ticker", "News_Date", *[c.alias(n) for n, c in prices.items()])
+
+
 # --- the configured models ------------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
-"""The two recurring jobs over stored tables: the daily run (or a backfill) and the accuracy check.
+"""The recurring jobs over stored tables: the daily run (or a backfill), training, and the accuracy check.
 
-    spark-submit -m presspulse.plans.run run     --feed F --bars B --root R [--start D --end D]
+    spark-submit -m presspulse.plans.run run     --feed F --bars B --root R [--start D --end D] [--models A,B | --models all]
+    spark-submit -m presspulse.plans.run train   --root R --name N
     spark-submit -m presspulse.plans.run monitor --root R [--horizon 1]
 """
 
@@ -23,7 +24,9 @@ from presspulse.operators import features as FE
 from presspulse.operators import forecast as FC
 from presspulse.operators import market as MK
 from presspulse.operators import news as N
+from presspulse.operators import regression as RG
 from presspulse.plans import jobs as J
+from presspulse.plans import monitoring as MO
 from presspulse.schemas import ARTICLES, COMPANIES, DAILY, OHLCV, PERFORMANCE, PREDICTIONS, RAW_ARTICLE, conform
 from presspulse.sources import storage as ST
 
@@ -96,10 +99,7 @@ def run(
 
     if plugins.prices:
         history = FE.with_lookback(ST.read_range_table(spark, path["daily"], DAILY, end=end), start)
-        carried = [c for c in DAILY.fieldNames() if c not in ("Ticker", "News_Date", *C.ENGINEERED_COLUMNS)]
-        features = FE.engineered(history, FE.ticker_codes(companies), keep=carried)
-        features = features.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in features.columns})
-        today = features.where(F.col("News_Date").between(start, end))
+        today = price_features(history, companies).where(F.col("News_Date").between(start, end))
         made = J.build_predictions(today, [(s, fn(today)) for s, fn in plugins.prices])
         ST.replace_range(made, path["predictions"], PREDICTIONS, start, end)
     return statistics(spark, root, start, end)
@@ -116,22 +116,43 @@ def statistics(spark: SparkSession, root: str, start: date, end: date) -> DataFr
     return counted.groupBy("News_Date").agg(*[F.count_if(F.col("table") == t).alias(n) for t, n in names.items()])
 
 
+def price_features(daily: DataFrame, companies: DataFrame) -> DataFrame:
+    """Daily rows with all feature families of the price models."""
+    carried = [c for c in DAILY.fieldNames() if c not in ("Ticker", "News_Date", *C.ENGINEERED_COLUMNS)]
+    features = FE.engineered(daily, FE.ticker_codes(companies), keep=carried)
+    return features.withColumns({n: c for n, c in FE.same_day_columns().items() if n not in features.columns})
+
+
+def train(spark: SparkSession, root: str, companies: DataFrame, name: str, columns: Sequence[str] = tuple(C.REGRESSION_COLUMNS)) -> int:
+    """Fit the chain on all stored daily rows and store it as the next version of ``name``, which it returns."""
+    features = price_features(ST.read_range_table(spark, f"{root}/daily", DAILY), companies)
+    features = ST.cut_lineage(features.select("Ticker", "News_Date", *dict.fromkeys((*columns, "Open", "Close"))))
+    known = RG.next_day_targets(features).where(" AND ".join(f"Next_{t} IS NOT NULL" for t in RG.TARGETS)).count()
+    if not known:
+        raise ValueError("no stored day has a next session to learn from")
+    fit, model = RG.train(features, columns)
+    return RG.store_models(spark, f"{root}/models", name, fit, model, known)
+
+
 def monitor(spark: SparkSession, root: str, horizon: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Accuracy of the stored predictions and its alerts, appended to the performance and alert tables."""
-    predictions = ST.read_range_table(spark, f"{root}/predictions", PREDICTIONS)
-    daily = ST.read_range_table(spark, f"{root}/daily", DAILY)
-    measured = J.monitor(predictions, daily, horizon).withColumn("Evaluated_At", F.current_timestamp())
+    """Accuracy of the stored predictions and its alerts.
+
+    Only days whose tables changed since the last check are measured. Groups of which a day was measured are
+    appended to the performance and alert tables; a check without news appends nothing.
+    """
+    parts, touched = MO.measure_changed_days(spark, root, horizon)
+    measured = FC.merged_accuracy(parts).withColumn("Evaluated_At", F.current_timestamp())
     found = ST.cut_lineage(conform(measured, PERFORMANCE))
-    if not found.isEmpty():
-        ST.append_rows(found, f"{root}/performance", PERFORMANCE, partition=None)
-    alerts = FC.alerts(found)
-    alerts.write.mode("append").parquet(f"{root}/alerts")
-    return found, alerts
+    fresh = ST.cut_lineage(found.join(touched, MO.GROUP, "left_semi"))
+    if not fresh.isEmpty():
+        ST.append_rows(fresh, f"{root}/performance", PERFORMANCE, partition=None)
+        FC.alerts(conform(fresh, PERFORMANCE)).write.mode("append").parquet(f"{root}/alerts")
+    return found, FC.alerts(found)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser()
-    ap.add_argument("job", choices=["run", "monitor"])
+    ap.add_argument("job", choices=["run", "train", "monitor"])
     ap.add_argument("--feed", help="JSON lines of feed rows with Ticker and ord")
     ap.add_argument("--bars", help="Parquet table of daily bars")
     ap.add_argument("--root", required=True, help="folder of the stored tables")
@@ -140,18 +161,26 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--horizon", type=int, default=0)
     ap.add_argument("--companies", help="JSON lines of companies instead of the built-in ones")
     ap.add_argument("--holidays", help="text file of ISO dates instead of the built-in ones")
+    ap.add_argument("--models", help="stored price models that predict, by name, or all")
+    ap.add_argument("--name", default="pca_regression", help="name of the model to train")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"presspulse-{args.job}").getOrCreate()
     if args.job == "monitor":
         measured, alerts = monitor(spark, args.root, args.horizon)
-        print(f"{measured.count()} rows added to {args.root}/performance, {alerts.count()} to {args.root}/alerts")
+        print(f"{measured.count()} groups measured, {alerts.count()} of them alert; news added to {args.root}/performance and /alerts")
+        return
+    companies = spark.read.schema(COMPANIES).json(args.companies) if args.companies else company_table(spark)
+    if args.job == "train":
+        print(f"version {train(spark, args.root, companies, args.name)} of {args.name} added to {args.root}/models")
         return
-    schema = T.StructType([*RAW_ARTICLE.fields]).add("Ticker", "string").add("ord", "long")
+    # the page of an article, if the feed has it, gives the summary where there is no description
+    schema = T.StructType([*RAW_ARTICLE.fields]).add("Ticker", "string").add("ord", "long").add("Html", "string")
     feed = spark.read.schema(schema).json(args.feed)
     bars = ST.read_or_empty(spark, args.bars, OHLCV)
-    companies = spark.read.schema(COMPANIES).json(args.companies) if args.companies else company_table(spark)
     holidays = tuple(r[0] for r in spark.read.text(args.holidays).collect()) if args.holidays else tuple(C.HOLIDAYS)
-    days = run(feed, bars, companies, args.root, args.start, args.end, holidays=holidays)
+    names = None if args.models == "all" else (args.models or "").split(",")
+    prices = RG.stored_models(spark, f"{args.root}/models", names) if args.models else ()
+    days = run(feed, bars, companies, args.root, args.start, args.end, Plugins(prices=prices), holidays)
     days.write.mode("append").parquet(f"{args.root}/runs")
     print(f"counts of {days.count()} days added to {args.root}/runs")
 

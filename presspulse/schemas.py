@@ -18,6 +18,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "array<string>": T.ArrayType(T.StringType()),
+    "array<double>": T.ArrayType(T.DoubleType()),
     "publisher": T.StructType([T.StructField("title", T.StringType()), T.StructField("href", T.StringType())]),
 }
 
@@ -71,6 +72,18 @@ PERFORMANCE = _struct(
     ("Direction_Accuracy", "double"),
 )
 
+ACCURACY_PARTS = _struct(
+    ("Ticker", "string"), ("Model_Name", "string"), ("Target", "string"), ("News_Date", "date"),
+    ("n", "bigint"), ("n_missing", "bigint"), ("abs_error", "double"), ("sq_error", "double"), ("n_ratio", "bigint"),
+    ("ratio", "double"), ("mean", "double"), ("spread", "double"), ("low", "double"), ("high", "double"), ("hits", "bigint"),
+)
+
+PRICE_MODELS = _struct(
+    ("name", "string"), ("version", "bigint"), ("target", "string"), ("columns", "array<string>"), ("mean", "array<double>"),
+    ("std", "array<double>"), ("weights", "array<double>"), ("intercept", "double"), ("trained_rows", "bigint"),
+    ("trained_at", "timestamp"),
+)
+
 COMPANIES = _struct(
     ("name", "string"), ("ticker", "string"), ("sector", "string"),
     ("aliases", "array<string>"), ("keywords", "array<string>"),

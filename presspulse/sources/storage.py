@@ -254,5 +254,24 @@ def read_range_table(
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(schema.fieldNames())
 
 
+def day_folders(spark: SparkSession, path: str) -> dict[date, str]:
+    """The folder that now holds each day of a table written by ``replace_range``; it changes when the day is replaced."""
+    return _state(spark, path)
+
+
+def newest_finished(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest complete write below ``path``, of those made by ``write_next``."""
+    for version in reversed(_numbers(spark, path, "version=")):
+        if "_SUCCESS" in _names(spark, f"{path}/version={version}"):
+            return f"{path}/version={version}"
+    return None
+
+
+def write_next(df: DataFrame, path: str) -> None:
+    """Write a small table as a whole, as the next version of it."""
+    version = claim_version(df.sparkSession, path)
+    df.coalesce(1).write.parquet(f"{path}/version={version}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)

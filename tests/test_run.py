@@ -128,3 +128,76 @@ def test_a_day_of_many_articles_is_kept_whole(spark):
     assert sorted(r["ord"] for r in chosen.select("ord").collect()) == list(range(450))
     scored = J.score_articles(with_scores(chosen))
     assert scored.agg(F.sum("News_Impact_Weight")).first()[0] == pytest.approx(1.0)
+
+
+def stored_pairs(spark, root, first, n, price, tickers=("A", "B")):
+    """Store predictions and daily rows of ``n`` days; ticker B has every third day only."""
+    days = [(t, START + dt.timedelta(days=i)) for i in range(first, first + n) for t in tickers if t == "A" or i % 3 == 0]
+    daily = [{"Ticker": t, "News_Date": d, "Open": price + d.day, "Close": price - d.day} for t, d in days]
+    made = [
+        {"Ticker": t, "News_Date": d, "Model_Name": m, "Target": g, "Predicted_Value": price + d.day * x, "Last_Close": price}
+        for t, d in days for m, x in (("m", 2.0), ("k", -1.0)) for g in ("Open", "Close")
+    ]
+    end = START + dt.timedelta(days=first + n - 1)
+    for name, rows, schema in (("daily", daily, DAILY), ("predictions", made, PREDICTIONS)):
+        df = spark.createDataFrame([[r.get(f) for f in schema.fieldNames()] for r in rows], schema)
+        ST.replace_range(df, f"{root}/{name}", schema, START + dt.timedelta(days=first), end)
+
+
+@pytest.mark.parametrize("horizon", [0, 1])
+def test_accuracy_of_changed_days_is_accuracy_from_scratch(spark, tmp_path, horizon):
+    from presspulse.plans import jobs as J
+    root = str(tmp_path / "r")
+
+    def both():
+        found, _ = RUN.monitor(spark, root, horizon)
+        fresh = J.monitor(ST.read_range_table(spark, f"{root}/predictions", PREDICTIONS), ST.read_range_table(spark, f"{root}/daily", DAILY), horizon)
+        names = [c for c in PERFORMANCE.fieldNames() if c != "Evaluated_At"]
+        got, want = (sorted(tuple(r) for r in df.select(names).collect()) for df in (found, fresh))
+        assert len(got) == len(want) > 0
+        for g, w in zip(got, want, strict=True):
+            assert g[:4] == w[:4] and g[4:] == pytest.approx(w[4:])
+
+    stored_pairs(spark, root, 0, 9, 100.0)
+    both()
+    rows = spark.read.parquet(f"{root}/performance").count()
+    RUN.monitor(spark, root, horizon)
+    assert spark.read.parquet(f"{root}/performance").count() == rows  # nothing new, nothing repeated
+    stored_pairs(spark, root, 9, 1, 110.0)
+    stored_pairs(spark, root, 6, 1, 90.0, tickers=("A",))  # replaced in the middle; a row of the sparse ticker goes
+    both()
+    assert spark.read.parquet(f"{root}/performance").count() > rows
+
+
+def test_models_are_trained_stored_and_used(spark, tables):
+    from presspulse.operators import regression as RG
+
+    feed_path, bars_path, root = tables
+    feed = spark.read.schema("Ticker string, ord long, title string, description string, url string, `published date` string, publisher struct<title: string>").json(feed_path)
+    bars, companies = spark.read.parquet(bars_path), RUN.company_table(spark)
+    with pytest.raises(ValueError, match="no stored model"):
+        RG.stored_models(spark, f"{root}/models", ["price"])
+    RUN.run(feed, bars, companies, root, holidays=())
+    assert [RUN.train(spark, root, companies, "price", ["Open", "Close"]) for _ in range(2)] == [1, 2]
+    prices = RG.stored_models(spark, f"{root}/models", ["price"])
+    assert [(m.name, m.target, m.feature_set) for m, _ in prices] == [("price", t, "version 2") for t in ("Close", "Open")]
+    counts = RUN.run(feed, bars, companies, root, holidays=(), plugins=RUN.Plugins(prices=prices)).collect()
+    assert [r["Predictions"] for r in counts] == [4, 4, 4]
+    made = ST.read_range_table(spark, f"{root}/predictions", PREDICTIONS).where("Target = 'Close'").collect()
+    # bars rise by one a day, so the line is exact: the next close is this one plus 1
+    assert all(r["Raw_Predicted_Value"] == pytest.approx(r["Last_Close"] + 1) for r in made)
+
+
+def test_pages_stand_in_for_missing_descriptions(spark, tables):
+    _, bars_path, root = tables
+    row = lambda n, described, page: (f"NTPC wins order {n}", described, f"https://e.com/{n}", "Mon, 11 Aug 2025 01:00:00 GMT", None, "NTPC.NS", n, page)
+    body = "Record profit &amp; growth &#8211; " + "strong results " * 40
+    feed = spark.createDataFrame(
+        [row(1, "told", f"<p>{body}</p>"), row(2, "", f"<html><p>{body}</p></html>"), row(3, None, None)],
+        "title string, description string, url string, `published date` string, publisher struct<title: string>, Ticker string, ord long, Html string",
+    )
+    RUN.run(feed, spark.read.parquet(bars_path), RUN.company_table(spark), root, START, START, holidays=())
+    got = {r["Headline"][-1]: r for r in ST.read_range_table(spark, f"{root}/articles", ARTICLES).collect()}
+    assert [got[n]["Summary"] for n in "13"] == ["told", ""]
+    assert got["2"]["Summary"].startswith("Record profit & growth – strong results")
+    assert got["2"]["Sentiment_Score"] > got["3"]["Sentiment_Score"]  # the page is scored, too

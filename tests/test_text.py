@@ -111,3 +111,14 @@ def test_page_text_drops_hidden_blocks_and_decodes(value):
     html = "<html><head><title>T</title></head><SCRIPT>var a='</p>';</SCRIPT><!-- x --><p>a &amp;lt; b<br>c&nbsp;d</p></html>"
     assert value(X.page_text(F.col("h")), h=html) == "a &lt; b c d"
     assert value(X.page_title(F.col("h")), h=html) == "T"
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("a &amp;lt; b", "a &lt; b"), ("&#38;lt;", "&lt;"), ("&#8217;&#x2019;&#X1F600;", "’’😀"), ("&#39;x&#x27;", "'x'"), ("&nope; & &;", "&nope; & &;"),
+        ("&#0;&#xD800;&#9999999;", "\ufffd\ufffd\ufffd"), ("", ""), (None, None), ("&#160;|&nbsp;", " | "), ("&mdash;end&", "&mdash;end&"),
+    ],
+)
+def test_character_references(value, text, want):
+    assert value(X.decode_references(F.col("t").cast("string")), t=text) == want
