@@ -13,11 +13,15 @@ is shorter than an item is one window for it.
 3. Fingerprints within ``RADIUS`` bits agree in at least one of ``RADIUS + 1`` blocks, so a join on
    length, block number and block value yields all of them. At similarity 0.8 the expected distance is
    19.5 bits with a deviation of 4.1; the radius of 31 leaves out a fraction of 2e-3 there, less above.
+   A block can't be wider at this radius, and 4 bits alone let most unrelated pairs meet. So a block is
+   filed under each of the rarest shingles, too: of ``n`` shingles that must have ``t`` in common with the
+   other side, any ``n - t + 1`` hold one of these, here the first ones by number of items that have them.
+   Texts that share no rare shingle never meet, and no pair within radius and similarity is lost.
 4. Exact similarity of the candidates decides.
 
 Defined results: null or wordless texts and items match nothing; items of equal text are separate, an
-item without an id goes by a hash of its text; documents without an id are not looked at and stay;
-repeated rows of a document are one; items of fewer than five words are one shingle, so they match
+item without an id goes by a hash of its text, and so does a document without one (``text_hash``, null for
+the others); repeated rows of a document are one; items of fewer than five words are one shingle, so they match
 word for word only; other columns are ignored.
 """
 
@@ -38,8 +42,10 @@ RADIUS = 31
 BLOCKS = RADIUS + 1
 BLOCK_BITS = 4  # 32 blocks of 4 bits: 128 bits
 TABLE_BITS = 24
+RANK_BITS = 20
 ITEM_COLUMNS = "item_id long, words int, bag array<long>, blocks array<int>"
-HIT_COLUMNS = "doc_id long, start long, words int, key long, bag array<long>, blocks array<int>"
+PROBE_COLUMNS = "item_id long, words int, blocks array<int>, probes array<long>"
+HIT_COLUMNS = "doc_id long, text_hash long, start long, words int, key long, bag array<long>, blocks array<int>, probes array<long>"
 
 
 def fingerprints(bags: np.ndarray) -> np.ndarray:
@@ -54,9 +60,30 @@ def fingerprints(bags: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slots(hashes: np.ndarray, length: int = 0) -> np.ndarray:
-    """Places in the bit table of shingles, or of shingles of items with ``length`` words."""
-    return (mix(hashes + U((length + 1) * BASE % (1 << 64))) >> U(64 - TABLE_BITS)).astype(np.int64)
+def _slots(hashes: np.ndarray, length: int = 0, bits: int = TABLE_BITS) -> np.ndarray:
+    """Places in a table of ``2 ** bits`` of shingles, or of shingles of items with ``length`` words."""
+    return (mix(hashes + U((length + 1) * BASE % (1 << 64))) >> U(64 - bits)).astype(np.int64)
+
+
+def common_least(sizes: int, item: int) -> int:
+    """Shingles that a bag of ``sizes`` shares with one of ``item`` at the least similarity."""
+    return math.ceil(SIMILARITY * (sizes + item) / (1 + SIMILARITY) - 1e-9)
+
+
+def rarest(bags: np.ndarray, rank: np.ndarray, number: int) -> np.ndarray:
+    """The first ``number`` elements of each row of shingle hashes, rarest first by ``rank``. A repeated
+    shingle is an element each time, told apart by how often it came before."""
+    out = np.empty((len(bags), number), U)
+    place = np.arange(bags.shape[1])
+    for i in range(0, len(bags), 1024):
+        part = bags[i : i + 1024]
+        order = np.lexsort((part, rank[_slots(part, bits=RANK_BITS)]), axis=-1)
+        part = np.take_along_axis(part, order, axis=1)
+        new = np.ones(part.shape, bool)
+        new[:, 1:] = part[:, 1:] != part[:, :-1]
+        before = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+        out[i : i + 1024] = mix(part + before.astype(U) * U(BASE))[:, :number]
+    return out
 
 
 def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -90,15 +117,53 @@ def _table_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_slots(h), _slots(h, length)]))], names=["slot"])
 
 
+def _rank_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bag in batch["bag"]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slots(np.array(bag.values).view(U), bits=RANK_BITS)))], names=["slot"])
+
+
+def _tables(slots: DataFrame, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each ``level`` of ``slots(level, slot)`` the places taken, as booleans; ``2 ** bits`` each."""
+    slot = F.col("slot") + 1
+    pages = slots.groupBy("level", F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    tables: dict[int, np.ndarray] = {}
+    for row in pages.collect():  # a level takes at most 2 ** bits bits
+        found = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little").astype(bool)
+        table = tables.setdefault(row.level, np.zeros(1 << bits, bool))
+        part = table[(row.page - 1) * len(found) : row.page * len(found)]
+        part[:] = found[: len(part)]
+    yield from sorted(tables.items())
+
+
 def bit_table(items: DataFrame) -> np.ndarray:
     """The places that the items' shingles take, as booleans; ``2 ** TABLE_BITS`` whatever the items."""
-    slot = F.col("slot") + 1
-    pages = items.mapInArrow(_table_slots, "slot long").groupBy(F.bitmap_bucket_number(slot).alias("page"))
-    table = np.zeros(1 << TABLE_BITS, bool)
-    for row in pages.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect():
-        bits = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little").astype(bool)
-        table[(row.page - 1) * len(bits) : row.page * len(bits)] = bits
-    return table
+    slots = items.mapInArrow(_table_slots, "slot long").select(F.lit(0).alias("level"), "slot")
+    return next((table for _, table in _tables(slots, TABLE_BITS)), np.zeros(1 << TABLE_BITS, bool))
+
+
+def rank_table(items: DataFrame) -> np.ndarray:
+    """How common shingles are: by place the logarithm of the number of items, from 1, and 0 where no item has
+    one; ``2 ** RANK_BITS`` bytes whatever the items."""
+    counts = items.mapInArrow(_rank_slots, "slot long").groupBy("slot").count()
+    rank = np.zeros(1 << RANK_BITS, np.uint8)
+    for level, table in _tables(counts.select((F.floor(F.log2("count")) + 1).cast("int").alias("level"), "slot"), RANK_BITS):
+        rank[table] = level
+    return rank
+
+
+def _item_probes(ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = np.frombuffer(ranks.value, np.uint8)
+        for batch in batches:
+            rows = []
+            for bag in batch["bag"]:
+                h = np.array(bag.values).view(U)
+                least = common_least(math.ceil(SIMILARITY * len(h) - 1e-9), len(h))  # with the shortest text that can match
+                rows.append(rarest(h[None, :], rank, len(h) - least + 1)[0].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch["item_id"], batch["words"], batch["blocks"], _lists(rows, pa.int64())], names=["item_id", "words", "blocks", "probes"])
+
+    return scan
 
 
 def _runs(found: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,7 +191,7 @@ def windows(found: Words, lengths: list[int], table: np.ndarray) -> Iterator[tup
             n = length - k + 1
             some = table[_slots(hashes[known], length)]
             at, of = known[some], doc[some]
-            need = math.ceil(2 * n * SIMILARITY / (1 + SIMILARITY) - 1e-9)
+            need = common_least(n, n)
             near = np.flatnonzero((at[need - 1 :] - at[: len(at) - need + 1] < n) & (of[need - 1 :] == of[: len(of) - need + 1])) if len(at) >= need else at[:0]
             if len(near):
                 low = np.maximum(at[near + need - 1] - n + 1, first[of[near]])
@@ -142,28 +207,32 @@ def windows(found: Words, lengths: list[int], table: np.ndarray) -> Iterator[tup
                     yield length, np.array([d]), np.array([0]), hashes[None, first[d] : first[d] + count[d]]
 
 
-def _window_hits(lengths: list[int], packed) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _window_hits(lengths: list[int], packed, ranks) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.unpackbits(np.frombuffer(packed.value, np.uint8)).view(bool)
+        rank = np.frombuffer(ranks.value, np.uint8)
         for whole in batches:
             for batch in text_slices(whole):
                 for length, texts, starts, bags in windows(words(batch["text"]), lengths, table):
                     place = np.arange(1, bags.shape[1] + 1, dtype=U) * U(BASE)
                     keys = mix(mix(bags + place).sum(axis=1, dtype=U))
                     _, once = np.unique(keys, return_index=True)
-                    bag, blocks = [None] * len(keys), [None] * len(keys)
-                    for i, b in zip(once, fingerprints(bags[once]), strict=True):  # the content of a window goes once
-                        bag[i], blocks[i] = bags[i].view(np.int64), b
+                    size, item = bags.shape[1], length - min(length, SHINGLE_WORDS) + 1
+                    rare = rarest(bags[once], rank, size - common_least(size, item) + 1).view(np.int64)
+                    bag, blocks, probes = ([None] * len(keys) for _ in range(3))
+                    for i, b, r in zip(once, fingerprints(bags[once]), rare, strict=True):  # the content of a window goes once
+                        bag[i], blocks[i], probes[i] = bags[i].view(np.int64), b, r
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch["doc_id"].take(pa.array(texts, pa.int64())).cast(pa.int64()),
+                            *(batch[c].take(pa.array(texts, pa.int64())).cast(pa.int64()) for c in ("doc_id", "text_hash")),
                             pa.array(starts.astype(np.int64)),
                             pa.array(np.full(len(keys), length, np.int32)),
                             pa.array(keys.view(np.int64)),
                             pa.array(bag, pa.list_(pa.int64())),
                             pa.array(blocks, pa.list_(pa.int32())),
+                            pa.array(probes, pa.list_(pa.int64())),
                         ],
-                        names=["doc_id", "start", "words", "key", "bag", "blocks"],
+                        names=["doc_id", "text_hash", "start", "words", "key", "bag", "blocks", "probes"],
                     )
 
     return scan
@@ -180,28 +249,35 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _filed(rows: DataFrame, *columns: str) -> DataFrame:
+    """A row for each block and rare shingle; ``place`` is a hash of length, block number, block and shingle."""
+    blocks = rows.select(*columns, "probes", F.posexplode("blocks").alias("block", "value"))
+    return blocks.select(*columns, "block", "value", F.explode("probes").alias("probe")).select(*columns, F.xxhash64("words", "block", "value", "probe").alias("place"))
+
+
+def candidates(found: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs ``(words, key, item_id)`` of windows and items that have a block and a rare shingle in common."""
+    return _filed(found, "words", "key").join(_filed(items, "words", "item_id").drop("words"), "place").select("words", "key", "item_id").distinct()
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, similarity, start, words, windows)``, a row for each contaminated pair.
+    """``(doc_id, item_id, similarity, start, words, windows, text_hash)``, a row for each contaminated pair.
 
     ``similarity`` is that of the best window, ``start`` the number of words before it (the first of
     the best ones), ``words`` the length of the item and ``windows`` the number of matching places.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     items = cut_lineage(benchmark.select(F.coalesce("item_id", F.xxhash64("text")).alias("item_id"), "text").mapInArrow(_fingerprint_items, ITEM_COLUMNS))
     lengths = sorted(r.words for r in items.select("words").distinct().collect())  # at most the longest item's words
-    packed = spark.sparkContext.broadcast(np.packbits(bit_table(items)).tobytes())
-    hits = cut_lineage(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(_window_hits(lengths, packed), HIT_COLUMNS))
-    found = hits.where("bag is not null").dropDuplicates(["words", "key"]).select("words", "key", "bag", "blocks")
-    block = F.posexplode("blocks").alias("block", "value")
-    candidates = (
-        found.select("words", "key", block)
-        .join(items.select("words", "item_id", block), ["words", "block", "value"])
-        .select("words", "key", "item_id")
-        .distinct()
-    )
+    packed = context.broadcast(np.packbits(bit_table(items)).tobytes())
+    ranks = context.broadcast(rank_table(items).tobytes())
+    texts = docs.select("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("text_hash"), "text")
+    hits = cut_lineage(texts.mapInArrow(_window_hits(lengths, packed, ranks), HIT_COLUMNS))
+    found = hits.where("bag is not null").dropDuplicates(["words", "key"]).select("words", "key", "bag", "blocks", "probes")
+    met = candidates(found, items.mapInArrow(_item_probes(ranks), PROBE_COLUMNS))
     apart = F.aggregate(F.zip_with("blocks", "item_blocks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     matches = (
-        candidates.join(found, ["words", "key"])
+        met.join(found.drop("probes"), ["words", "key"])
         .join(items.select("item_id", F.col("words").alias("item_words"), F.col("bag").alias("item_bag"), F.col("blocks").alias("item_blocks")), "item_id")
         .where(F.col("words") == F.col("item_words"))
         .where(apart <= RADIUS)
@@ -211,14 +287,17 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
     return (
-        hits.select("doc_id", "start", "words", "key")
+        hits.select("doc_id", "text_hash", "start", "words", "key")
         .join(matches, ["words", "key"])
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc_id", "text_hash", "item_id")
         .agg(best.alias("best"), F.max("words").alias("words"), F.countDistinct("start").alias("windows"))
-        .select("doc_id", "item_id", "best.similarity", (-F.col("best.back")).alias("start"), "words", "windows")
+        .select("doc_id", "item_id", "best.similarity", (-F.col("best.back")).alias("start"), "words", "windows", "text_hash")
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones."""
-    return docs.join(contaminations(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    bad = contaminations(docs, benchmark).select("doc_id", "text_hash").distinct()
+    text_hash = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
+    same = docs["doc_id"].eqNullSafe(bad["doc_id"]) & text_hash.eqNullSafe(bad["text_hash"])
+    return docs.join(bad, same, "left_anti").select(*docs.columns)

@@ -4,9 +4,11 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import HAS_TABLES, awkward, docs, table
 
+from presspulse.llm import decontaminate as D
 from presspulse.llm.decontaminate import contaminations, drop_contaminated
 
 
@@ -95,3 +97,42 @@ def test_empty_tables(spark):
     assert contaminations(docs(spark, []), none).count() == 0
     assert contaminations(docs(spark, awkward()), none).count() == 0
     assert drop_contaminated(docs(spark, awkward()), none).count() == 9
+
+
+def test_documents_without_an_id(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta")], "item_id long, text string")
+    held = "here alpha beta gamma delta epsilon zeta eta there"
+    rows = docs(spark, [(None, held), (None, "clean text of no id"), (None, None), (7, held), (8, "clean")])
+    assert sorted((r.doc_id is None, r.item_id) for r in contaminations(rows, items).collect()) == [(False, 1), (True, 1)]
+    assert sorted((r.text or "") for r in drop_contaminated(rows, items).collect()) == ["", "clean", "clean text of no id"]
+
+
+def test_rarest_shingles_meet(spark):
+    rng = np.random.default_rng(5)
+    rank = rng.integers(0, 4, 1 << D.RANK_BITS).astype(np.uint8)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        b = rng.integers(0, 25, n).astype(np.uint64)  # repeats are common
+        a = np.concatenate([b[rng.random(n) < 0.93], rng.integers(0, 25, int(rng.integers(0, 3))).astype(np.uint64)])
+        common = sum((collections.Counter(a.tolist()) & collections.Counter(b.tolist())).values())
+        if not len(a) or len(a) > n or common < D.SIMILARITY * (len(a) + n - common) - 1e-12:
+            continue
+        shortest = int(np.ceil(D.SIMILARITY * n - 1e-9))
+        left = D.rarest(a[None], rank, len(a) - D.common_least(len(a), n) + 1)[0]
+        right = D.rarest(b[None], rank, n - D.common_least(shortest, n) + 1)[0]
+        assert set(left.tolist()) & set(right.tolist())
+
+
+def test_many_items_of_one_length_are_no_all_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    same = "which of the following is the best answer to it".split()
+    items = [(i, " ".join(same + [word() for _ in range(20)])) for i in range(5000)]
+    texts = [(d, " ".join([word() for _ in range(30)] + items[d * 7][1].split() + [word() for _ in range(30)])) for d in range(300)]
+    counted = []
+    real = D.candidates
+    monkeypatch.setattr(D, "candidates", lambda *a: (counted.append((a[0].count(), real(*a).count())), real(*a))[1])
+    got = contaminations(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(d, d * 7) for d in range(300)}
+    ((windows, pairs),) = counted
+    assert windows >= 300 and pairs <= 2 * windows  # all pairs are 5,000 a window
