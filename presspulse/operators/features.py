@@ -20,22 +20,18 @@ LOOKBACK_ROWS = C.SEQUENCE_LENGTH - 1 + 7
 
 
 def ticker_codes(companies: DataFrame) -> DataFrame:
-    """Alphabetical rank from 0, for any number of listings.
+    """Alphabetical rank from 0, for any number of listings; no job runs while the plan is built.
 
-    Range partitions are ranked each on their own; the numbers of rows before each partition, one number
-    a partition, are added.
+    Tickers are ranked among those with the same first two characters, and the numbers of tickers of earlier
+    beginnings are added. Only these numbers, one a beginning, go through one task.
     """
-    distinct = companies.select("ticker").distinct().repartitionByRange("ticker")
-    placed = cut_lineage(distinct.withColumn("__p", F.spark_partition_id()))
-    before, total = {}, 0
-    for r in sorted(placed.groupBy("__p").count().collect()):
-        before[r["__p"]] = total
-        total += r["count"]
-    offset = F.lit(0)
-    if before:
-        offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__p"))
-    rank = F.row_number().over(Window.partitionBy("__p").orderBy("ticker")) - 1
-    return placed.select("ticker", (rank + offset).cast("int").alias("Ticker_Code"))
+    distinct = companies.select("ticker", F.substring("ticker", 1, 2).alias("__start")).distinct()
+    earlier = Window.orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = distinct.groupBy("__start").agg(F.count(F.lit(1)).alias("__n"))
+    before = starts.select(F.col("__start").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("__start").orderBy("ticker")) - 1
+    ranked = distinct.withColumn("__rank", rank).join(before, F.col("__start").eqNullSafe(F.col("__of")))
+    return ranked.select("ticker", (F.col("__rank") + F.col("__before")).cast("int").alias("Ticker_Code"))
 
 
 def with_lookback(history: DataFrame, start: Date, rows: int = LOOKBACK_ROWS, date: str = "News_Date") -> DataFrame:

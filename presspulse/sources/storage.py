@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Collection
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -121,7 +122,8 @@ def replace_days(df: DataFrame, path: str, schema: T.StructType, partition: str
 # Below the table's path:
 #   write=<id>/<day column>=<day>/   the files of one write
 #   _claims/<version>                taken by one writer each
-#   _log/block=<n>/                  one row a finished write: its range, and the days that have rows
+#   _log/block=<n>/                  one row a finished write: its range, and the days that have rows; without
+#                                    a range it replaces just these days
 #   _snapshot/version=<version>/     the folder of each day after that version
 
 LOG = T.StructType(
@@ -200,11 +202,12 @@ def _state(spark: SparkSession, path: str, back: int = 0) -> dict[date, str]:
         state = {r["day"]: r["folder"] for r in read_or_empty(spark, f"{path}/_snapshot/version={base}", STATE).collect()}  # a row a day
     for r in _log(spark, path, base):
         if r["version"] <= until:
-            state = {d: f for d, f in state.items() if not r["first"] <= d <= r["last"]} | dict.fromkeys(r["days"], r["folder"])
+            kept = state if r["first"] is None else {d: f for d, f in state.items() if not r["first"] <= d <= r["last"]}
+            state = kept | dict.fromkeys(r["days"], r["folder"])
     return state
 
 
-def _commit(spark: SparkSession, path: str, folder: str, first: date, last: date, days: list[date], rows: int) -> int:
+def _commit(spark: SparkSession, path: str, folder: str, first: date | None, last: date | None, days: list[date], rows: int) -> int:
     """Publish a finished write as the table's next version."""
     while True:
         version = claim_version(spark, path)
@@ -228,26 +231,51 @@ def replace_range(df: DataFrame, path: str, schema: T.StructType, start: date, e
     complete. Readers take each day from the newest version that covers it, so a failed run changes nothing,
     nothing stale is left, and the state before is kept.
     """
-    spark = df.sparkSession
+    within = conform(df, schema).where(F.col(partition).between(start, end))
+    folder, days, rows = _write_days(within, path, partition)
+    _commit(df.sparkSession, path, folder, start, end, days, rows)
+    return rows
+
+
+def replace_listed(df: DataFrame, path: str, schema: T.StructType, partition: str = "News_Date") -> int:
+    """Replace the days that ``df`` has rows of, and no others, as the next version of a table as
+    ``replace_range`` writes it; returns the rows written. A day's rows go to few files, a large day's to more."""
+    folder, days, rows = _write_days(conform(df, schema).where(F.col(partition).isNotNull()).hint("rebalance", partition), path, partition)
+    if days:
+        _commit(df.sparkSession, path, folder, None, None, days, rows)
+    return rows
+
+
+def _write_days(df: DataFrame, path: str, partition: str) -> tuple[str, list[date], int]:
+    """Write a folder that no version holds yet; its name, its days and the number of rows."""
     folder = f"write={uuid.uuid4().hex}"
     seen = Observation()
-    within = conform(df, schema).where(F.col(partition).between(start, end)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    within.write.partitionBy(partition).parquet(f"{path}/{folder}")
-    days = sorted(date.fromisoformat(n.removeprefix(f"{partition}=")) for n in _names(spark, f"{path}/{folder}") if n.startswith(f"{partition}="))
-    rows = seen.get["rows"] if days else 0
-    _commit(spark, path, folder, start, end, days, rows)
-    return rows
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.partitionBy(partition).parquet(f"{path}/{folder}")
+    names = _names(df.sparkSession, f"{path}/{folder}")
+    days = sorted(date.fromisoformat(n.removeprefix(f"{partition}=")) for n in names if n.startswith(f"{partition}="))
+    return folder, days, seen.get["rows"] if days else 0
 
 
 def read_range_table(
-    spark: SparkSession, path: str, schema: T.StructType, partition: str = "News_Date", back: int = 0, start: date | None = None, end: date | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition: str = "News_Date",
+    back: int = 0,
+    start: date | None = None,
+    end: date | None = None,
+    days: Collection[date] | None = None,
 ) -> DataFrame:
     """Rows of a table written by ``replace_range``; ``back`` leaves out that many of the last writes.
 
-    The plan is one scan of the days' folders, of those from ``start`` to ``end`` if given, however many writes
-    there were.
+    The plan is one scan of the days' folders, of those from ``start`` to ``end`` or of ``days`` if given,
+    however many writes there were.
     """
-    held = sorted((d, f) for d, f in _state(spark, path, back).items() if (not start or d >= start) and (not end or d <= end))
+    held = sorted(
+        (d, f)
+        for d, f in _state(spark, path, back).items()
+        if (not start or d >= start) and (not end or d <= end) and (days is None or d in days)
+    )
     if not held:
         return spark.createDataFrame([], schema)
     folders = [f"{path}/{folder}/{partition}={day.isoformat()}" for day, folder in held]

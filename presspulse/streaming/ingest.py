@@ -1,4 +1,8 @@
-"""Incremental ingest: new feed files since the last run, into a table of distinct articles per day."""
+"""Incremental ingest: new feed files since the last run, into a table of distinct articles per day.
+
+Below the root: ``progress`` of the stream; ``arrived/batch=<id>/stored=<flag>/News_Date=<day>`` with the whole
+rows; ``state``, one version of narrow rows a day.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +16,7 @@ from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
-from presspulse.sources.storage import broadcast_if_small, read_or_empty, replace_days
+from presspulse.sources.storage import broadcast_if_small, cut_lineage, read_or_empty, read_range_table, replace_listed
 
 KEYS = {"url_key": "URL_Key", "headline_key": "Headline_Key"}
 
@@ -23,24 +27,54 @@ def arrived_schema(articles: T.StructType) -> T.StructType:
     return T.StructType([*[T.StructField(f.name, f.dataType) for f in articles.fields if f.name != "News_Date"], *added])
 
 
+def state_schema(articles: T.StructType) -> T.StructType:
+    """What is kept of each arrived row to settle duplicates: its keys, the batch that stores it, whether it
+    survives now (``kept``) and whether it did when it was stored."""
+    text = [T.StructField(k, T.StringType()) for k in KEYS]
+    flags = [T.StructField("batch", T.LongType()), T.StructField("kept", T.BooleanType()), T.StructField("stored", T.BooleanType())]
+    return T.StructType([T.StructField("News_Date", T.DateType()), articles["Ticker"], articles["ord"], *text, *flags])
+
+
 def ingest_batch(articles: DataFrame, batch_id: int, root: str, holidays: Sequence[str]) -> None:
-    """Store one batch of whole article rows and bring the days it touches up to date.
+    """Store one batch of whole article rows and settle the days it touches.
 
-    Arrived rows are kept per batch, so a replayed batch overwrites itself. Which rows survive
-    duplicate removal depends on the whole day in feed order, therefore the touched days are
-    recomputed from all arrived rows and replaced; late files give the same table as one big load.
+    Which rows survive duplicate removal depends on the whole day in feed order, so late files may drop rows
+    that were kept, or bring back others. This is settled among the narrow rows of the state: a batch reads
+    itself and the state of its own days, and no article that came before. Whole rows are written once, apart
+    by whether they survive so far; where that changes later, the state says so. A batch that is run again
+    replaces its own rows; rows of one ``ord`` are one article, which the first batch brought. Rows without a
+    news date or a ticker are left out.
     """
-    dated = articles.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL")
-    schema = arrived_schema(articles.schema)
-    keyed = N.duplicate_keys(dated).withColumnsRenamed(KEYS).select(schema.fieldNames())
-    arrived = f"{root}/arrived"
-    keyed.write.mode("overwrite").partitionBy("News_Date").parquet(f"{arrived}/batch={batch_id}")
     spark = articles.sparkSession
-    touched = spark.read.schema(schema).parquet(f"{arrived}/batch={batch_id}").select("News_Date").distinct()
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(arrived)
-    affected = rows.join(broadcast_if_small(touched), "News_Date", "left_semi").withColumnsRenamed({v: k for k, v in KEYS.items()})
-    kept = N.dedupe(affected, DAY, "ord").withColumnsRenamed(KEYS)
-    replace_days(kept, f"{root}/articles", schema)
+    dated = articles.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL AND Ticker IS NOT NULL")
+    schema, states = arrived_schema(articles.schema), state_schema(articles.schema)
+    rows = cut_lineage(N.duplicate_keys(dated).withColumnsRenamed(KEYS).select(schema.fieldNames()))
+    days = {r["News_Date"] for r in rows.select("News_Date").distinct().collect()}  # days of the calendar
+    own = rows.withColumnsRenamed({v: k for k, v in KEYS.items()}).withColumns({"batch": F.lit(batch_id).cast("long"), "stored": F.lit(None).cast("boolean")})
+    columns = [n for n in states.fieldNames() if n != "kept"]
+    before = read_range_table(spark, f"{root}/state", states, days=days).where(F.col("batch") != batch_id)
+    known = cut_lineage(before.select(columns).unionByName(own.select(columns)).withColumn("place", F.struct("ord", "batch")))
+    survivors = N.surviving_orders(known, DAY, "place").withColumn("kept", F.lit(True))
+    marked = known.join(survivors, [*DAY, "place"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    settled = cut_lineage(marked.withColumn("stored", F.coalesce("stored", "kept")).drop("place"))
+    lost = settled.where((F.col("batch") == batch_id) & ~F.col("stored")).select(*DAY, "ord", "stored").distinct()
+    stored = rows.join(broadcast_if_small(lost), [*DAY, "ord"], "left").withColumn("stored", F.coalesce("stored", F.lit(True)))
+    stored.hint("rebalance", "stored", "News_Date").write.mode("overwrite").partitionBy("stored", "News_Date").parquet(f"{root}/arrived/batch={batch_id}")
+    replace_listed(settled, f"{root}/state", states)
+
+
+def surviving_articles(spark: SparkSession, root: str, articles: T.StructType) -> DataFrame:
+    """The whole rows of all distinct articles. Rows stored as surviving are a plain scan; those of which late
+    files have changed it are few, and the only ones that a join has to find."""
+    schema = arrived_schema(articles)
+    where = [T.StructField("batch", T.LongType()), T.StructField("stored", T.BooleanType())]
+    rows = read_or_empty(spark, f"{root}/arrived", T.StructType([*schema.fields, *where]))
+    state = read_range_table(spark, f"{root}/state", state_schema(articles))
+    place = ["batch", *DAY, "ord"]
+    changed = broadcast_if_small(state.where("kept <> stored").select(place))
+    kept = rows.where("stored").join(changed, place, "left_anti")
+    back = rows.where("NOT stored").join(changed, place, "left_semi")
+    return kept.unionByName(back).select(schema.fieldNames())
 
 
 def ingest_articles(
@@ -65,4 +99,4 @@ def ingest_articles(
     )
     spark = stream.sparkSession
     shape = to_articles(spark.createDataFrame([], stream.schema)).schema
-    return read_or_empty(spark, f"{root}/articles", arrived_schema(shape))
+    return surviving_articles(spark, root, shape)

@@ -16,7 +16,7 @@ from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
 from presspulse.plans import jobs as J
 from presspulse.sources import storage as ST
-from presspulse.streaming.ingest import ingest_articles
+from presspulse.streaming.ingest import ingest_articles, ingest_batch, surviving_articles
 
 TABLE = T.StructType([T.StructField("News_Date", T.DateType()), T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType())])
 
@@ -251,3 +251,36 @@ def test_incremental_ingest_equals_one_load(spark, tmp_path):
     whole = N.duplicate_keys(spark.createDataFrame(rows, schema).withColumn("News_Date", news_date(F.col("Published_At"), ())))
     want = sorted(r["ord"] for r in N.dedupe(whole.where("News_Date IS NOT NULL"), DAY, "ord").collect())
     assert sorted(r["ord"] for r in table.collect()) == sorted(r["ord"] for r in again.collect()) == want
+
+
+def test_a_batch_reads_itself_and_the_state(spark, tmp_path):
+    root = tmp_path / "out"
+    at = dt.datetime(2024, 1, 9, 12)
+    batch = lambda *rows: spark.createDataFrame([(o, "T", h, u, at + dt.timedelta(days=d)) for o, h, u, d in rows], "ord long, Ticker string, Headline string, URL string, Published_At timestamp_ntz")
+    url = "http://e.com/{}".format
+    first = batch((5, "five", url(1), 0), (6, "six", url(1), 0), (7, "seven", url(2), 1))
+    late = batch((1, "five", url(9), 0), (6, "six again", url(1), 0))  # 1 takes 5's headline, so 6 is no copy any more
+    got = lambda: sorted((r["ord"], r["Headline"]) for r in surviving_articles(spark, str(root), first.schema).collect())
+    ingest_batch(first, 0, str(root), ())
+    assert got() == [(5, "five"), (7, "seven")]
+    ingest_batch(first, 0, str(root), ())  # run again
+    assert got() == [(5, "five"), (7, "seven")]
+    (root / "arrived" / "batch=0").rename(tmp_path / "away")
+    ingest_batch(late, 1, str(root), ())
+    (tmp_path / "away").rename(root / "arrived" / "batch=0")
+    assert got() == [(1, "five"), (6, "six"), (7, "seven")]
+    ingest_batch(late.limit(0), 2, str(root), ())
+    ingest_batch(late, 1, str(root), ())
+    assert got() == [(1, "five"), (6, "six"), (7, "seven")]
+
+
+def test_listed_days_are_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda n: dt.date(2025, 1, n)
+    rows = lambda *r: spark.createDataFrame(r, "News_Date date, k string, v double")
+    assert ST.replace_range(rows((day(1), "a", 1.0), (day(2), "b", 2.0), (day(3), "c", 3.0)), path, TABLE, day(1), day(3)) == 3
+    assert ST.replace_listed(rows((day(1), "x", 1.0), (day(3), "y", 1.0)), path, TABLE) == 2
+    assert ST.replace_listed(rows((day(1), "x", 1.0)).limit(0), path, TABLE) == 0
+    assert {r["k"] for r in ST.read_range_table(spark, path, TABLE).collect()} == {"x", "b", "y"}
+    assert {r["k"] for r in ST.read_range_table(spark, path, TABLE, days={day(2), day(9)}).collect()} == {"b"}
+    assert {r["k"] for r in ST.read_range_table(spark, path, TABLE, back=1).collect()} == {"a", "b", "c"}
