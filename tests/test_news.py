@@ -13,6 +13,7 @@ from presspulse.operators import daily as D
 from presspulse.operators import matching
 from presspulse.operators import news as N
 from presspulse.operators.matching import match_companies
+from presspulse.plans import inputs as I
 from presspulse.schemas import COMPANIES, RAW_ARTICLE
 
 MONDAY = dt.date.fromisocalendar(2025, 33, 1)
@@ -218,3 +219,27 @@ def test_cap_keeps_the_first_rows(spark):
     assert sorted(r["ord"] for r in got.collect()) == [1, 2, 3, 4, 5, 6]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan  # rows beyond the cap are dropped before the shuffle
+
+
+def nodes(plan, kinds):
+    """Outputs of the nodes of these kinds in a physical plan that is not adaptive."""
+    own = [plan.output().mkString(",")] if plan.nodeName().split(" ")[0] in kinds else []
+    children = plan.children()
+    return own + [o for i in range(children.size()) for o in nodes(children.apply(i), kinds)]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_no_shuffle_carries_the_bodies_with_the_events(spark, shuffled_joins):
+    arts = I.articles(spark, "/root/testdata/sf0.001")
+    moved = nodes(arts._jdf.queryExecution().executedPlan(), ("Exchange", "Sort"))
+    assert len([o for o in moved if "Description" in o]) == 2  # the documents alone, dealt and sorted
