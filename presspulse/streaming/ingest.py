@@ -1,7 +1,7 @@
 """Incremental ingest: new feed files since the last run, into a table of distinct articles per day.
 
-Below the root: ``progress`` of the stream; ``arrived/batch=<id>/stored=<flag>/News_Date=<day>`` with the whole
-rows; ``state``, one version of narrow rows a day.
+Below the root: ``progress`` of the stream; ``arrived/batch=<id>/stored=<flag>`` with the whole rows;
+``state``, one version of narrow rows a day.
 """
 
 from __future__ import annotations
@@ -16,7 +16,15 @@ from presspulse import config as C
 from presspulse.functions import market_time as M
 from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
-from presspulse.sources.storage import broadcast_if_small, cut_lineage, read_or_empty, read_range_table, replace_listed
+from presspulse.sources.storage import (
+    MAX_BROADCAST_KEYS,
+    MAX_BROADCAST_ROWS,
+    broadcast_if_small,
+    cut_lineage,
+    read_or_empty,
+    read_range_table,
+    replace_listed,
+)
 
 KEYS = {"url_key": "URL_Key", "headline_key": "Headline_Key"}
 
@@ -40,29 +48,48 @@ def ingest_batch(articles: DataFrame, batch_id: int, root: str, holidays: Sequen
 
     Which rows survive duplicate removal depends on the whole day in feed order, so late files may drop rows
     that were kept, or bring back others. This is settled among the narrow rows of the state: a batch reads
-    itself and the state of its own days, and no article that came before. Whole rows are written once, apart
-    by whether they survive so far; where that changes later, the state says so. A batch that is run again
-    replaces its own rows; rows of one ``ord`` are one article, which the first batch brought. Rows without a
-    news date or a ticker are left out.
+    itself and the state of its own days, and no article that came before. Whole rows are read for their keys,
+    and then written once, apart by whether they survive so far: they are neither checkpointed nor sorted. Where
+    survival changes later, the state says so. ``articles`` must give the same rows each time it is read. A batch
+    that is run again replaces its own rows; rows of one ``ord`` are one article, which the first batch brought.
+    Rows without a news date or a ticker are left out.
     """
     spark = articles.sparkSession
     dated = articles.withColumn("News_Date", M.news_date(F.col("Published_At"), holidays)).where("News_Date IS NOT NULL AND Ticker IS NOT NULL")
     schema, states = arrived_schema(articles.schema), state_schema(articles.schema)
-    rows = cut_lineage(N.duplicate_keys(dated).withColumnsRenamed(KEYS).select(schema.fieldNames()))
-    days = {r["News_Date"] for r in rows.select("News_Date").distinct().collect()}  # days of the calendar
-    own = rows.withColumnsRenamed({v: k for k, v in KEYS.items()}).withColumns({"batch": F.lit(batch_id).cast("long"), "stored": F.lit(None).cast("boolean")})
+    keyed = N.duplicate_keys(dated)
+    narrow = cut_lineage(keyed.select(*DAY, "ord", *KEYS))
+    days = {r["News_Date"] for r in narrow.select("News_Date").distinct().collect()}  # days of the calendar
+    own = narrow.withColumns({"batch": F.lit(batch_id).cast("long"), "stored": F.lit(None).cast("boolean")})
     columns = [n for n in states.fieldNames() if n != "kept"]
     before = read_range_table(spark, f"{root}/state", states, days=days).where(F.col("batch") != batch_id)
-    known = cut_lineage(before.select(columns).unionByName(own.select(columns)).withColumn("place", F.struct("ord", "batch")))
+    known = before.select(columns).unionByName(own.select(columns)).withColumn("place", F.struct("ord", "batch"))
     survivors = N.surviving_orders(known, DAY, "place").withColumn("kept", F.lit(True))
     marked = known.join(survivors, [*DAY, "place"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
     settled = cut_lineage(marked.withColumn("stored", F.coalesce("stored", "kept")).drop("place"))
-    lost = settled.where((F.col("batch") == batch_id) & ~F.col("stored")).select(*DAY, "ord", "stored").distinct()
-    stored = rows.join(broadcast_if_small(lost), [*DAY, "ord"], "left").withColumn("stored", F.coalesce("stored", F.lit(True)))
-    stored.hint("rebalance", "stored", "News_Date").write.mode("overwrite").partitionBy("stored", "News_Date").parquet(f"{root}/arrived/batch={batch_id}")
+    rows = keyed.withColumnsRenamed(KEYS).select(schema.fieldNames())
+    mine = settled.where(F.col("batch") == batch_id)
+    keys = {flag: mine.where(F.col("stored") == flag).select(*DAY, "ord").distinct() for flag in (True, False)}
+    counts = {flag: k.limit(MAX_BROADCAST_KEYS + 1).count() for flag, k in keys.items()}
+    for flag in (True, False):
+        _rows_of(rows, keys, counts, flag).write.mode("overwrite").option("compression", "zstd").parquet(
+            f"{root}/arrived/batch={batch_id}/stored={str(flag).lower()}"
+        )
     replace_listed(settled, f"{root}/state", states)
 
 
+def _rows_of(rows: DataFrame, keys: dict[bool, DataFrame], counts: dict[bool, int], flag: bool) -> DataFrame:
+    """The whole rows whose keys are those of ``flag``; each row's key is on one of both sides. Whichever keys are
+    few are broadcast, so that whole rows are not shuffled; only a small result is, into few files."""
+    on = [*DAY, "ord"]
+    if counts[flag] <= MAX_BROADCAST_KEYS:
+        picked = rows.join(F.broadcast(keys[flag]), on, "left_semi")
+        return picked.hint("rebalance", "News_Date") if counts[flag] <= MAX_BROADCAST_ROWS else picked
+    if counts[not flag] <= MAX_BROADCAST_KEYS:
+        return rows.join(F.broadcast(keys[not flag]), on, "left_anti")
+    return rows.join(keys[flag], on, "left_semi")
+
+
 def surviving_articles(spark: SparkSession, root: str, articles: T.StructType) -> DataFrame:
     """The whole rows of all distinct articles. Rows stored as surviving are a plain scan; those of which late
     files have changed it are few, and the only ones that a join has to find."""
@@ -71,7 +98,7 @@ def surviving_articles(spark: SparkSession, root: str, articles: T.StructType) -
     rows = read_or_empty(spark, f"{root}/arrived", T.StructType([*schema.fields, *where]))
     state = read_range_table(spark, f"{root}/state", state_schema(articles))
     place = ["batch", *DAY, "ord"]
-    changed = broadcast_if_small(state.where("kept <> stored").select(place))
+    changed = broadcast_if_small(state.where("kept <> stored").select(place), MAX_BROADCAST_KEYS)
     kept = rows.where("stored").join(changed, place, "left_anti")
     back = rows.where("NOT stored").join(changed, place, "left_semi")
     return kept.unionByName(back).select(schema.fieldNames())

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,7 @@ from presspulse.operators import news as N
 from presspulse.operators.daily import DAY
 from presspulse.plans import jobs as J
 from presspulse.sources import storage as ST
+from presspulse.streaming import ingest
 from presspulse.streaming.ingest import ingest_articles, ingest_batch, surviving_articles
 
 TABLE = T.StructType([T.StructField("News_Date", T.DateType()), T.StructField("k", T.StringType()), T.StructField("v", T.DoubleType())])
@@ -284,3 +287,25 @@ def test_listed_days_are_replaced_alone(spark, tmp_path):
     assert {r["k"] for r in ST.read_range_table(spark, path, TABLE).collect()} == {"x", "b", "y"}
     assert {r["k"] for r in ST.read_range_table(spark, path, TABLE, days={day(2), day(9)}).collect()} == {"b"}
     assert {r["k"] for r in ST.read_range_table(spark, path, TABLE, back=1).collect()} == {"a", "b", "c"}
+
+
+def test_whole_rows_are_not_checkpointed_by_ingest(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, "T", f"News {i % 50}", f"http://e.com/{i}", dt.datetime(2025, 1, 8, 12), rng.randbytes(20_000).hex()) for i in range(100)]
+    batch = spark.createDataFrame(rows, "ord long, Ticker string, Headline string, URL string, Published_At timestamp_ntz, Description string")
+    size = lambda: sum(f.stat().st_size for f in Path(urlparse(ST.shared_dir(spark)).path).rglob("*") if f.is_file())
+    before = size()
+    ingest_batch(batch, 0, str(tmp_path / "out"), ())
+    assert size() - before < 1_000_000  # the texts have 4,000,000 characters
+    kept = surviving_articles(spark, str(tmp_path / "out"), batch.schema)
+    assert {r["ord"]: r["Description"] for r in kept.collect()} == {r[0]: r[5] for r in rows[:50]}
+
+
+@pytest.mark.parametrize("most", [0, 60, 500])
+def test_ingest_stores_every_row_once_whatever_is_broadcast(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(ingest, "MAX_BROADCAST_KEYS", most)
+    rows = [(i, "T", f"News {i % 50}", f"http://e.com/{i}", dt.datetime(2025, 1, 8, 12)) for i in range(200)]
+    batch = spark.createDataFrame(rows, "ord long, Ticker string, Headline string, URL string, Published_At timestamp_ntz")
+    ingest_batch(batch, 0, str(tmp_path), ())
+    stored = spark.read.parquet(str(tmp_path / "arrived"))
+    assert sorted((r["ord"], r["stored"]) for r in stored.collect()) == [(i, i < 50) for i in range(200)]
