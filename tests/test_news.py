@@ -14,6 +14,7 @@ from presspulse.operators import matching
 from presspulse.operators import news as N
 from presspulse.operators.matching import match_companies
 from presspulse.plans import inputs as I
+from presspulse.plans import jobs as J
 from presspulse.schemas import COMPANIES, RAW_ARTICLE
 
 MONDAY = dt.date.fromisocalendar(2025, 33, 1)
@@ -243,3 +244,15 @@ def test_no_shuffle_carries_the_bodies_with_the_events(spark, shuffled_joins):
     arts = I.articles(spark, "/root/testdata/sf0.001")
     moved = nodes(arts._jdf.queryExecution().executedPlan(), ("Exchange", "Sort"))
     assert len([o for o in moved if "Description" in o]) == 2  # the documents alone, dealt and sorted
+
+
+def test_surviving_keys_select_articles_without_shuffling_texts(spark, shuffled_joins, tmp_path):
+    rows = [(i, "T", "Alpha", f"Alpha {i % 3}", f"http://e.com/{i % 4}", dt.datetime.combine(WEDNESDAY, dt.time(3)), "x" * 50) for i in range(12)]
+    kinds = "ord long, Ticker string, Company string, Headline string, URL string, Published_At timestamp_ntz, Description string"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    companies = spark.createDataFrame([("T", "Alpha", "s", ["k"], ["A"])], "ticker string, name string, sector string, keywords array<string>, aliases array<string>")
+    chosen = J.select_articles(feed, companies, ())
+    moved = nodes(chosen._jdf.queryExecution().executedPlan(), ("Exchange", "Sort"))
+    assert not [o for o in moved if "Description" in o]
+    assert sorted(r["ord"] for r in chosen.collect()) == [0, 1, 2]
