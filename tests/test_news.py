@@ -15,6 +15,7 @@ from presspulse.operators import news as N
 from presspulse.operators.matching import match_companies
 from presspulse.plans import inputs as I
 from presspulse.plans import jobs as J
+from presspulse.plans.q_articles import relevance_jaccard
 from presspulse.schemas import COMPANIES, RAW_ARTICLE
 
 MONDAY = dt.date.fromisocalendar(2025, 33, 1)
@@ -256,3 +257,8 @@ def test_surviving_keys_select_articles_without_shuffling_texts(spark, shuffled_
     moved = nodes(chosen._jdf.queryExecution().executedPlan(), ("Exchange", "Sort"))
     assert not [o for o in moved if "Description" in o]
     assert sorted(r["ord"] for r in chosen.collect()) == [0, 1, 2]
+
+
+def test_few_profiles_are_broadcast_to_the_texts(spark, shuffled_joins):
+    plan = relevance_jaccard(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert len([o for o in nodes(plan, ("Exchange", "Sort")) if "Description" in o]) == 2  # the documents alone
