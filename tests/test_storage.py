@@ -308,4 +308,4 @@ def test_ingest_stores_every_row_once_whatever_is_broadcast(spark, tmp_path, mon
     batch = spark.createDataFrame(rows, "ord long, Ticker string, Headline string, URL string, Published_At timestamp_ntz")
     ingest_batch(batch, 0, str(tmp_path), ())
     stored = spark.read.parquet(str(tmp_path / "arrived"))
-    assert sorted((r["ord"], r["stored"]) for r in stored.collect()) == [(i, i < 50) for i in range(200)]
+    assert sorted((r["ord"], r["stored"] == "true") for r in stored.collect()) == [(i, i < 50) for i in range(200)]
